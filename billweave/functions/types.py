@@ -43,7 +43,7 @@ def spark_type(name: str) -> T.DataType:
     if name == "TIMESTAMP":
         return T.TimestampNTZType()
     if name.startswith("DECIMAL"):
-        return T._parse_datatype_string(name.lower())
+        return T.DataType.fromDDL(name.lower())
     return T.StringType()
 
 

@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(app: str = "billweave", cpus: int | str = 8, memory: str = "8g") -> SparkSession:
@@ -36,11 +37,20 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/billweave/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
-def read_if_present(spark: SparkSession, path: str, schema, source: str = "parquet", **options) -> DataFrame:
-    """Read ``path`` under ``schema``; an absent path is an empty table, any other error is raised."""
+def read_if_present(
+    spark: SparkSession, path: str, schema: str, source: str = "parquet", path_column: str | None = None, **options
+) -> DataFrame:
+    """Read ``path`` under ``schema``; an absent path is an empty table, any other error is raised.
+
+    ``path_column`` adds each row's file path, without percent escapes.
+    """
     try:
-        return spark.read.format(source).schema(schema).options(**options).load(path)
+        read = spark.read.format(source).schema(schema).options(**options).load(path)
+        # A plus sign is itself in a path, but a space to url_decode.
+        file_path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        read = spark.createDataFrame([], schema)
+        file_path = F.lit(None).cast("string")
+    return read.withColumn(path_column, file_path) if path_column else read
