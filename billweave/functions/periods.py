@@ -28,7 +28,7 @@ def manifest_period(start: Column) -> Column:
     compact = F.concat_ws("-", F.substring(start, 1, 4), F.substring(start, 5, 2))
     return (
         F.when(start.isNull() | (start == ""), F.lit(UNKNOWN_PERIOD))
-        .when(start.rlike("^20[0-9]{4}"), compact)
+        .when(start.rlike("^[0-9]{6}"), compact)
         .otherwise(F.substring(start, 1, 7))
     )
 

@@ -13,7 +13,7 @@ from billweave.sources.listing import exported_files
 
 # Codecs an export may use.
 CODECS = ("snappy", "gzip", "lz4", "zstd")
-STATUS_SCHEMA = "billing_period string, execution_id string, export_key string, status string"
+
 
 
 def export_root(out: str, by: str, vendor: str = VENDOR) -> str:

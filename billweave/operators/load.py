@@ -57,24 +57,24 @@ class _Delivery:
 
 
 def _decide(manifests: DataFrame, parts: DataFrame, table: BillingTable, overwrite: bool) -> list[_Delivery]:
-    """One decision per delivery: skipped, superseded by a later one, incomplete or pending.
+    """One decision per delivery: superseded by a later one, skipped, incomplete or pending.
 
-    Taken once and held as plain values, since asking the table again after the write would give
-    another answer.
+    The month's delivery is chosen before asking what is loaded, so an earlier delivery that is
+    still listed never takes the place of a later one.
+    Decisions are held as plain values: after the write the table would give another answer.
     """
-    keys = manifests.select(*DELIVERY, "manifest_path").distinct()
+    listed = manifests.select(*DELIVERY, "manifest_path").distinct()
+    chosen = choose_deliveries(listed, F.struct("manifest_path", "execution_id"))
     done = loaded_pairs(table.rows()).withColumn("done", F.lit(not overwrite))
-    todo = keys.join(done, DELIVERY, "left").withColumn("done", F.coalesce("done", F.lit(False)))
-    chosen = choose_deliveries(todo.where(~F.col("done")), F.struct("manifest_path", "execution_id"))
-    state = todo.where("done").withColumn("keep", F.lit(None).cast("boolean")).unionByName(chosen)
     counts = delivery_completeness(manifest_files(manifests), parts)
+    state = chosen.join(done, DELIVERY, "left").join(counts, DELIVERY, "left")
     decided = []
-    for row in state.join(counts, DELIVERY, "left").orderBy(F.desc("billing_period"), "execution_id").collect():
+    for row in state.orderBy(F.desc("billing_period"), "execution_id").collect():
         delivery = _Delivery(row.billing_period, row.execution_id, row.present_files or 0)
-        if row.keep is None:
-            delivery.status = "skipped"
-        elif not row.keep:
+        if not row.keep:
             delivery.status = "superseded"
+        elif row.done:
+            delivery.status = "skipped"
         elif not row.complete:
             delivery.fail(f"{row.present_files or 0} of {row.expected_files or 0} listed files present")
         decided.append(delivery)
@@ -155,9 +155,7 @@ def _as_definitions(unknown: DataFrame) -> DataFrame:
 def _replace(spark, table, headers, mapped, deliveries, multi_line) -> ReplaceCounts:
     keys = _as_frame(spark, deliveries)
     groups = scan_groups(already_in(headers, keys), already_in(mapped, keys))
-    rows = scan_parts(spark, groups, table.schema(), multi_line)
-    # The delivery tag comes first in the table and is not a column of the parts.
-    return table.replace(rows)
+    return table.replace(scan_parts(spark, groups, table.schema(), multi_line))
 
 
 def _write(spark, table, headers, mapped, pending, multi_line, report) -> None:

@@ -65,12 +65,16 @@ def clustered(rows: DataFrame) -> DataFrame:
 
 def _append_months(spark: SparkSession, warehouse: BillingTable, path: str, wanted: DataFrame, keys: list[str]) -> None:
     """Replace the wanted exports' months in the warehouse, adding columns it lacks."""
-    exported = spark.read.option("mergeSchema", "true").parquet(path).schema
-    text = T.StructType([T.StructField(f.name, T.StringType()) if f.name in keys else f for f in exported.fields])
-    warehouse.evolve(schema_definitions(spark, text), on_renamed="keep")
-    rows = spark.read.schema(text).parquet(path)
+    files = exported_files(spark, path).join(wanted, keys, "left_semi")
+    # The files of one export share a schema: one footer for each is enough.
+    firsts = [r.path for r in files.groupBy(*keys).agg(F.min("path").alias("path")).collect()]
+    stored = spark.read.option("mergeSchema", "true").parquet(*firsts).schema
+    fields = [f for f in stored.fields if f.name not in keys] + [T.StructField(k, T.StringType()) for k in keys]
+    schema = T.StructType(fields)
+    warehouse.evolve(schema_definitions(spark, schema), on_renamed="keep")
     months = [r.billing_period for r in wanted.select(PARTITION).distinct().collect()]
-    rows = rows.where(F.col(PARTITION).isin(months)).join(wanted.select(*keys), keys, "left_semi")
+    rows = spark.read.schema(schema).parquet(path).where(F.col(PARTITION).isin(months))
+    rows = rows.join(wanted, keys, "left_semi")
     warehouse.replace(clustered(conform(rows, warehouse.schema(), PARTITION)))
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DELIVERY = ["billing_period", "execution_id"]
-PAIRS = "billing_period string, execution_id string"
 
 
 def loaded_pairs(rows: DataFrame) -> DataFrame:
@@ -20,10 +19,9 @@ def loaded_map(rows: DataFrame) -> DataFrame:
     return rows.where("execution_id IS NOT NULL").groupBy("billing_period").agg(live)
 
 
-def loaded_state(warehouse: DataFrame | None, table: DataFrame | None, empty: DataFrame) -> DataFrame:
-    """Loaded map of the warehouse if there is one, else of the local table, else nothing."""
-    rows = warehouse if warehouse is not None else table
-    return loaded_map(rows if rows is not None else empty)
+def loaded_state(warehouse: DataFrame | None, table: DataFrame) -> DataFrame:
+    """Loaded map of the warehouse if one is named, else of the local table."""
+    return loaded_map(table if warehouse is None else warehouse)
 
 
 def periods(rows: DataFrame) -> DataFrame:

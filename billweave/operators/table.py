@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,21 +60,32 @@ class BillingTable:
         self.columns = f"{self.root}/columns"
         self.rejects = f"{self.root}/rejects"
         self.ledger = f"{self.root}/ledger"
+        self._definitions: list[Row] | None = None
+
+    def _recorded(self) -> list[Row]:
+        """Definitions in table order, read once per object: a few hundred rows of metadata.
+
+        Of a name recorded twice, by two writers at once, the first definition stays.
+        """
+        if self._definitions is None:
+            rows = read_if_present(self.spark, self.columns, DEFINITIONS_SCHEMA).collect()
+            # Newest month first within one version: sort by position, then by month downwards.
+            rows.sort(key=lambda d: d.rank_pos)
+            rows.sort(key=lambda d: d.rank_period, reverse=True)
+            rows.sort(key=lambda d: d.version)
+            first: dict[str, Row] = {}
+            for row in rows:
+                first.setdefault(row.normalized_name, row)
+            self._definitions = list(first.values())
+        return self._definitions
 
     def definitions(self) -> DataFrame:
-        """The table's column definitions; the first one recorded for a name stays."""
-        recorded = read_if_present(self.spark, self.columns, DEFINITIONS_SCHEMA)
-        first = F.min_by(F.struct(*recorded.columns), F.struct("version", "rank_period", "rank_pos"))
-        return recorded.groupBy("normalized_name").agg(first.alias("d")).select("d.*")
+        """The table's column definitions."""
+        return self.spark.createDataFrame(self._recorded(), DEFINITIONS_SCHEMA)
 
     def schema(self) -> T.StructType:
         """Table schema, delivery tag first, then columns in the order they came in."""
-        rows = self.definitions().collect()
-        # Newest month first within one version: sort by position, then by month downwards.
-        rows.sort(key=lambda d: d.rank_pos)
-        rows.sort(key=lambda d: d.rank_period, reverse=True)
-        rows.sort(key=lambda d: d.version)
-        return table_schema(rows)
+        return table_schema(self._recorded())
 
     def rows(self) -> DataFrame:
         """The table under its full schema; older files read back NULL in later columns."""
@@ -82,7 +93,7 @@ class BillingTable:
         return read_if_present(self.spark, self.data, T.StructType(fields))
 
     def exists(self) -> bool:
-        return not self.definitions().isEmpty()
+        return bool(self._recorded())
 
     def evolve(self, defs: DataFrame, on_renamed: str = "fail") -> list[str]:
         """Record the columns of ``defs`` that the table lacks; returns their names.
@@ -95,26 +106,34 @@ class BillingTable:
             renamed = renamed_columns(defs, existing).take(1)
             if renamed:
                 raise ValueError(f"column changed its original: {renamed[0].asDict()}")
-        version = existing.agg(F.coalesce(F.max("version"), F.lit(0)).alias("v")).first().v + 1
+        version = max((d.version for d in self._recorded()), default=0) + 1
         added = unified_schema(new_columns(defs, existing)).withColumn("version", F.lit(version))
         rows = added.select(*DEFINITION_FIELDS, "rank_period", "rank_pos", "version").collect()
         if rows:
             # A few hundred rows of metadata: one small file.
             self.spark.createDataFrame(rows, DEFINITIONS_SCHEMA).coalesce(1).write.mode("append").parquet(self.columns)
+            self._definitions = None
+        rows.sort(key=lambda d: (d.rank_period, -d.rank_pos), reverse=True)
         return [r.normalized_name for r in rows]
 
-    def replace(self, rows: DataFrame, max_records_per_file: int = 0) -> ReplaceCounts:
-        """Replace every month that ``rows`` holds by these rows, in one job without a shuffle.
+    def replace(self, rows: DataFrame, gather: bool = False, max_records_per_file: int = 0) -> ReplaceCounts:
+        """Replace every month that ``rows`` holds by these rows, in one job.
 
         ``rows`` has ``billing_period``, the month it was delivered for. A row dated in no month or
         in another one must not replace that month, so it goes to ``rejects``.
+
+        Rows scanned from parts are written as they come, without a shuffle, since a part holds one
+        month. With ``gather`` rows of any order are first brought together by month, or each task
+        would write a file for each month; adaptive execution splits large months and joins small
+        ones by measured size.
         """
         month = period_of(F.col(PERIOD_START))
         other = month != F.col(PARTITION)
         seen = Observation()
         tagged = conform(rows, self.schema(), PARTITION)
+        placed = tagged.hint("rebalance", F.col(PARTITION)) if gather else tagged
         (
-            tagged.observe(
+            placed.observe(
                 seen,
                 F.count("*").alias("rows_seen"),
                 F.count_if(month.isNull()).alias("null_period_rows"),

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from billweave.functions.keys import VENDOR
-from billweave.functions.periods import check_period, in_range
+from billweave.functions.periods import in_range
 from billweave.operators.export import export_deliveries
 from billweave.operators.load import LoadReport, load_deliveries
 from billweave.operators.publish import publish_deliveries
-from billweave.operators.state import not_in, loaded_map, run_plan
+from billweave.operators.state import DELIVERY, already_in, choose_deliveries, loaded_state, not_in, run_plan
 from billweave.operators.table import BillingTable
 from billweave.sources.listing import staged_parts
 from billweave.sources.manifests import scan_manifests
@@ -47,15 +47,22 @@ class RunReport:
 def pending_manifests(
     spark: SparkSession, places: Places, start: str | None = None, end: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Manifests in a month range that the local table has not loaded, and the unusable ones.
+    """Manifests in a month range whose delivery is not yet live at the end of the run, and rejects.
 
-    Each target is asked for its own state, so a full warehouse does not leave a new table empty.
+    The end is the warehouse if there is one, else the table; each later step then asks its own
+    target, so an interrupted run goes on where it stopped.
     """
-    check_period(start)
-    check_period(end)
     manifests, rejects = scan_manifests(spark, places.store, places.prefix, places.export, places.version)
-    loaded = loaded_map(BillingTable(spark, places.table).rows())
-    return not_in(manifests.where(in_range(F.col("billing_period"), start, end)), loaded), rejects
+    listed = manifests.where(in_range(F.col("billing_period"), start, end))
+    live = choose_deliveries(listed.select(*DELIVERY, "manifest_path"), F.struct("manifest_path", "execution_id"))
+    warehouse = BillingTable(spark, places.warehouse).rows() if places.warehouse else None
+    table = BillingTable(spark, places.table).rows()
+    pending = not_in(live.where("keep"), loaded_state(warehouse, table))
+    # Held as values: once the run has written, the same question has another answer.
+    keys = spark.createDataFrame(
+        [tuple(row) for row in pending.select(*DELIVERY).collect()], "billing_period string, execution_id string"
+    )
+    return already_in(listed, keys), rejects
 
 
 def run(
@@ -71,16 +78,14 @@ def run(
 ) -> RunReport:
     """Load new deliveries, export them, and publish them if a warehouse is named."""
     pending, rejects = pending_manifests(spark, places, start, end)
-    # The plan asks the table's state; it is taken before the load changes that state.
-    planned = run_plan(pending).collect()
-    report = RunReport(spark.createDataFrame(planned, "billing_period string, deliveries bigint"), rejects)
-    if dry_run or not planned:
+    report = RunReport(run_plan(pending), rejects)
+    if dry_run or pending.isEmpty():
         return report
     table = BillingTable(spark, places.table)
     report.load = load_deliveries(spark, pending, staged_parts(spark, places.staging), table, **load_options)
-    done = report.load.results.where("status = 'success'").select("billing_period", "execution_id")
+    in_table = report.load.results.where(F.col("status").isin("success", "skipped")).select(*DELIVERY)
     report.exported = export_deliveries(
-        spark, table, done, places.exports, vendor=places.vendor, overwrite=overwrite, compression=compression
+        spark, table, in_table, places.exports, vendor=places.vendor, overwrite=overwrite, compression=compression
     )
     if places.warehouse:
         ready = report.exported.where("status != 'failed'")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import csv
-import io
 from collections.abc import Iterator
 from functools import reduce
 
@@ -15,25 +13,12 @@ from pyspark.sql import types as T
 from billweave.functions.names import normalize_name
 from billweave.functions.types import DEFAULT_TYPE, spark_type
 from billweave.operators.columns import conform, unique_names
+from billweave.sources.files import record_reader
+from billweave.sources.listing import STAGED_PART, path_group
 
-PART_DELIVERY = r"/(?:[^/=]+=)?([^/=]+)/(?:[^/=]+=)?([^/=]+)/[^/]+$"
 HEADER_SCHEMA = "billing_period string, execution_id string, path string, header array<string>"
 
 
-def first_record(path: str) -> list[str] | None:
-    """First CSV record of one file; only the first blocks of the file are read."""
-    from pyarrow import fs
-
-    scheme, _, rest = path.partition(":")
-    if scheme == "file" or "/" in scheme:
-        system, inner = fs.LocalFileSystem(), ("/" + rest.lstrip("/") if scheme == "file" else path)
-    else:
-        system, inner = fs.FileSystem.from_uri(path.replace("s3a:", "s3:", 1))
-    codec = "gzip" if path.endswith(".gz") else None
-    with system.open_input_stream(inner, compression=codec) as stream:
-        return next(csv.reader(io.TextIOWrapper(stream, encoding="utf-8", newline="")), None)
-
-
 def read_headers(parts: DataFrame) -> DataFrame:
     """Header of every part, read where the part's task runs.
 
@@ -41,6 +26,8 @@ def read_headers(parts: DataFrame) -> DataFrame:
     would read it whole, so the task opens the file and takes one record.
     """
 
+    first_record = record_reader()
+
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield batch.assign(header=[first_record(path) for path in batch["path"]])
@@ -143,8 +130,8 @@ def typed_scan(
         for f in fields
     ]
     return read.select(
-        F.regexp_extract(path, PART_DELIVERY, 1).alias("billing_period"),
-        F.regexp_extract(path, PART_DELIVERY, 2).alias("execution_id"),
+        path_group(path, STAGED_PART, 1).alias("billing_period"),
+        path_group(path, STAGED_PART, 2).alias("execution_id"),
         *values,
     )
 

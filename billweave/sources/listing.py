@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from billweave.functions.keys import VENDOR, parse_export_name
@@ -23,12 +23,18 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
     return read_if_present(spark, root, FILE_COLUMNS, "binaryFile", **options).select("path", "length")
 
 
+def path_group(path: Column, pattern: str, group: int) -> Column:
+    """A part of a path; a partitioned Spark write escapes characters such as a colon in it."""
+    # A plus sign is itself in a path, but a space to url_decode.
+    return F.url_decode(F.replace(F.regexp_extract(path, pattern, group), F.lit("+"), F.lit("%2B")))
+
+
 def staged_parts(spark: SparkSession, staging: str) -> DataFrame:
     """One row per staged CSV part; other files are left out."""
     part = F.col("path")
     return list_files(spark, staging).where(part.rlike(STAGED_PART)).select(
-        F.regexp_extract(part, STAGED_PART, 1).alias("billing_period"),
-        F.regexp_extract(part, STAGED_PART, 2).alias("execution_id"),
+        path_group(part, STAGED_PART, 1).alias("billing_period"),
+        path_group(part, STAGED_PART, 2).alias("execution_id"),
         F.regexp_extract(part, STAGED_PART, 3).alias("file_name"),
         "path",
         "length",
@@ -43,9 +49,9 @@ def staged_deliveries(parts: DataFrame) -> DataFrame:
 def exported_files(spark: SparkSession, root: str) -> DataFrame:
     """Exported Parquet files below a partitioned export, with their month and delivery."""
     part = F.col("path")
-    execution = F.nullif(F.regexp_extract(part, EXPORTED_PART, 2), F.lit(""))
+    execution = F.nullif(path_group(part, EXPORTED_PART, 2), F.lit(""))
     return list_files(spark, root, "*.parquet").where(part.rlike(EXPORTED_PART)).select(
-        F.regexp_extract(part, EXPORTED_PART, 1).alias("billing_period"),
+        path_group(part, EXPORTED_PART, 1).alias("billing_period"),
         execution.alias("execution_id"),
         "path",
         "length",

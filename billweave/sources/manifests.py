@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from billweave.functions.names import original_name
-from billweave.functions.periods import manifest_period
+from billweave.functions.periods import is_valid_period, manifest_period
 from billweave.session import read_if_present
 
 # Manifest JSON fields, default compression, and where manifests lie below
@@ -99,7 +99,7 @@ def split_manifests(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     reason = (
         F.when(F.col(CORRUPT).isNotNull(), F.lit("bad JSON"))
         .when(F.col("execution_id").isNull(), F.lit("no delivery id"))
-        .when(F.col("billing_period") == "unknown", F.lit("no billing month"))
+        .when(~is_valid_period(F.col("billing_period")), F.lit("no billing month"))
     )
     flagged = parsed.withColumn("reason", reason)
     good = flagged.where("reason IS NULL").drop(CORRUPT, "reason")
