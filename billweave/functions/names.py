@@ -25,16 +25,33 @@ def original_name(category: Column, name: Column) -> Column:
     return F.concat(F.coalesce(category, F.lit("")), F.lit("/"), F.coalesce(name, F.lit("")))
 
 
-def normalize_name(original: Column) -> Column:
+def snake_name(original: Column) -> Column:
     """Lower snake case; each run of other characters is one inner underscore."""
     snake = F.lower(F.regexp_replace(original, CAMEL_BOUNDARY, "$1_$2"))
-    bare = F.btrim(F.regexp_replace(snake, "[^a-z0-9]+", "_"), F.lit("_"))
-    safe = (
-        F.when(bare == "", F.lit(EMPTY_NAME))
-        .when(bare.rlike("^[0-9]"), F.concat(F.lit(DIGIT_PREFIX), bare))
-        .otherwise(bare)
+    return F.btrim(F.regexp_replace(snake, "[^a-z0-9]+", "_"), F.lit("_"))
+
+
+def named(snake: Column) -> Column:
+    """A name in place of an empty one, and a prefix for one that begins with a digit."""
+    return (
+        F.when(snake == "", F.lit(EMPTY_NAME))
+        .when(snake.rlike("^[0-9]"), F.concat(F.lit(DIGIT_PREFIX), snake))
+        .otherwise(snake)
     )
-    return F.when(safe.isin(RESERVED_WORDS), F.concat(safe, F.lit(RESERVED_SUFFIX))).otherwise(safe)
+
+
+def unreserved(name: Column) -> Column:
+    return F.when(name.isin(RESERVED_WORDS), F.concat(name, F.lit(RESERVED_SUFFIX))).otherwise(name)
+
+
+def normalize_name(original: Column) -> Column:
+    """Clean column name of an original; the three steps in this order."""
+    return unreserved(named(snake_name(original)))
+
+
+def normalize_names(originals: Column) -> Column:
+    """The same for an array. Each step is a pass of its own, so none is evaluated repeatedly."""
+    return F.transform(F.transform(F.transform(originals, snake_name), named), unreserved)
 
 
 def suffixed(base: Column, ordinal: Column) -> Column:

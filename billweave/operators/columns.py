@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from billweave.functions.names import normalize_name, original_name, suffixed
+from billweave.functions.names import normalize_names, original_name, suffixed
 from billweave.functions.types import checked_cast, spark_type, table_type
 
 DEFINITION_FIELDS = ["original_name", "normalized_name", "category", "source_type", "table_type"]
@@ -46,9 +46,7 @@ def column_defs(manifests: DataFrame, cost_scale: int = 2, text_categories: Iter
         "billing_period",
         "execution_id",
         "columns",
-        F.transform(
-            "columns", lambda c: normalize_name(original_name(c["category"], c["name"]))
-        ).alias("bases"),
+        normalize_names(F.transform("columns", lambda c: original_name(c["category"], c["name"]))).alias("bases"),
     )
     rows = named.select(
         "billing_period",
@@ -68,40 +66,36 @@ def column_defs(manifests: DataFrame, cost_scale: int = 2, text_categories: Iter
     )
 
 
-def unified_schema(defs: DataFrame) -> DataFrame:
+def merged_definitions(defs: DataFrame) -> DataFrame:
     """One definition per name over all manifests: the newest month's, then the first by position.
 
-    ``rank_period, rank_pos`` give the table order. Partial aggregation leaves one row per name on
-    each mapper before the shuffle.
+    ``rank_period, rank_pos`` give the table order; ``other_originals`` are further originals that
+    other manifests gave the same name. Partial aggregation leaves one row per name on each mapper
+    before the shuffle.
     """
     newest_first = F.struct("billing_period", "execution_id", -F.col("pos"))
     picked = F.max_by(F.struct(*DEFINITION_FIELDS, "billing_period", "pos"), newest_first)
-    return (
-        defs.groupBy("normalized_name")
-        .agg(picked.alias("d"))
-        .select(
-            *[F.col(f"d.{field}") for field in DEFINITION_FIELDS],
-            F.col("d.billing_period").alias("rank_period"),
-            F.col("d.pos").alias("rank_pos"),
-        )
+    merged = defs.groupBy("normalized_name").agg(
+        picked.alias("d"), F.collect_set("original_name").alias("originals")
+    )
+    return merged.select(
+        *[F.col(f"d.{field}") for field in DEFINITION_FIELDS],
+        F.col("d.billing_period").alias("rank_period"),
+        F.col("d.pos").alias("rank_pos"),
+        F.array_except("originals", F.array("d.original_name")).alias("other_originals"),
     )
 
 
+def unified_schema(defs: DataFrame) -> DataFrame:
+    """The schema over all manifests, one row per column."""
+    return merged_definitions(defs).drop("other_originals")
+
+
 def new_columns(defs: DataFrame, existing: DataFrame) -> DataFrame:
     """Definitions whose name the table lacks."""
     return defs.join(existing.select("normalized_name").distinct(), "normalized_name", "left_anti")
 
 
-def renamed_columns(defs: DataFrame, existing: DataFrame) -> DataFrame:
-    """Names whose original differs from the one the table recorded, so data would be mixed."""
-    recorded = existing.select("normalized_name", F.col("original_name").alias("recorded_name"))
-    return (
-        defs.join(recorded, "normalized_name")
-        .where(F.col("original_name") != F.col("recorded_name"))
-        .select("billing_period", "execution_id", "normalized_name", "original_name", "recorded_name")
-    )
-
-
 def schema_summary(defs: DataFrame) -> DataFrame:
     """Column counts in total, by category and by type, in one pass."""
     level = F.grouping_id()

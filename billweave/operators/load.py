@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,9 @@ from billweave.operators.table import BillingTable, ReplaceCounts
 from billweave.sources.csv_parts import distinct_headers, map_headers, read_headers, scan_groups, scan_parts
 from billweave.sources.manifests import manifest_files
 
+# What a failed job raises, from the JVM or already converted.
+JOB_ERRORS = (PySparkException, Py4JJavaError)
+
 RESULT_SCHEMA = (
     "execution_id string, billing_period string, files_loaded bigint, rows_loaded bigint, "
     "status string, error string"
@@ -161,7 +165,7 @@ def _replace(spark, table, headers, mapped, deliveries, multi_line) -> ReplaceCo
 def _write(spark, table, headers, mapped, pending, multi_line, report) -> None:
     try:
         report.rejected_rows = _replace(spark, table, headers, mapped, pending, multi_line).rejected
-    except PySparkException as error:
+    except JOB_ERRORS as error:
         if len(pending) == 1:
             pending[0].fail(_message(error))
         else:
@@ -169,7 +173,7 @@ def _write(spark, table, headers, mapped, pending, multi_line, report) -> None:
                 try:
                     counts = _replace(spark, table, headers, mapped, [delivery], multi_line)
                     report.rejected_rows += counts.rejected
-                except PySparkException as single:
+                except JOB_ERRORS as single:
                     delivery.fail(_message(single))
     tried = [d for d in pending if d.status == "pending"]
     counts = {(r.billing_period, r.execution_id): r.rows for r in table.row_counts([d.billing_period for d in tried]).collect()}
@@ -182,7 +186,10 @@ def _write(spark, table, headers, mapped, pending, multi_line, report) -> None:
 
 
 def _message(error: Exception) -> str:
-    return str(error).strip().splitlines()[0][:500]
+    """The innermost cause, which names the bad value; outer ones only say that a task failed."""
+    text = str(error)
+    causes = [line.strip() for line in text.splitlines() if line.strip().startswith("Caused by: ")]
+    return (causes[-1].removeprefix("Caused by: ") if causes else text.strip().splitlines()[0])[:500]
 
 
 def _record(results: DataFrame, table: BillingTable) -> None:

@@ -12,10 +12,8 @@ from billweave.functions.periods import period_of
 from billweave.operators.columns import (
     DEFINITION_FIELDS,
     conform,
-    new_columns,
-    renamed_columns,
+    merged_definitions,
     table_schema,
-    unified_schema,
 )
 from billweave.session import read_if_present
 
@@ -98,23 +96,27 @@ class BillingTable:
     def evolve(self, defs: DataFrame, on_renamed: str = "fail") -> list[str]:
         """Record the columns of ``defs`` that the table lacks; returns their names.
 
-        Existing columns keep their type. A name that now stands for another original fails, unless
-        ``on_renamed`` is ``"keep"``.
+        Existing columns keep their type. A name that stands for different originals, in ``defs`` or
+        in the table, would mix their data and fails, unless ``on_renamed`` is ``"keep"``.
         """
-        existing = self.definitions()
+        recorded = {d.normalized_name: d for d in self._recorded()}
+        # One row per column name: metadata that the driver needs for the schema anyway.
+        incoming = merged_definitions(defs).collect()
         if on_renamed == "fail":
-            renamed = renamed_columns(defs, existing).take(1)
-            if renamed:
-                raise ValueError(f"column changed its original: {renamed[0].asDict()}")
-        version = max((d.version for d in self._recorded()), default=0) + 1
-        added = unified_schema(new_columns(defs, existing)).withColumn("version", F.lit(version))
-        rows = added.select(*DEFINITION_FIELDS, "rank_period", "rank_pos", "version").collect()
-        if rows:
-            # A few hundred rows of metadata: one small file.
+            for d in incoming:
+                known = {recorded[d.normalized_name].original_name} if d.normalized_name in recorded else set()
+                originals = known | {d.original_name, *d.other_originals}
+                if len(originals) > 1:
+                    raise ValueError(f"column {d.normalized_name} has different originals: {sorted(originals)}")
+        version = max((d.version for d in recorded.values()), default=0) + 1
+        new = [d for d in incoming if d.normalized_name not in recorded]
+        new.sort(key=lambda d: (d.rank_period, -d.rank_pos), reverse=True)
+        if new:
+            fields = [*DEFINITION_FIELDS, "rank_period", "rank_pos"]
+            rows = [(*[d[field] for field in fields], version) for d in new]
             self.spark.createDataFrame(rows, DEFINITIONS_SCHEMA).coalesce(1).write.mode("append").parquet(self.columns)
             self._definitions = None
-        rows.sort(key=lambda d: (d.rank_period, -d.rank_pos), reverse=True)
-        return [r.normalized_name for r in rows]
+        return [d.normalized_name for d in new]
 
     def replace(self, rows: DataFrame, gather: bool = False, max_records_per_file: int = 0) -> ReplaceCounts:
         """Replace every month that ``rows`` holds by these rows, in one job.

@@ -175,16 +175,13 @@ def unified_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @checked(
-    f"""WITH {DEFS_SQL}, known AS (SELECT DISTINCT normalized_name FROM defs
-        WHERE execution_id = (SELECT min(execution_id) FROM defs))
-    SELECT billing_period, execution_id, normalized_name, table_type FROM defs
-    WHERE normalized_name NOT IN (SELECT normalized_name FROM known)"""
+    f"""WITH {DEFS_SQL} SELECT billing_period, execution_id, normalized_name, table_type FROM defs
+    WHERE normalized_name NOT IN (SELECT normalized_name FROM defs WHERE source_type <> 'BigDecimal' OR pos < 7)"""
 )
 def columns_to_add(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Columns of all deliveries that a table made from one execution's deliveries lacks."""
+    """Columns of all deliveries that a table holding only the billing columns lacks."""
     defs = _defs(spark, sf_dir)
-    first = defs.agg(F.min("execution_id").alias("execution_id"))
-    known = defs.join(F.broadcast(first), "execution_id", "left_semi")
+    known = defs.where("source_type <> 'BigDecimal' OR pos < 7")
     return new_columns(defs, known).select("billing_period", "execution_id", "normalized_name", "table_type")
 
 

@@ -18,6 +18,8 @@ def local_session(app: str = "billweave", cpus: int | str = 8, memory: str = "8g
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
+        # Small test data: partitions of a few megabytes keep all cores at work.
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4m")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )

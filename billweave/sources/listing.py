@@ -29,18 +29,22 @@ def path_group(path: Column, pattern: str, group: int) -> Column:
     return F.url_decode(F.replace(F.regexp_extract(path, pattern, group), F.lit("+"), F.lit("%2B")))
 
 
-def staged_parts(spark: SparkSession, staging: str) -> DataFrame:
-    """One row per staged CSV part; other files are left out."""
+def delivery_columns(files: DataFrame) -> DataFrame:
+    """Month, delivery and file name of those paths that are staged parts."""
     part = F.col("path")
-    return list_files(spark, staging).where(part.rlike(STAGED_PART)).select(
+    return files.where(part.rlike(STAGED_PART)).select(
         path_group(part, STAGED_PART, 1).alias("billing_period"),
         path_group(part, STAGED_PART, 2).alias("execution_id"),
         F.regexp_extract(part, STAGED_PART, 3).alias("file_name"),
         "path",
-        "length",
     )
 
 
+def staged_parts(spark: SparkSession, staging: str) -> DataFrame:
+    """One row per staged CSV part; other files are left out."""
+    return delivery_columns(list_files(spark, staging))
+
+
 def staged_deliveries(parts: DataFrame) -> DataFrame:
     """Deliveries that have at least one staged part."""
     return parts.select("billing_period", "execution_id").distinct()
