@@ -44,24 +44,23 @@ def scan_manifests(
 ) -> tuple[DataFrame, DataFrame]:
     """Manifests of one export, and the files that were no usable manifest with the reason.
 
-    Files are listed and parsed by the JSON source in one pass; a bad file becomes a reject and
-    does not stop the others.
+    Files are listed and read whole by the text source and parsed in one pass; a bad file becomes a
+    reject and does not stop the others. The JSON source would parse only the fields a query asks
+    for, so that the same file could be good in one query and bad in another.
     """
     pattern = manifest_pattern(root, prefix, export, version)
-    read = read_if_present(
+    texts = read_if_present(
         spark,
         f"{root.rstrip('/')}/{prefix.strip('/')}/{export}",
-        f"{MANIFEST_JSON}, {CORRUPT} string",
-        "json",
+        "value string",
+        "text",
         "manifest_path",
-        multiLine="true",
-        mode="PERMISSIVE",
-        columnNameOfCorruptRecord=CORRUPT,
+        wholetext="true",
         recursiveFileLookup="true",
         pathGlobFilter="*-Manifest.json",
-    )
-    found = read.where(F.col("manifest_path").rlike(pattern))
-    return split_manifests(parse_manifests(found, version))
+    ).where(F.col("manifest_path").rlike(pattern))
+    parsed = texts.select("manifest_path", parse_manifest_text(F.col("value")).alias("manifest"))
+    return split_manifests(parse_manifests(parsed.select("manifest_path", "manifest.*"), version))
 
 
 def parse_manifest_text(text: Column) -> Column:
