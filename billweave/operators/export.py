@@ -8,30 +8,51 @@ from pyspark.sql import types as T
 
 from billweave.functions.keys import VENDOR, delivery_key
 from billweave.operators.state import DELIVERY, has_data
-from billweave.operators.table import PARTITION, SORT_KEYS, BillingTable
-from billweave.sources.listing import exported_files
+from billweave.operators.table import PARTITION, SORT_KEYS, USAGE_START, BillingTable
+from billweave.sources.listing import exported_files, partition_count
 
 # Codecs an export may use.
 CODECS = ("snappy", "gzip", "lz4", "zstd")
 
 
-
 def export_root(out: str, by: str, vendor: str = VENDOR) -> str:
     """Months and deliveries are exported side by side, as their folders differ in depth."""
     return f"{out.rstrip('/')}/{vendor}/by_{by}"
 
 
-def sorted_rows(rows: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Rows in month and sort-key order over all files, and sorted inside each file.
+def sorted_rows(rows: DataFrame, partitions: int, total_order: bool = True) -> DataFrame:
+    """Rows sorted inside each file, and with ``total_order`` over all files of a month too.
+
+    Total order takes ranges of the sort keys. The last range key is the row's place in its source
+    file: with it a month, an account or a run of equal rows that holds a large share of the data is
+    still split over many tasks. The range bounds are sampled, so the wanted months are read twice.
 
-    The last range key is the row's place in its source file. With it a month, an account or a run
-    of equal rows that holds a large share of the data is still split over many tasks. The range
-    bounds are sampled, so the wanted months are read twice; without ``partitions`` adaptive
-    execution joins small ranges.
+    Without it rows are gathered by month and usage day and read once; adaptive execution splits
+    large days by measured size.
     """
+    shuffle = partitions_for(rows, partitions)
     keys = [PARTITION, *SORT_KEYS, "_place"]
-    size = [partitions] if partitions else []
-    return rows.repartitionByRange(*size, *keys).sortWithinPartitions(*keys).drop("_place")
+    if total_order:
+        gathered = rows.repartitionByRange(shuffle, *keys)
+    else:
+        gathered = gather_days(rows, shuffle)
+    return gathered.sortWithinPartitions(*keys).drop("_place")
+
+
+def partitions_for(rows: DataFrame, partitions: int) -> int:
+    """At least the session's shuffle width, so that small exports use all cores too."""
+    return max(partitions, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def gather_days(rows: DataFrame, partitions: int) -> DataFrame:
+    """Rows brought together by month and usage day for a write.
+
+    The rebalance hint lets adaptive execution split a day or month that holds a large share of the
+    rows and join small ones, from sizes it has measured; nothing is sampled or read twice.
+    """
+    day = "_usage_day"
+    sliced = rows.withColumn(day, F.col(USAGE_START).cast("date"))
+    return sliced.hint("rebalance", partitions, F.col(PARTITION), F.col(day)).drop(day)
 
 
 def placed(rows: DataFrame) -> DataFrame:
@@ -43,15 +64,16 @@ def write_sorted(
     rows: DataFrame,
     path: str,
     partition_by: list[str],
+    partitions: int,
     compression: str = "snappy",
-    partitions: int | None = None,
+    total_order: bool = True,
     max_records_per_file: int = 0,
 ) -> None:
     """Sort placed rows and write them; partitions in ``rows`` replace existing ones, others stay."""
     if compression not in CODECS:
         raise ValueError(f"compression must be one of {', '.join(CODECS)}, got {compression!r}")
     (
-        sorted_rows(rows, partitions)
+        sorted_rows(rows, partitions, total_order)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", compression)
@@ -62,12 +84,15 @@ def write_sorted(
 
 
 def _decide(spark: SparkSession, wanted: DataFrame, rows: DataFrame, path: str, keys: list[str], overwrite: bool) -> list:
-    """Wanted exports with their status before the write, held as values."""
+    """Wanted exports with their status before the write, held as values: months or deliveries."""
+    listed = [tuple(row) for row in wanted.select(*keys).distinct().collect()]
+    wanted = spark.createDataFrame(listed, ", ".join(f"{key} string" for key in keys))
+    rows = rows.where(F.col(PARTITION).isin([row[0] for row in listed]))
     present = exported_files(spark, path).select(*keys).distinct().withColumn("present", F.lit(not overwrite))
     status = (
         F.when(F.coalesce("present", F.lit(False)), "skipped").when(F.col("has_data"), "exported").otherwise("failed")
     )
-    checked = has_data(wanted.select(*keys).distinct(), rows, keys).join(present, keys, "left")
+    checked = has_data(wanted, rows, keys).join(present, keys, "left")
     return checked.select(*keys, status.alias("status")).collect()
 
 
@@ -88,6 +113,7 @@ def export_periods(
     overwrite: bool = False,
     compression: str = "snappy",
     partitions: int | None = None,
+    total_order: bool = True,
 ) -> DataFrame:
     """Export months; one status row each: exported, skipped (exists) or failed (no data)."""
     path = export_root(out, "period", vendor)
@@ -96,7 +122,8 @@ def export_periods(
     wanted = [d.billing_period for d in decided if d.status == "exported"]
     if wanted:
         chosen = placed(rows.where(F.col(PARTITION).isin(wanted)))
-        write_sorted(chosen, path, [PARTITION], compression, partitions)
+        partitions = partitions or partition_count(exported_files(spark, table.data), wanted)
+        write_sorted(chosen, path, [PARTITION], partitions, compression, total_order)
     return _statuses(spark, decided)
 
 
@@ -110,6 +137,7 @@ def export_deliveries(
     overwrite: bool = False,
     compression: str = "snappy",
     partitions: int | None = None,
+    total_order: bool = True,
 ) -> DataFrame:
     """Export deliveries; status as in :func:`export_periods`, one row per delivery."""
     path = export_root(out, "execution", vendor)
@@ -118,9 +146,12 @@ def export_deliveries(
     wanted = [(d.billing_period, d.execution_id) for d in decided if d.status == "exported"]
     if wanted:
         # The months prune partitions, the pairs then choose deliveries inside them.
-        pruned = placed(rows.where(F.col(PARTITION).isin([p for p, _ in wanted])))
+        months = [p for p, _ in wanted]
+        pruned = placed(rows.where(F.col(PARTITION).isin(months)))
         pairs = spark.createDataFrame(wanted, "billing_period string, execution_id string")
-        write_sorted(pruned.join(pairs, DELIVERY, "left_semi"), path, DELIVERY, compression, partitions)
+        chosen = pruned.join(pairs, DELIVERY, "left_semi")
+        partitions = partitions or partition_count(exported_files(spark, table.data), months)
+        write_sorted(chosen, path, DELIVERY, partitions, compression, total_order)
     return _statuses(spark, decided)
 
 

@@ -29,6 +29,16 @@ def append_ledger(entries: DataFrame, path: str) -> None:
     entries.write.mode("append").parquet(path)
 
 
+def record_loads(spark: SparkSession, loads: list[tuple], path: str) -> None:
+    """Add an entry, timed now, for each ``(period, execution, row_count, state, error)`` of a run."""
+    if loads:
+        fields = [f for f in LEDGER_SCHEMA.split(", ") if not f.startswith("load_timestamp")]
+        now = F.current_timestamp().cast("timestamp_ntz")
+        entries = spark.createDataFrame(loads, ", ".join(fields)).withColumn("load_timestamp", now)
+        names = [f.split()[0] for f in LEDGER_SCHEMA.split(", ")]
+        append_ledger(entries.select(*names).coalesce(1), path)
+
+
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return read_if_present(spark, path, LEDGER_SCHEMA)
 
@@ -39,6 +49,12 @@ def current_loads(ledger: DataFrame) -> DataFrame:
     return ledger.groupBy("billing_period").agg(F.max(entry).alias("last")).select("billing_period", "last.*")
 
 
+def live_deliveries(ledger: DataFrame) -> DataFrame:
+    """The delivery last loaded for each month. A failure after it left it in place."""
+    loaded = current_loads(ledger.where("state = 'loaded'"))
+    return loaded.select("billing_period", "execution_id")
+
+
 def loaded_periods(ledger: DataFrame) -> DataFrame:
     return current_loads(ledger).where("state = 'loaded'")
 

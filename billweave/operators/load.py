@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from billweave.functions.types import DEFAULT_TYPE
 from billweave.operators.columns import column_defs
 from billweave.operators.completeness import delivery_completeness
-from billweave.operators.ledger import LEDGER_SCHEMA, append_ledger
-from billweave.operators.state import DELIVERY, already_in, choose_deliveries, loaded_pairs
+from billweave.operators.ledger import record_loads
+from billweave.operators.state import DELIVERY, already_in, choose_deliveries
 from billweave.operators.table import BillingTable, ReplaceCounts
 from billweave.sources.csv_parts import distinct_headers, map_headers, read_headers, scan_groups, scan_parts
 from billweave.sources.manifests import manifest_files
@@ -60,7 +60,7 @@ class _Delivery:
         return self.execution_id, self.billing_period, files, rows, self.status, self.error
 
 
-def _decide(manifests: DataFrame, parts: DataFrame, table: BillingTable, overwrite: bool) -> list[_Delivery]:
+def _decide(manifests: DataFrame, parts: DataFrame, loaded: DataFrame, overwrite: bool) -> list[_Delivery]:
     """One decision per delivery: superseded by a later one, skipped, incomplete or pending.
 
     The month's delivery is chosen before asking what is loaded, so an earlier delivery that is
@@ -69,7 +69,7 @@ def _decide(manifests: DataFrame, parts: DataFrame, table: BillingTable, overwri
     """
     listed = manifests.select(*DELIVERY, "manifest_path").distinct()
     chosen = choose_deliveries(listed, F.struct("manifest_path", "execution_id"))
-    done = loaded_pairs(table.rows()).withColumn("done", F.lit(not overwrite))
+    done = loaded.withColumn("done", F.lit(not overwrite))
     counts = delivery_completeness(manifest_files(manifests), parts)
     state = chosen.join(done, DELIVERY, "left").join(counts, DELIVERY, "left")
     decided = []
@@ -100,16 +100,18 @@ def load_deliveries(
     on_renamed: str = "fail",
     cost_scale: int = 2,
     multi_line: bool = True,
+    state: str = "rows",
 ) -> LoadReport:
     """Load every new, complete delivery; one per month, all months in one write job.
 
     A delivery that fails a check is left out before anything is written and its month stays as it
     was. If the common job fails, on a bad value for instance, deliveries are loaded one by one so
-    that only the bad one fails.
+    that only the bad one fails. ``state="ledger"`` asks the table's ledger what is loaded instead of
+    its rows.
     """
     if on_unknown not in ("fail", "add"):
         raise ValueError(f"on_unknown must be 'fail' or 'add', got {on_unknown!r}")
-    decided = _decide(manifests, parts, table, overwrite)
+    decided = _decide(manifests, parts, table.deliveries(state), overwrite)
     report = LoadReport(results=None)
     pending = [d for d in decided if d.status == "pending"]
     if pending:
@@ -126,11 +128,14 @@ def load_deliveries(
         if pending:
             defs = already_in(defs, _as_frame(spark, pending))
             report.added_columns = table.evolve(defs, on_renamed)
+            record_loads(spark, [(*d.key, 0, "loading", None) for d in pending], table.ledger)
             _write(spark, table, headers, mapped, pending, multi_line, report)
         mapped.unpersist()
         headers.unpersist()
     report.results = spark.createDataFrame([d.result() for d in decided], RESULT_SCHEMA)
-    _record(report.results, table)
+    done = [d for d in decided if d.status in ("success", "failed")]
+    states = {"success": "loaded", "failed": "failed"}
+    record_loads(spark, [(*d.key, d.rows, states[d.status], d.error) for d in done], table.ledger)
     return report
 
 
@@ -190,17 +195,3 @@ def _message(error: Exception) -> str:
     text = str(error)
     causes = [line.strip() for line in text.splitlines() if line.strip().startswith("Caused by: ")]
     return (causes[-1].removeprefix("Caused by: ") if causes else text.strip().splitlines()[0])[:500]
-
-
-def _record(results: DataFrame, table: BillingTable) -> None:
-    """Ledger entries of this run's loads and failures."""
-    done = results.where(F.col("status").isin("success", "failed"))
-    entries = done.select(
-        "billing_period",
-        "execution_id",
-        F.current_timestamp().cast("timestamp_ntz").alias("load_timestamp"),
-        F.col("rows_loaded").alias("row_count"),
-        F.when(F.col("status") == "success", "loaded").otherwise("failed").alias("state"),
-        F.col("error").alias("error_message"),
-    )
-    append_ledger(entries.select(*[c.split()[0] for c in LEDGER_SCHEMA.split(", ")]), table.ledger)

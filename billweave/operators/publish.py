@@ -9,14 +9,11 @@ from pyspark.sql import types as T
 from billweave.functions.keys import VENDOR, delivery_key
 from billweave.functions.types import table_type_name
 from billweave.operators.columns import conform
-from billweave.operators.export import export_root
+from billweave.operators.export import export_root, gather_days, partitions_for
+from billweave.operators.ledger import record_loads
 from billweave.operators.state import DELIVERY, loaded_map
 from billweave.operators.table import PARTITION, USAGE_START, BillingTable
-from billweave.sources.listing import exported_files, list_files
-
-# Rows of one usage day are kept together, so files and row groups cover few days.
-CLUSTER_SLICE = "_usage_day"
-
+from billweave.sources.listing import exported_files, list_files, partition_count
 
 def first_file_schema(spark: SparkSession, root: str) -> T.StructType:
     """Schema of the first Parquet file by name; only its footer is read."""
@@ -49,33 +46,50 @@ def schema_definitions(spark: SparkSession, schema: T.StructType, period: str =
     )
 
 
-def clustered(rows: DataFrame) -> DataFrame:
+def clustered(rows: DataFrame, partitions: int) -> DataFrame:
     """Rows gathered by month and usage day for the write, sorted on usage start in each task.
 
-    The rebalance hint lets adaptive execution split a day or month that holds a large share of the
-    rows and join small ones, from sizes it has measured; nothing is sampled or read twice.
+    Files and their row groups then cover few days each, so a filter on usage start skips most.
     """
-    sliced = rows.withColumn(CLUSTER_SLICE, F.col(USAGE_START).cast("date"))
-    return (
-        sliced.hint("rebalance", PARTITION, CLUSTER_SLICE)
-        .sortWithinPartitions(PARTITION, USAGE_START)
-        .drop(CLUSTER_SLICE)
-    )
+    gathered = gather_days(rows, partitions_for(rows, partitions))
+    return gathered.sortWithinPartitions(PARTITION, USAGE_START)
+
+
+def _entry(key: tuple, state: str, error: str | None = None) -> tuple:
+    """Ledger entry of a month, or of a month's delivery."""
+    period, execution = key if len(key) == 2 else (*key, None)
+    return period, execution, 0, state, error
+
 
+def _append_months(spark: SparkSession, warehouse: BillingTable, path: str, wanted: list[tuple]) -> None:
+    """Replace the wanted exports' months in the warehouse, adding columns it lacks.
 
-def _append_months(spark: SparkSession, warehouse: BillingTable, path: str, wanted: DataFrame, keys: list[str]) -> None:
-    """Replace the wanted exports' months in the warehouse, adding columns it lacks."""
-    files = exported_files(spark, path).join(wanted, keys, "left_semi")
+    ``wanted`` holds months, or months with their delivery. The ledger gets an entry before the
+    write and one after it with the rows that the warehouse then holds.
+    """
+    keys = DELIVERY[: len(wanted[0])]
+    pairs = spark.createDataFrame(wanted, ", ".join(f"{key} string" for key in keys))
+    exported = exported_files(spark, path)
     # The files of one export share a schema: one footer for each is enough.
-    firsts = [r.path for r in files.groupBy(*keys).agg(F.min("path").alias("path")).collect()]
-    stored = spark.read.option("mergeSchema", "true").parquet(*firsts).schema
+    firsts = exported.join(pairs, keys, "left_semi").groupBy(*keys).agg(F.min("path").alias("path")).collect()
+    stored = spark.read.option("mergeSchema", "true").parquet(*[f.path for f in firsts]).schema
     fields = [f for f in stored.fields if f.name not in keys] + [T.StructField(k, T.StringType()) for k in keys]
     schema = T.StructType(fields)
     warehouse.evolve(schema_definitions(spark, schema), on_renamed="keep")
-    months = [r.billing_period for r in wanted.select(PARTITION).distinct().collect()]
-    rows = spark.read.schema(schema).parquet(path).where(F.col(PARTITION).isin(months))
-    rows = rows.join(wanted, keys, "left_semi")
-    warehouse.replace(clustered(conform(rows, warehouse.schema(), PARTITION)))
+    months = [key[0] for key in wanted]
+    rows = spark.read.schema(schema).parquet(path).where(F.col(PARTITION).isin(months)).join(pairs, keys, "left_semi")
+    record_loads(spark, [_entry(key, "loading") for key in wanted], warehouse.ledger)
+    partitions = partition_count(exported, months)
+    warehouse.replace(clustered(conform(rows, warehouse.schema(), PARTITION), partitions))
+    counts = warehouse.row_counts(months).collect()
+    record_loads(
+        spark, [(c.billing_period, c.execution_id, c.rows, "loaded", None) for c in counts], warehouse.ledger
+    )
+
+
+def _held(warehouse: BillingTable, months: list[str], state: str) -> DataFrame:
+    """The warehouse's live delivery of some months; of its rows only those months are read."""
+    return loaded_map(warehouse.deliveries(state).where(F.col(PARTITION).isin(months)))
 
 
 def publish_periods(
@@ -86,21 +100,21 @@ def publish_periods(
     *,
     vendor: str = VENDOR,
     overwrite: bool = True,
+    state: str = "rows",
 ) -> DataFrame:
     """Load months from their exports; a status row each: loaded, skipped or failed (no export).
 
     A month is taken from its month export, or else from the export of its greatest delivery. With
     ``overwrite=False`` months the warehouse already holds are skipped.
     """
+    months = [row[0] for row in periods.select(PARTITION).distinct().collect()]
     by_period = exported_files(spark, export_root(out, "period", vendor)).select(PARTITION).distinct()
-    by_execution = exported_files(spark, export_root(out, "execution", vendor))
-    live = by_execution.groupBy(PARTITION).agg(F.max("execution_id").alias("execution_id"))
-    held = loaded_map(warehouse.rows()).select(PARTITION, F.lit(not overwrite).alias("held"))
+    by_execution = loaded_map(exported_files(spark, export_root(out, "execution", vendor)))
+    held = _held(warehouse, months, state).select(PARTITION, F.lit(not overwrite).alias("held"))
     checked = (
-        periods.select(PARTITION)
-        .distinct()
+        spark.createDataFrame([(m,) for m in months], "billing_period string")
         .join(by_period.withColumn("whole", F.lit(True)), PARTITION, "left")
-        .join(live, PARTITION, "left")
+        .join(by_execution, PARTITION, "left")
         .join(held, PARTITION, "left")
     )
     status = (
@@ -112,11 +126,11 @@ def publish_periods(
     whole = [(d.billing_period,) for d in decided if d.status == "loaded" and d.whole]
     single = [(d.billing_period, d.execution_id) for d in decided if d.status == "loaded" and not d.whole]
     if whole:
-        wanted = spark.createDataFrame(whole, "billing_period string")
-        _append_months(spark, warehouse, export_root(out, "period", vendor), wanted, [PARTITION])
+        _append_months(spark, warehouse, export_root(out, "period", vendor), whole)
     if single:
-        wanted = spark.createDataFrame(single, "billing_period string, execution_id string")
-        _append_months(spark, warehouse, export_root(out, "execution", vendor), wanted, DELIVERY)
+        _append_months(spark, warehouse, export_root(out, "execution", vendor), single)
+    missing = [_entry((d.billing_period,), "failed", "no export") for d in decided if d.status == "failed"]
+    record_loads(spark, missing, warehouse.ledger)
     return spark.createDataFrame(
         [(d.billing_period, d.status) for d in decided], "billing_period string, status string"
     )
@@ -130,20 +144,26 @@ def publish_deliveries(
     *,
     vendor: str = VENDOR,
     overwrite: bool = False,
+    state: str = "rows",
 ) -> DataFrame:
     """Load deliveries from their exports unless the warehouse already holds them for their month."""
     path = export_root(out, "execution", vendor)
+    listed = [tuple(row) for row in deliveries.select(*DELIVERY).distinct().collect()]
     exports = exported_files(spark, path).select(*DELIVERY).distinct().withColumn("present", F.lit(True))
-    held = loaded_map(warehouse.rows()).withColumn("held", F.lit(not overwrite))
+    held = _held(warehouse, [month for month, _ in listed], state).withColumn("held", F.lit(not overwrite))
     status = (
         F.when(F.coalesce("held", F.lit(False)), "skipped").when(F.col("present"), "loaded").otherwise("failed")
     )
-    checked = deliveries.select(*DELIVERY).distinct().join(exports, DELIVERY, "left").join(held, DELIVERY, "left")
+    wanted = spark.createDataFrame(listed, "billing_period string, execution_id string")
+    checked = wanted.join(exports, DELIVERY, "left").join(held, DELIVERY, "left")
     decided = checked.select(*DELIVERY, status.alias("status")).collect()
     loaded = [(d.billing_period, d.execution_id) for d in decided if d.status == "loaded"]
     if loaded:
-        wanted = spark.createDataFrame(loaded, "billing_period string, execution_id string")
-        _append_months(spark, warehouse, path, wanted, DELIVERY)
+        _append_months(spark, warehouse, path, loaded)
+    missing = [
+        _entry((d.billing_period, d.execution_id), "failed", "no export") for d in decided if d.status == "failed"
+    ]
+    record_loads(spark, missing, warehouse.ledger)
     frame = spark.createDataFrame(
         [(d.billing_period, d.execution_id, d.status) for d in decided],
         "billing_period string, execution_id string, status string",

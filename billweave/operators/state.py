@@ -14,14 +14,12 @@ def loaded_pairs(rows: DataFrame) -> DataFrame:
 
 
 def loaded_map(rows: DataFrame) -> DataFrame:
-    """The live delivery of each month; of several, the greatest id."""
-    live = F.max("execution_id").alias("execution_id")
-    return rows.where("execution_id IS NOT NULL").groupBy("billing_period").agg(live)
+    """The live delivery of each month; of several, the greatest id.
 
-
-def loaded_state(warehouse: DataFrame | None, table: DataFrame) -> DataFrame:
-    """Loaded map of the warehouse if one is named, else of the local table."""
-    return loaded_map(table if warehouse is None else warehouse)
+    Pairs are made distinct first: that is a hash aggregate on each mapper, while the greatest of
+    text values sorts its input.
+    """
+    return loaded_pairs(rows).groupBy("billing_period").agg(F.max("execution_id").alias("execution_id"))
 
 
 def periods(rows: DataFrame) -> DataFrame:

@@ -15,6 +15,8 @@ from billweave.operators.columns import (
     merged_definitions,
     table_schema,
 )
+from billweave.operators.ledger import live_deliveries, read_ledger
+from billweave.operators.state import loaded_pairs
 from billweave.session import read_if_present
 
 # The columns the table's logic depends on.
@@ -153,6 +155,16 @@ class BillingTable:
             tagged.where(month.isNull() | other).write.mode("append").parquet(self.rejects)
         return counts
 
+    def deliveries(self, state: str = "rows") -> DataFrame:
+        """Loaded (month, delivery) pairs, from the rows or from the ledger of loads.
+
+        The rows are always right but the delivery column of the whole table is read; the ledger
+        grows with loads only, and is right as long as nothing else writes the table.
+        """
+        if state == "ledger":
+            return live_deliveries(read_ledger(self.spark, self.ledger))
+        return loaded_pairs(self.rows())
+
     def row_counts(self, periods: list[str]) -> DataFrame:
         """Rows per delivery in some months, from the table itself: only one column is read."""
         chosen = self.rows().where(F.col(PARTITION).isin(periods))

@@ -93,6 +93,13 @@ def billing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return billing_items(spark, sf_dir).select("execution_id", *BILLING_NAMES, "billing_period")
 
 
+def billed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Month and delivery of every order that has a billing row, without the rows themselves."""
+    items, orders, parts = (given(spark, sf_dir, t) for t in ("lineitem", "orders", "part"))
+    billed = items.join(parts, items.l_partkey == parts.p_partkey, "left_semi")
+    return orders.join(billed, orders.o_orderkey == billed.l_orderkey, "left_semi").select(*order_delivery())
+
+
 def base_columns() -> Column:
     """The billing columns as manifest column structs."""
     return F.array(
@@ -126,15 +133,19 @@ declared AS (
 def delivery_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One manifest per delivery: its line numbers are its files, its part names its tags.
 
-    Both sets are small and fixed by the source's vocabulary; they are gathered as distinct values
-    with partial aggregation, so a delivery's row count does not matter.
+    Both sets are small and fixed by the source's vocabulary. Rows are first made distinct on each
+    mapper, so a delivery's row count does not matter.
     """
     name = F.concat(F.lit("user:"), F.when(F.col("p_size") > 25, F.upper("p_name")).otherwise(F.col("p_name")))
-    tag = F.struct(F.lit("resourceTags").alias("category"), name.alias("name"), F.lit("BigDecimal").alias("type"))
+    tag = F.struct(
+        F.lit("resourceTags").alias("category"), F.col("tag_name").alias("name"), F.lit("BigDecimal").alias("type")
+    )
     file_name = F.concat(F.lit("part-"), F.col("l_linenumber").cast("string"), F.lit(".csv.gz"))
     key = F.concat_ws("/", "billing_period", "execution_id", file_name)
     return (
         billing_items(spark, sf_dir)
+        .select(*DELIVERY, "l_linenumber", name.alias("tag_name"))
+        .distinct()
         .groupBy(*DELIVERY)
         .agg(F.array_sort(F.collect_set(key)).alias("files"), F.array_sort(F.collect_set(tag)).alias("tags"))
         .select(
@@ -179,6 +190,7 @@ def manifest_json(manifests: DataFrame) -> DataFrame:
 def write_manifests(texts: DataFrame, store: str, version: str) -> None:
     """Write manifest files from tasks: a month's greatest delivery where the layout has it, the
     others in an archive folder, which is no part of the layout."""
+    texts = texts.persist()
     live = texts.groupBy("billing_period").agg(F.max("execution_id").alias("live"))
     first = F.to_date(F.concat("billing_period", F.lit("-01")))
     months = F.concat_ws("-", F.date_format(first, "yyyyMMdd"), F.date_format(F.add_months(first, 1), "yyyyMMdd"))
@@ -194,6 +206,7 @@ def write_manifests(texts: DataFrame, store: str, version: str) -> None:
             write_text(row.path, row.text)
 
     texts.join(live, "billing_period").select(path.alias("path"), "text").foreachPartition(write)
+    texts.unpersist()
 
 
 def stage_csv(spark: SparkSession, sf_dir: str, staging: str) -> None:

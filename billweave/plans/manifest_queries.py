@@ -27,7 +27,7 @@ from billweave.plans.given import (
     PREFIX,
     base_columns,
     billing_items,
-    billing_rows,
+    billed_orders,
     delivery_manifests,
     given,
     manifest_json,
@@ -279,13 +279,13 @@ live AS (SELECT billing_period, max(execution_id) AS execution_id FROM pairs GRO
 
 @checked(f"WITH {BILLING_SQL} SELECT DISTINCT billing_period, execution_id FROM billing")
 def loaded_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return loaded_pairs(billing_rows(spark, sf_dir))
+    return loaded_pairs(billed_orders(spark, sf_dir))
 
 
 @checked(f"WITH {_LOADED_SQL} SELECT * FROM live")
 def loaded_live(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The live delivery of each month."""
-    return loaded_map(billing_rows(spark, sf_dir))
+    return loaded_map(billed_orders(spark, sf_dir))
 
 
 @checked(
@@ -294,7 +294,7 @@ def loaded_live(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def new_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deliveries in a month range that are not the live one of their month."""
-    rows = billing_rows(spark, sf_dir)
+    rows = billed_orders(spark, sf_dir)
     listed = loaded_pairs(rows).where(in_range(F.col("billing_period"), "1996-01", "1997-06"))
     return not_in(listed, loaded_map(rows))
 
@@ -318,7 +318,7 @@ def new_deliveries_local(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def superseded_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Retention plan: which delivery of each month to keep."""
-    return choose_deliveries(loaded_pairs(billing_rows(spark, sf_dir)), F.col("execution_id"))
+    return choose_deliveries(loaded_pairs(billed_orders(spark, sf_dir)), F.col("execution_id"))
 
 
 @checked(
@@ -327,7 +327,7 @@ def superseded_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def dry_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a run from 1998-01 on would process."""
-    rows = billing_rows(spark, sf_dir)
+    rows = billed_orders(spark, sf_dir)
     pending = not_in(loaded_pairs(rows).where(in_range(F.col("billing_period"), "1998-01")), loaded_map(rows))
     return run_plan(pending)
 

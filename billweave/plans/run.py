@@ -12,7 +12,7 @@ from billweave.functions.periods import in_range
 from billweave.operators.export import export_deliveries
 from billweave.operators.load import LoadReport, load_deliveries
 from billweave.operators.publish import publish_deliveries
-from billweave.operators.state import DELIVERY, already_in, choose_deliveries, loaded_state, not_in, run_plan
+from billweave.operators.state import DELIVERY, already_in, choose_deliveries, loaded_map, not_in, run_plan
 from billweave.operators.table import BillingTable
 from billweave.sources.listing import staged_parts
 from billweave.sources.manifests import scan_manifests
@@ -45,7 +45,11 @@ class RunReport:
 
 
 def pending_manifests(
-    spark: SparkSession, places: Places, start: str | None = None, end: str | None = None
+    spark: SparkSession,
+    places: Places,
+    start: str | None = None,
+    end: str | None = None,
+    state: str = "rows",
 ) -> tuple[DataFrame, DataFrame]:
     """Manifests in a month range whose delivery is not yet live at the end of the run, and rejects.
 
@@ -55,9 +59,8 @@ def pending_manifests(
     manifests, rejects = scan_manifests(spark, places.store, places.prefix, places.export, places.version)
     listed = manifests.where(in_range(F.col("billing_period"), start, end))
     live = choose_deliveries(listed.select(*DELIVERY, "manifest_path"), F.struct("manifest_path", "execution_id"))
-    warehouse = BillingTable(spark, places.warehouse).rows() if places.warehouse else None
-    table = BillingTable(spark, places.table).rows()
-    pending = not_in(live.where("keep"), loaded_state(warehouse, table))
+    end_table = BillingTable(spark, places.warehouse or places.table)
+    pending = not_in(live.where("keep"), loaded_map(end_table.deliveries(state)))
     # Held as values: once the run has written, the same question has another answer.
     keys = spark.createDataFrame(
         [tuple(row) for row in pending.select(*DELIVERY).collect()], "billing_period string, execution_id string"
@@ -74,15 +77,20 @@ def run(
     dry_run: bool = False,
     overwrite: bool = False,
     compression: str = "snappy",
+    state: str = "rows",
     **load_options,
 ) -> RunReport:
-    """Load new deliveries, export them, and publish them if a warehouse is named."""
-    pending, rejects = pending_manifests(spark, places, start, end)
+    """Load new deliveries, export them, and publish them if a warehouse is named.
+
+    ``state="ledger"`` asks the ledgers of table and warehouse what is loaded, not their rows.
+    """
+    pending, rejects = pending_manifests(spark, places, start, end, state)
     report = RunReport(run_plan(pending), rejects)
     if dry_run or pending.isEmpty():
         return report
     table = BillingTable(spark, places.table)
-    report.load = load_deliveries(spark, pending, staged_parts(spark, places.staging), table, **load_options)
+    parts = staged_parts(spark, places.staging)
+    report.load = load_deliveries(spark, pending, parts, table, state=state, **load_options)
     in_table = report.load.results.where(F.col("status").isin("success", "skipped")).select(*DELIVERY)
     report.exported = export_deliveries(
         spark, table, in_table, places.exports, vendor=places.vendor, overwrite=overwrite, compression=compression
@@ -91,6 +99,6 @@ def run(
         ready = report.exported.where("status != 'failed'")
         warehouse = BillingTable(spark, places.warehouse)
         report.published = publish_deliveries(
-            spark, ready, places.exports, warehouse, vendor=places.vendor, overwrite=overwrite
+            spark, ready, places.exports, warehouse, vendor=places.vendor, overwrite=overwrite, state=state
         )
     return report

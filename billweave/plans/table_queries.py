@@ -20,7 +20,7 @@ from billweave.plans.given import (
     PREFIX,
     TAG_NAME,
     base_definitions,
-    billing_items,
+    billed_orders,
     billing_rows,
     given,
     given_table,
@@ -53,7 +53,7 @@ def billing_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 @checked(f"WITH {BILLING_SQL} SELECT DISTINCT billing_period FROM billing")
 def billing_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Months with rows, newest first."""
-    return periods(billing_rows(spark, sf_dir))
+    return periods(billed_orders(spark, sf_dir))
 
 
 @checked(
@@ -305,7 +305,7 @@ def publish_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All months published, then one month replaced by a later export of it."""
     table, out = given_table(spark, sf_dir), work_folder(spark, "exports")
     warehouse = BillingTable(spark, work_folder(spark, "warehouse"))
-    months = periods(billing_rows(spark, sf_dir))
+    months = periods(billed_orders(spark, sf_dir))
     export_periods(spark, table, months, out)
     publish_periods(spark, months, out, warehouse)
     table.replace(billing_rows(spark, sf_dir).where("billing_period = '1996-03' AND execution_id = 'exec-2'"))

@@ -62,6 +62,12 @@ def exported_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def partition_count(files: DataFrame, periods: list[str], file_bytes: int = 128 << 20) -> int:
+    """How many files of about ``file_bytes`` the listed months make."""
+    size = files.where(F.col("billing_period").isin(periods)).agg(F.sum("length").alias("bytes")).first().bytes
+    return max(1, -(-(size or 0) // file_bytes))
+
+
 def flat_exports(files: DataFrame, vendor: str = VENDOR) -> DataFrame:
     """Exports named in the flat form ``{period}[_{execution}]_{vendor}_billing.parquet``."""
     parsed = parse_export_name(F.element_at(F.split("path", "/"), -1), vendor)

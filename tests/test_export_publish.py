@@ -72,6 +72,14 @@ def test_export_orders_a_hot_key_over_several_files(spark, tmp_path, loaded):
     assert sizes < 10_000
 
 
+def test_export_without_total_order(spark, loaded):
+    out, months = loaded.folder("exports"), frame(spark, ("2024-01",), ("2024-02",))
+    done = export_periods(spark, loaded.table, months, out, total_order=False)
+    assert set(statuses(done).values()) == {"exported"}
+    back = read_export(spark, export_root(out, "period"), loaded.table.schema())
+    assert rows(back, *back.columns) == rows(loaded.table.rows(), *back.columns)
+
+
 def test_export_deliveries_keys_and_text_ids(spark, cloud):
     cloud.delivery("2024-01", "20240105", ["a"])
     load(cloud)

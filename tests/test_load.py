@@ -219,8 +219,11 @@ def test_ledger_holds_loads_and_failures(cloud):
     cloud.delivery("2024-01", "e2", ["b"], cost="x")
     load(cloud)
     ledger = read_ledger(cloud.spark, cloud.table.ledger)
-    assert rows(ledger, "execution_id", "state", "row_count") == [("e1", "loaded", 1), ("e2", "failed", 0)]
+    assert rows(ledger, "execution_id", "state", "row_count") == [
+        ("e1", "loaded", 1), ("e1", "loading", 0), ("e2", "failed", 0), ("e2", "loading", 0)
+    ]
     assert current_loads(ledger).first().state == "failed"
+    assert rows(cloud.table.deliveries("ledger"), "execution_id") == rows(cloud.table.deliveries(), "execution_id") == [("e1",)]
 
 
 def test_table_object_of_an_absent_table(spark, tmp_path):

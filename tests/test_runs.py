@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from billweave.operators.ledger import LEGAL_STEPS, state_steps
+from billweave.operators.ledger import LEGAL_STEPS, read_ledger, state_steps
 from billweave.operators.state import choose_deliveries, load_stats, loaded_map, not_in
 from billweave.plans.run import run
 from billweave.session import work_folder
@@ -47,6 +47,17 @@ def test_run_goes_on_where_it_stopped(spark, cloud):
     assert warehouse(cloud) == [("2024-01", "e1", "a")]
 
 
+def test_run_by_ledger(spark, cloud):
+    cloud.delivery("2024-01", "e1", ["a"])
+    run(spark, cloud.places, state="ledger")
+    assert run(spark, cloud.places, state="ledger").load is None
+    ledger = read_ledger(spark, cloud.warehouse.ledger)
+    assert rows(ledger, "execution_id", "state", "row_count") == [("e1", "loaded", 1), ("e1", "loading", 0)]
+    cloud.delivery("2024-01", "e2", ["b", "c"])
+    assert run(spark, cloud.places, state="ledger").published.first().status == "loaded"
+    assert warehouse(cloud) == [("2024-01", "e2", "b"), ("2024-01", "e2", "c")]
+
+
 def test_run_checks_months(spark, cloud):
     with pytest.raises(ValueError, match="YYYY-MM"):
         run(spark, cloud.places, start="2024-13")
