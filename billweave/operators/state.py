@@ -16,10 +16,12 @@ def loaded_pairs(rows: DataFrame) -> DataFrame:
 def loaded_map(rows: DataFrame) -> DataFrame:
     """The live delivery of each month; of several, the greatest id.
 
-    Pairs are made distinct first: that is a hash aggregate on each mapper, while the greatest of
-    text values sorts its input.
+    Rows are counted per pair first, a hash aggregate on each mapper; the greatest of text values
+    would sort all rows. The count is used, always true, or the optimizer drops that step again.
     """
-    return loaded_pairs(rows).groupBy("billing_period").agg(F.max("execution_id").alias("execution_id"))
+    pairs = rows.where("execution_id IS NOT NULL").groupBy(*DELIVERY).agg(F.count("*").alias("rows"))
+    greatest = F.max(F.when(F.col("rows") > 0, F.col("execution_id")))
+    return pairs.groupBy("billing_period").agg(greatest.alias("execution_id"))
 
 
 def periods(rows: DataFrame) -> DataFrame:

@@ -97,7 +97,8 @@ def manifest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         CASE WHEN event_type IN ('error', 'signup') THEN 0 ELSE 2 END AS file_count,
         CASE WHEN event_type IN ('view', 'click') THEN 'ZIP' ELSE 'GZIP' END AS compression,
         CASE WHEN event_type = 'error' THEN 'bad JSON' ELSE 'manifest' END AS outcome
-    FROM events"""
+    FROM events""",
+    name="manifest_json",
 )
 def manifest_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A manifest text per event, parsed: broken ones, ones without files and without compression."""
@@ -136,7 +137,8 @@ def manifest_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @checked(
     """SELECT 'v1' AS version, 'assembly-' || user_id AS execution_id, count(*) AS manifests FROM events GROUP BY 2
-    UNION ALL SELECT 'v2', 'execution-' || event_type, count(*) FROM events GROUP BY 2"""
+    UNION ALL SELECT 'v2', 'execution-' || event_type, count(*) FROM events GROUP BY 2""",
+    name="manifest_id",
 )
 def manifest_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The field that names a delivery in each version."""
@@ -189,7 +191,7 @@ def _completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delivery_completeness(files, parts)
 
 
-@checked(f"WITH {_PRESENT_SQL} SELECT * FROM complete")
+@checked(f"WITH {_PRESENT_SQL} SELECT * FROM complete", name="delivery_completeness")
 def completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _completeness(spark, sf_dir)
 
@@ -197,7 +199,8 @@ def completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
 @checked(
     f"""WITH {_PRESENT_SQL} SELECT count(*) AS manifests_processed, CAST(sum(present_files) AS BIGINT) AS files_present,
         CAST(sum(expected_files - present_files) + count(*) FILTER (expected_files <> present_files) AS BIGINT) AS errors
-    FROM complete"""
+    FROM complete""",
+    name="extract_stats",
 )
 def extract_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_stats(_completeness(spark, sf_dir))
@@ -277,12 +280,12 @@ pairs AS (SELECT DISTINCT billing_period, execution_id FROM billing),
 live AS (SELECT billing_period, max(execution_id) AS execution_id FROM pairs GROUP BY 1)"""
 
 
-@checked(f"WITH {BILLING_SQL} SELECT DISTINCT billing_period, execution_id FROM billing")
+@checked(f"WITH {BILLING_SQL} SELECT DISTINCT billing_period, execution_id FROM billing", name="loaded_pairs")
 def loaded_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded_pairs(billed_orders(spark, sf_dir))
 
 
-@checked(f"WITH {_LOADED_SQL} SELECT * FROM live")
+@checked(f"WITH {_LOADED_SQL} SELECT * FROM live", name="loaded_map")
 def loaded_live(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The live delivery of each month."""
     return loaded_map(billed_orders(spark, sf_dir))
@@ -323,7 +326,8 @@ def superseded_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @checked(
     f"""WITH {_LOADED_SQL} SELECT billing_period, count(*) AS deliveries FROM pairs
-    WHERE (billing_period, execution_id) NOT IN (SELECT * FROM live) AND billing_period >= '1998-01' GROUP BY 1"""
+    WHERE (billing_period, execution_id) NOT IN (SELECT * FROM live) AND billing_period >= '1998-01' GROUP BY 1""",
+    name="run_plan",
 )
 def dry_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a run from 1998-01 on would process."""
@@ -343,7 +347,7 @@ def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return given(spark, sf_dir, "orders").select(status.alias("status"), F.col("o_orderkey").alias("rows_loaded"))
 
 
-@checked(f"SELECT status, count(*) AS deliveries FROM ({_STATUS_SQL}) GROUP BY 1")
+@checked(f"SELECT status, count(*) AS deliveries FROM ({_STATUS_SQL}) GROUP BY 1", name="status_rollup")
 def status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return status_rollup(_results(spark, sf_dir))
 
@@ -351,7 +355,8 @@ def status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @checked(
     f"""SELECT count(*) AS total_executions, count(*) FILTER (status = 'success') AS loaded_executions,
         count(*) FILTER (status = 'failed') AS failed_executions,
-        CAST(sum(o_orderkey) FILTER (status = 'success') AS BIGINT) AS total_rows FROM ({_STATUS_SQL})"""
+        CAST(sum(o_orderkey) FILTER (status = 'success') AS BIGINT) AS total_rows FROM ({_STATUS_SQL})""",
+    name="load_stats",
 )
 def load_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_stats(_results(spark, sf_dir))

@@ -153,7 +153,8 @@ def type_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @checked(
     f"""WITH {DEFS_SQL} SELECT billing_period, execution_id, pos, original_name, normalized_name, category,
-    source_type, table_type FROM defs"""
+    source_type, table_type FROM defs""",
+    name="column_defs",
 )
 def column_definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _defs(spark, sf_dir).withColumn("pos", F.col("pos").cast("bigint"))
@@ -168,7 +169,8 @@ unified AS (
 
 @checked(
     f"""WITH {_UNIFIED_SQL} SELECT normalized_name, original_name, category, source_type, table_type,
-    billing_period AS rank_period, pos AS rank_pos FROM unified"""
+    billing_period AS rank_period, pos AS rank_pos FROM unified""",
+    name="unified_schema",
 )
 def unified_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unified_schema(_defs(spark, sf_dir)).withColumn("rank_pos", F.col("rank_pos").cast("bigint"))
@@ -176,7 +178,8 @@ def unified_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @checked(
     f"""WITH {DEFS_SQL} SELECT billing_period, execution_id, normalized_name, table_type FROM defs
-    WHERE normalized_name NOT IN (SELECT normalized_name FROM defs WHERE source_type <> 'BigDecimal' OR pos < 7)"""
+    WHERE normalized_name NOT IN (SELECT normalized_name FROM defs WHERE source_type <> 'BigDecimal' OR pos < 7)""",
+    name="new_columns",
 )
 def columns_to_add(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns of all deliveries that a table holding only the billing columns lacks."""
@@ -189,7 +192,8 @@ def columns_to_add(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH {DEFS_SQL}
     SELECT 'total' AS kind, '' AS key, count(*) AS columns FROM defs
     UNION ALL SELECT 'category', category, count(*) FROM defs GROUP BY category
-    UNION ALL SELECT 'type', table_type, count(*) FROM defs GROUP BY table_type"""
+    UNION ALL SELECT 'type', table_type, count(*) FROM defs GROUP BY table_type""",
+    name="schema_summary",
 )
 def schema_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schema_summary(_defs(spark, sf_dir))
@@ -201,7 +205,8 @@ def schema_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         ELSE substr(start, 1, 7) END AS billing_period, count(*) AS manifests
     FROM (SELECT CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN strftime(o_orderdate, '%Y%m%dT000000.000Z')
         WHEN '2' THEN strftime(o_orderdate, '%Y-%m-%d') WHEN '3' THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ')
-        WHEN '4' THEN '' END AS start FROM orders) GROUP BY ALL"""
+        WHEN '4' THEN '' END AS start FROM orders) GROUP BY ALL""",
+    name="manifest_period",
 )
 def manifest_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Months of compact, dashed, empty and missing manifest starts, one form by order priority."""

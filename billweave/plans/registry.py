@@ -12,12 +12,15 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def checked(sql: str) -> Callable[[Query], Query]:
-    """Register a query under its function's name together with its SQL."""
+def checked(sql: str, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a query, under its function's name or another one, together with its SQL."""
 
     def register(query: Query) -> Query:
-        QUERIES[query.__name__] = query
-        ORACLES[query.__name__] = sql
+        key = name or query.__name__
+        if key in QUERIES:
+            raise ValueError(f"two queries named {key}")
+        QUERIES[key] = query
+        ORACLES[key] = sql
         return query
 
     return register

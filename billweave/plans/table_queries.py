@@ -50,7 +50,7 @@ def billing_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return given_table(spark, sf_dir).rows()
 
 
-@checked(f"WITH {BILLING_SQL} SELECT DISTINCT billing_period FROM billing")
+@checked(f"WITH {BILLING_SQL} SELECT DISTINCT billing_period FROM billing", name="periods")
 def billing_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Months with rows, newest first."""
     return periods(billed_orders(spark, sf_dir))
@@ -58,7 +58,8 @@ def billing_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @checked(
     f"""WITH {BILLING_SQL} SELECT 'aws_billing_data' AS table_name, 8 AS column_count, count(*) AS row_count,
-        min(bill_billing_period_start_date) AS min_date, max(bill_billing_period_end_date) AS max_date FROM billing"""
+        min(bill_billing_period_start_date) AS min_date, max(bill_billing_period_end_date) AS max_date FROM billing""",
+    name="table_info",
 )
 def table_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_info(given_table(spark, sf_dir).rows(), "aws_billing_data")
@@ -72,7 +73,8 @@ def delete_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 @checked(
     f"""WITH {BILLING_SQL}, wanted AS (SELECT DISTINCT billing_period, execution_id FROM billing
         UNION ALL SELECT DISTINCT billing_period, 'exec-none' FROM billing)
-    SELECT billing_period, execution_id, execution_id <> 'exec-none' AS has_data FROM wanted"""
+    SELECT billing_period, execution_id, execution_id <> 'exec-none' AS has_data FROM wanted""",
+    name="has_data",
 )
 def data_present(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether the table has rows for deliveries, half of which it never got."""
@@ -156,7 +158,8 @@ _LIVE_SQL = f"""{BILLING_SQL}, live AS (SELECT billing_period, max(execution_id)
         FROM counted c JOIN live l USING (billing_period))
     SELECT 1 AS attempt, billing_period, execution_id, CASE WHEN keep THEN n ELSE 0 END AS rows_loaded,
         CASE WHEN keep THEN 'success' ELSE 'superseded' END AS status FROM first
-    UNION ALL SELECT 2, billing_period, execution_id, 0, CASE WHEN keep THEN 'skipped' ELSE 'superseded' END FROM first"""
+    UNION ALL SELECT 2, billing_period, execution_id, 0, CASE WHEN keep THEN 'skipped' ELSE 'superseded' END FROM first""",
+    name="load_deliveries",
 )
 def delivery_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All staged deliveries loaded twice; the second time there is nothing to do."""
@@ -218,7 +221,7 @@ def _disorder(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-@checked(f"WITH {BILLING_SQL} SELECT billing_period, count(*) AS rows, 0 AS out_of_order FROM billing GROUP BY 1")
+@checked(f"WITH {BILLING_SQL} SELECT billing_period, count(*) AS rows, CAST(0 AS BIGINT) AS out_of_order FROM billing GROUP BY 1")
 def export_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exported rows follow the sort keys inside every file."""
     table, out = given_table(spark, sf_dir), work_folder(spark, "exports")
@@ -275,7 +278,7 @@ def export_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return export_status(pairs, exported_files(spark, export_root(out, "execution")), DELIVERY)
 
 
-@checked(f"WITH {BILLING_SQL} SELECT DISTINCT billing_period FROM billing")
+@checked(f"WITH {BILLING_SQL} SELECT DISTINCT billing_period FROM billing", name="export_periods")
 def exported_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Months found in the export folders."""
     table, out = given_table(spark, sf_dir), work_folder(spark, "exports")
@@ -335,7 +338,7 @@ def publish_execution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attempts
 
 
-@checked(f"WITH {BILLING_SQL} SELECT billing_period, count(*) AS rows, 0 AS out_of_order FROM billing GROUP BY 1")
+@checked(f"WITH {BILLING_SQL} SELECT billing_period, count(*) AS rows, CAST(0 AS BIGINT) AS out_of_order FROM billing GROUP BY 1")
 def publish_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The warehouse is partitioned by month and clustered on usage start inside every file."""
     table, out = given_table(spark, sf_dir), work_folder(spark, "exports")

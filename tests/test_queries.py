@@ -14,9 +14,9 @@ from tools_check import compare
 
 SF_DIR = os.environ.get("BILLWEAVE_SF_DIR", "/root/testdata/sf0.001")
 WRITING = set("""
-manifest_scan manifest_summary staged_inventory csv_header_map typed_csv_roundtrip period_range billing_view table_facts
-delete_count schema_create schema_evolve replace_period delivery_loads append_rows export_period export_execution
-export_all_executions export_sorted export_codec export_skip export_missing exported_periods parquet_schema
+manifest_scan manifest_summary staged_inventory csv_header_map typed_csv_roundtrip period_range billing_view table_info
+delete_count schema_create schema_evolve replace_period load_deliveries append_rows export_period export_execution
+export_all_executions export_sorted export_codec export_skip export_missing export_periods parquet_schema
 publish_period publish_execution publish_layout loads_ledger ledger_periods
 """.split())
 QUERIES = [q for q in entry_points.queries() if os.environ.get("BILLWEAVE_ALL_QUERIES") or q not in WRITING]
