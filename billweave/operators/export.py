@@ -20,31 +20,32 @@ def export_root(out: str, by: str, vendor: str = VENDOR) -> str:
     return f"{out.rstrip('/')}/{vendor}/by_{by}"
 
 
-def sorted_rows(rows: DataFrame, partitions: int, total_order: bool = True) -> DataFrame:
+def sorted_rows(rows: DataFrame, partitions: int | None, total_order: bool = True) -> DataFrame:
     """Rows sorted inside each file, and with ``total_order`` over all files of a month too.
 
     Total order takes ranges of the sort keys. The last range key is the row's place in its source
     file: with it a month, an account or a run of equal rows that holds a large share of the data is
     still split over many tasks. The range bounds are sampled, so the wanted months are read twice.
+    Without ``partitions`` adaptive execution joins small ranges.
 
     Without it rows are gathered by month and usage day and read once; adaptive execution splits
     large days by measured size.
     """
-    shuffle = partitions_for(rows, partitions)
     keys = [PARTITION, *SORT_KEYS, "_place"]
     if total_order:
-        gathered = rows.repartitionByRange(shuffle, *keys)
+        gathered = rows.repartitionByRange(*([partitions] if partitions else []), *keys)
     else:
-        gathered = gather_days(rows, shuffle)
+        gathered = gather_days(rows, partitions)
     return gathered.sortWithinPartitions(*keys).drop("_place")
 
 
-def partitions_for(rows: DataFrame, partitions: int) -> int:
-    """At least the session's shuffle width, so that small exports use all cores too."""
-    return max(partitions, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def shuffle_width(spark: SparkSession, files: DataFrame, periods: list[str]) -> int | None:
+    """Partitions for a rewrite of some months' files, or None if the session's width is enough."""
+    count = partition_count(files, periods)
+    return count if count > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
 
 
-def gather_days(rows: DataFrame, partitions: int) -> DataFrame:
+def gather_days(rows: DataFrame, partitions: int | None) -> DataFrame:
     """Rows brought together by month and usage day for a write.
 
     The rebalance hint lets adaptive execution split a day or month that holds a large share of the
@@ -52,7 +53,8 @@ def gather_days(rows: DataFrame, partitions: int) -> DataFrame:
     """
     day = "_usage_day"
     sliced = rows.withColumn(day, F.col(USAGE_START).cast("date"))
-    return sliced.hint("rebalance", partitions, F.col(PARTITION), F.col(day)).drop(day)
+    width = [partitions] if partitions else []
+    return sliced.hint("rebalance", *width, F.col(PARTITION), F.col(day)).drop(day)
 
 
 def placed(rows: DataFrame) -> DataFrame:
@@ -64,7 +66,7 @@ def write_sorted(
     rows: DataFrame,
     path: str,
     partition_by: list[str],
-    partitions: int,
+    partitions: int | None = None,
     compression: str = "snappy",
     total_order: bool = True,
     max_records_per_file: int = 0,
@@ -122,7 +124,7 @@ def export_periods(
     wanted = [d.billing_period for d in decided if d.status == "exported"]
     if wanted:
         chosen = placed(rows.where(F.col(PARTITION).isin(wanted)))
-        partitions = partitions or partition_count(exported_files(spark, table.data), wanted)
+        partitions = partitions or shuffle_width(spark, exported_files(spark, table.data), wanted)
         write_sorted(chosen, path, [PARTITION], partitions, compression, total_order)
     return _statuses(spark, decided)
 
@@ -150,7 +152,7 @@ def export_deliveries(
         pruned = placed(rows.where(F.col(PARTITION).isin(months)))
         pairs = spark.createDataFrame(wanted, "billing_period string, execution_id string")
         chosen = pruned.join(pairs, DELIVERY, "left_semi")
-        partitions = partitions or partition_count(exported_files(spark, table.data), months)
+        partitions = partitions or shuffle_width(spark, exported_files(spark, table.data), months)
         write_sorted(chosen, path, DELIVERY, partitions, compression, total_order)
     return _statuses(spark, decided)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from billweave.functions.periods import utc_wall_time
 from billweave.session import read_if_present
 
 LEDGER_SCHEMA = (
@@ -33,7 +34,7 @@ def record_loads(spark: SparkSession, loads: list[tuple], path: str) -> None:
     """Add an entry, timed now, for each ``(period, execution, row_count, state, error)`` of a run."""
     if loads:
         fields = [f for f in LEDGER_SCHEMA.split(", ") if not f.startswith("load_timestamp")]
-        now = F.current_timestamp().cast("timestamp_ntz")
+        now = utc_wall_time(F.current_timestamp())
         entries = spark.createDataFrame(loads, ", ".join(fields)).withColumn("load_timestamp", now)
         names = [f.split()[0] for f in LEDGER_SCHEMA.split(", ")]
         append_ledger(entries.select(*names).coalesce(1), path)

@@ -9,11 +9,11 @@ from pyspark.sql import types as T
 from billweave.functions.keys import VENDOR, delivery_key
 from billweave.functions.types import table_type_name
 from billweave.operators.columns import conform
-from billweave.operators.export import export_root, gather_days, partitions_for
+from billweave.operators.export import export_root, gather_days, shuffle_width
 from billweave.operators.ledger import record_loads
 from billweave.operators.state import DELIVERY, loaded_map
 from billweave.operators.table import PARTITION, USAGE_START, BillingTable
-from billweave.sources.listing import exported_files, list_files, partition_count
+from billweave.sources.listing import exported_files, list_files
 
 def first_file_schema(spark: SparkSession, root: str) -> T.StructType:
     """Schema of the first Parquet file by name; only its footer is read."""
@@ -46,13 +46,12 @@ def schema_definitions(spark: SparkSession, schema: T.StructType, period: str =
     )
 
 
-def clustered(rows: DataFrame, partitions: int) -> DataFrame:
+def clustered(rows: DataFrame, partitions: int | None = None) -> DataFrame:
     """Rows gathered by month and usage day for the write, sorted on usage start in each task.
 
     Files and their row groups then cover few days each, so a filter on usage start skips most.
     """
-    gathered = gather_days(rows, partitions_for(rows, partitions))
-    return gathered.sortWithinPartitions(PARTITION, USAGE_START)
+    return gather_days(rows, partitions).sortWithinPartitions(PARTITION, USAGE_START)
 
 
 def _entry(key: tuple, state: str, error: str | None = None) -> tuple:
@@ -79,7 +78,7 @@ def _append_months(spark: SparkSession, warehouse: BillingTable, path: str, want
     months = [key[0] for key in wanted]
     rows = spark.read.schema(schema).parquet(path).where(F.col(PARTITION).isin(months)).join(pairs, keys, "left_semi")
     record_loads(spark, [_entry(key, "loading") for key in wanted], warehouse.ledger)
-    partitions = partition_count(exported, months)
+    partitions = shuffle_width(spark, exported, months)
     warehouse.replace(clustered(conform(rows, warehouse.schema(), PARTITION), partitions))
     counts = warehouse.row_counts(months).collect()
     record_loads(

@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from billweave.functions.keys import VENDOR
 from billweave.functions.periods import in_range
-from billweave.operators.export import export_deliveries
+from billweave.operators.export import export_deliveries, export_periods, export_root
 from billweave.operators.load import LoadReport, load_deliveries
-from billweave.operators.publish import publish_deliveries
-from billweave.operators.state import DELIVERY, already_in, choose_deliveries, loaded_map, not_in, run_plan
+from billweave.operators.publish import publish_deliveries, publish_periods
+from billweave.operators.state import DELIVERY, already_in, choose_deliveries, loaded_map, not_in, periods, run_plan
 from billweave.operators.table import BillingTable
-from billweave.sources.listing import staged_parts
+from billweave.sources.listing import available_periods, exported_files, staged_parts
 from billweave.sources.manifests import scan_manifests
 
 
@@ -85,20 +85,59 @@ def run(
     ``state="ledger"`` asks the ledgers of table and warehouse what is loaded, not their rows.
     """
     pending, rejects = pending_manifests(spark, places, start, end, state)
-    report = RunReport(run_plan(pending), rejects)
-    if dry_run or pending.isEmpty():
+    # Manifests and listings are small, and each step asks them again; the store is listed once.
+    pending = pending.persist()
+    parts = staged_parts(spark, places.staging).persist()
+    try:
+        report = RunReport(run_plan(pending), rejects)
+        if dry_run or pending.isEmpty():
+            return report
+        table = BillingTable(spark, places.table)
+        report.load = load_deliveries(spark, pending, parts, table, state=state, **load_options)
+        in_table = report.load.results.where(F.col("status").isin("success", "skipped")).select(*DELIVERY)
+        report.exported = export_deliveries(
+            spark, table, in_table, places.exports, vendor=places.vendor, overwrite=overwrite, compression=compression
+        )
+        if places.warehouse:
+            ready = report.exported.where("status != 'failed'")
+            warehouse = BillingTable(spark, places.warehouse)
+            report.published = publish_deliveries(
+                spark, ready, places.exports, warehouse, vendor=places.vendor, overwrite=overwrite, state=state
+            )
         return report
-    table = BillingTable(spark, places.table)
+    finally:
+        pending.unpersist()
+        parts.unpersist()
+
+
+def load_months(
+    spark: SparkSession, places: Places, start: str | None = None, end: str | None = None, **load_options
+) -> LoadReport:
+    """Load the staged deliveries of a month range into the table; its own state decides what is new."""
+    manifests, _ = scan_manifests(spark, places.store, places.prefix, places.export, places.version)
+    listed = manifests.where(in_range(F.col("billing_period"), start, end))
     parts = staged_parts(spark, places.staging)
-    report.load = load_deliveries(spark, pending, parts, table, state=state, **load_options)
-    in_table = report.load.results.where(F.col("status").isin("success", "skipped")).select(*DELIVERY)
-    report.exported = export_deliveries(
-        spark, table, in_table, places.exports, vendor=places.vendor, overwrite=overwrite, compression=compression
-    )
-    if places.warehouse:
-        ready = report.exported.where("status != 'failed'")
-        warehouse = BillingTable(spark, places.warehouse)
-        report.published = publish_deliveries(
-            spark, ready, places.exports, warehouse, vendor=places.vendor, overwrite=overwrite, state=state
-        )
-    return report
+    return load_deliveries(spark, listed, parts, BillingTable(spark, places.table), **load_options)
+
+
+def export_months(
+    spark: SparkSession, places: Places, start: str | None = None, end: str | None = None, **export_options
+) -> DataFrame:
+    """Export the table's months in a range; a status row each."""
+    table = BillingTable(spark, places.table)
+    if not table.exists():
+        raise ValueError(f"no billing table at {places.table}: load data first")
+    months = periods(table.rows()).where(in_range(F.col("billing_period"), start, end))
+    return export_periods(spark, table, months, places.exports, vendor=places.vendor, **export_options)
+
+
+def publish_months(
+    spark: SparkSession, places: Places, start: str | None = None, end: str | None = None, **publish_options
+) -> DataFrame:
+    """Publish the months in a range that have an export; a status row each."""
+    roots = [export_root(places.exports, by, places.vendor) for by in ("period", "execution")]
+    files = [exported_files(spark, root).select("billing_period") for root in roots]
+    months = available_periods(files[0].unionByName(files[1]))
+    chosen = months.where(in_range(F.col("billing_period"), start, end))
+    warehouse = BillingTable(spark, places.warehouse)
+    return publish_periods(spark, chosen, places.exports, warehouse, vendor=places.vendor, **publish_options)

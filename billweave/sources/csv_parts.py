@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import reduce
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from billweave.functions.names import normalize_name
+from billweave.functions.periods import utc_wall_time
 from billweave.functions.types import DEFAULT_TYPE, spark_type
 from billweave.operators.columns import conform, unique_names
 from billweave.sources.files import record_reader
@@ -103,10 +105,9 @@ def _reader_type(data_type: T.DataType) -> T.DataType:
     return T.TimestampType() if isinstance(data_type, T.TimestampNTZType) else data_type
 
 
-def utc_wall_time(ts: Column) -> Column:
-    """Zoned timestamp -> UTC time without zone, whatever the session's zone."""
-    epoch = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
-    return F.timestamp_add("MICROSECOND", F.unix_micros(ts), epoch)
+def glob_literal(path: str) -> str:
+    """``path`` with the characters escaped that the reader would take for a pattern."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
 
 
 def typed_scan(
@@ -121,7 +122,7 @@ def typed_scan(
     read = (
         spark.read.schema(T.StructType([T.StructField(f.name, _reader_type(f.dataType)) for f in fields]))
         .options(header=True, sep=",", quote='"', escape='"', multiLine=multi_line, mode="FAILFAST", timeZone="UTC")
-        .csv(paths)
+        .csv([glob_literal(path) for path in paths])
     )
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     values = [

@@ -6,7 +6,7 @@ import pytest
 
 from billweave.operators.ledger import LEGAL_STEPS, read_ledger, state_steps
 from billweave.operators.state import choose_deliveries, load_stats, loaded_map, not_in
-from billweave.plans.run import run
+from billweave.plans.run import export_months, load_months, publish_months, run
 from billweave.session import work_folder
 from billweave.streaming.intake import load_arrivals
 from conftest import csv_text, rows
@@ -58,6 +58,18 @@ def test_run_by_ledger(spark, cloud):
     assert warehouse(cloud) == [("2024-01", "e2", "b"), ("2024-01", "e2", "c")]
 
 
+def test_single_steps(spark, cloud):
+    cloud.delivery("2024-01", "e1", ["a"])
+    cloud.delivery("2024-02", "e1", ["b"], name="part[0]{1}.csv")
+    with pytest.raises(ValueError, match="load data first"):
+        export_months(spark, cloud.places)
+    load = load_months(spark, cloud.places, start="2024-01")
+    assert rows(load.results, "billing_period", "status") == [("2024-01", "success"), ("2024-02", "success")]
+    assert rows(export_months(spark, cloud.places, end="2024-02"), "status") == [("exported",), ("exported",)]
+    assert rows(publish_months(spark, cloud.places, start="2024-02"), "billing_period", "status") == [("2024-02", "loaded")]
+    assert warehouse(cloud) == [("2024-02", "e1", "b")]
+
+
 def test_run_checks_months(spark, cloud):
     with pytest.raises(ValueError, match="YYYY-MM"):
         run(spark, cloud.places, start="2024-13")
