@@ -96,6 +96,19 @@ def new_columns(defs: DataFrame, existing: DataFrame) -> DataFrame:
     return defs.join(existing.select("normalized_name").distinct(), "normalized_name", "left_anti")
 
 
+def renamed_columns(defs: DataFrame, existing: DataFrame) -> DataFrame:
+    """Columns whose name stands for another original, so that loading them would mix data.
+
+    The original that the table recorded counts, or else that of the newest delivery.
+    """
+    recorded = existing.select("normalized_name", F.col("original_name").alias("recorded_name"))
+    newest = merged_definitions(defs).select("normalized_name", F.col("original_name").alias("newest_name"))
+    official = newest.join(recorded, "normalized_name", "left").select(
+        "normalized_name", F.coalesce("recorded_name", "newest_name").alias("official_name")
+    )
+    return defs.join(official, "normalized_name").where(F.col("original_name") != F.col("official_name"))
+
+
 def schema_summary(defs: DataFrame) -> DataFrame:
     """Column counts in total, by category and by type, in one pass."""
     level = F.grouping_id()

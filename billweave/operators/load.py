@@ -6,11 +6,11 @@ from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from billweave.functions.types import DEFAULT_TYPE
-from billweave.operators.columns import column_defs
+from billweave.operators.columns import column_defs, renamed_columns
 from billweave.operators.completeness import delivery_completeness
 from billweave.operators.ledger import record_loads
 from billweave.operators.state import DELIVERY, already_in, choose_deliveries
@@ -67,7 +67,7 @@ def _decide(manifests: DataFrame, parts: DataFrame, loaded: DataFrame, overwrite
     still listed never takes the place of a later one.
     Decisions are held as plain values: after the write the table would give another answer.
     """
-    listed = manifests.select(*DELIVERY, "manifest_path").distinct()
+    listed = manifests.groupBy(*DELIVERY).agg(F.max("manifest_path").alias("manifest_path"))
     chosen = choose_deliveries(listed, F.struct("manifest_path", "execution_id"))
     done = loaded.withColumn("done", F.lit(not overwrite))
     counts = delivery_completeness(manifest_files(manifests), parts)
@@ -119,15 +119,21 @@ def load_deliveries(
         defs = column_defs(already_in(manifests, keys), cost_scale)
         headers = distinct_headers(read_headers(already_in(parts, keys))).persist()
         mapped = map_headers(headers, defs).persist()
-        unknown = mapped.where(~F.col("declared"))
+        unknown = _as_definitions(mapped.where(~F.col("declared")))
+        _fail_each(pending, headers.where("header IS NULL"), "parts without a header", F.col("paths")[0])
         if on_unknown == "fail":
-            _fail_unknown(pending, unknown)
+            _fail_each(pending, unknown, "columns not in the manifest", F.col("original_name"))
         else:
-            defs = defs.unionByName(_as_definitions(unknown))
+            _fail_each(pending, _clashes(defs, unknown), "undeclared columns of a taken name", F.col("normalized_name"))
+            defs = defs.unionByName(unknown.drop("ordinal"))
         pending = [d for d in pending if d.status == "pending"]
+        if on_renamed == "fail" and pending:
+            renamed = renamed_columns(already_in(defs, _as_frame(spark, pending)), table.definitions())
+            originals = F.concat_ws(" for ", "original_name", "official_name")
+            _fail_each(pending, renamed, "columns whose name changed its original", originals)
+            pending = [d for d in pending if d.status == "pending"]
         if pending:
-            defs = already_in(defs, _as_frame(spark, pending))
-            report.added_columns = table.evolve(defs, on_renamed)
+            report.added_columns = table.evolve(already_in(defs, _as_frame(spark, pending)), on_renamed)
             record_loads(spark, [(*d.key, 0, "loading", None) for d in pending], table.ledger)
             _write(spark, table, headers, mapped, pending, multi_line, report)
         mapped.unpersist()
@@ -139,12 +145,21 @@ def load_deliveries(
     return report
 
 
-def _fail_unknown(pending: list[_Delivery], unknown: DataFrame) -> None:
-    rows = unknown.groupBy(*DELIVERY).agg(F.array_sort(F.collect_set("original_name")).alias("names")).collect()
+def _fail_each(pending: list[_Delivery], problems: DataFrame, what: str, name: Column) -> None:
+    """Fail the deliveries that ``problems`` has rows of, naming all of them in the error."""
+    rows = problems.groupBy(*DELIVERY).agg(F.array_sort(F.collect_set(name)).alias("names")).collect()
     names = {(r.billing_period, r.execution_id): r.names for r in rows}
     for delivery in pending:
-        if delivery.key in names:
-            delivery.fail("columns not in the manifest: " + ", ".join(names[delivery.key]))
+        if delivery.key in names and delivery.status == "pending":
+            delivery.fail(f"{what}: {', '.join(names[delivery.key])}")
+
+
+def _clashes(defs: DataFrame, unknown: DataFrame) -> DataFrame:
+    """Undeclared columns that share their name with a declared one or with each other."""
+    keys = [*DELIVERY, "normalized_name"]
+    declared = unknown.join(defs, keys, "left_semi").select(*keys)
+    repeated = unknown.groupBy(*keys).agg(F.countDistinct("original_name", "ordinal").alias("n")).where("n > 1")
+    return declared.unionByName(repeated.select(*keys))
 
 
 def _as_definitions(unknown: DataFrame) -> DataFrame:
@@ -158,6 +173,7 @@ def _as_definitions(unknown: DataFrame) -> DataFrame:
         category.alias("category"),
         F.lit("String").alias("source_type"),
         F.lit(DEFAULT_TYPE).alias("table_type"),
+        "ordinal",
     ).distinct()
 
 

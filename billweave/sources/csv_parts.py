@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from billweave.functions.names import normalize_name
 from billweave.functions.periods import utc_wall_time
 from billweave.functions.types import DEFAULT_TYPE, spark_type
-from billweave.operators.columns import conform, unique_names
+from billweave.operators.columns import conform
 from billweave.sources.files import record_reader
 from billweave.sources.listing import STAGED_PART, path_group
 
@@ -51,8 +51,8 @@ def map_headers(headers: DataFrame, defs: DataFrame) -> DataFrame:
     """Each header column's table name and type, by original name.
 
     A repeated original is matched by its ordinal, so two equal headers reach two table columns.
-    A column that the manifest does not declare keeps ``declared = false`` and becomes text under
-    its normalized name.
+    A column that the manifest does not declare has ``declared = false`` and is text under its
+    normalized name.
     """
     keys = ["billing_period", "execution_id", "original_name"]
 
@@ -74,6 +74,7 @@ def map_headers(headers: DataFrame, defs: DataFrame) -> DataFrame:
         "header_id",
         "pos",
         "original_name",
+        "ordinal",
         F.col("definition").isNotNull().alias("declared"),
         F.coalesce("definition.normalized_name", normalize_name(F.col("original_name"))).alias("normalized_name"),
         F.coalesce("definition.table_type", F.lit(DEFAULT_TYPE)).alias("table_type"),
@@ -81,16 +82,12 @@ def map_headers(headers: DataFrame, defs: DataFrame) -> DataFrame:
 
 
 def scan_groups(headers: DataFrame, mapped: DataFrame) -> DataFrame:
-    """Parts that can be read together: same column names and types in the same places.
-
-    Names that still repeat within one header, possible only for undeclared columns, are made
-    unique in header order.
-    """
+    """Parts that can be read together: same column names and types in the same places."""
     keys = ["billing_period", "execution_id", "header_id"]
     columns = mapped.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct("pos", "normalized_name", "table_type"))).alias("columns")
     )
-    names = unique_names(F.transform("columns", lambda c: c["normalized_name"]))
+    names = F.transform("columns", lambda c: c["normalized_name"])
     types = F.transform("columns", lambda c: c["table_type"])
     return (
         headers.join(columns, keys)

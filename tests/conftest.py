@@ -50,6 +50,10 @@ class Cloud:
             self.folder("table"), self.folder("exports"), self.folder("warehouse"),
         )
 
+    @property
+    def scan(self) -> tuple:
+        return self.folder("store"), self.prefix, self.export, self.version
+
     @property
     def table(self) -> BillingTable:
         return BillingTable(self.spark, self.folder("table"))

@@ -179,6 +179,23 @@ def test_undeclared_column(cloud):
     assert rows(cloud.table.rows(), "identity_line_item_id", "line_item_surprise") == [("a", "s"), ("b", None)]
 
 
+def test_undeclared_column_of_a_taken_name(cloud):
+    extra = [*BASE, ("lineItem", "unblendedCost", "String")]
+    text = csv_text("2024-01", ["a"], columns=extra, extra={"unblendedCost": "9"}.items())
+    cloud.part("2024-01", "e", "a.csv", text)
+    cloud.manifest("2024-01", "e", ["a.csv"])
+    report = load(cloud, on_unknown="add")
+    assert outcome(report) == {"2024-01": ("failed", 0)}
+    assert report.results.first().error == "undeclared columns of a taken name: line_item_unblended_cost"
+
+
+def test_part_without_a_header_fails_its_delivery(cloud):
+    cloud.delivery("2024-01", "e", ["a"])
+    cloud.part("2024-01", "e", "empty.csv.gz", "")
+    assert outcome(load(cloud)) == {"2024-01": ("failed", 0)}
+    assert not cloud.table.exists()
+
+
 def test_schema_grows_and_keeps_types(cloud):
     cloud.delivery("2024-01", "e", ["a"])
     load(cloud)
@@ -199,8 +216,13 @@ def test_name_must_keep_its_original(cloud):
     load(cloud)
     other = ("resourceTags", "user:team", "String")
     cloud.delivery("2024-02", "e", ["b"], columns=[*BASE, other], extra={"user:team": "y"}.items())
+    cloud.delivery("2024-03", "e", ["c"])
+    report = load(cloud)
+    assert outcome(report) == {"2024-01": ("skipped", 0), "2024-02": ("failed", 0), "2024-03": ("success", 1)}
+    error = [r.error for r in report.results.collect() if r.error][0]
+    assert error.endswith("resourceTags/user:team for resourceTags/user:Team")
     with pytest.raises(ValueError, match="resource_tags_user_team"):
-        load(cloud)
+        cloud.table.evolve(column_defs(scan_manifests(cloud.spark, *cloud.scan)[0]))
     assert outcome(load(cloud, on_renamed="keep"))["2024-02"] == ("success", 1)
 
 
