@@ -14,7 +14,7 @@ from billweave.operators.columns import column_defs, renamed_columns
 from billweave.operators.completeness import delivery_completeness
 from billweave.operators.ledger import record_loads
 from billweave.operators.state import DELIVERY, already_in, choose_deliveries
-from billweave.operators.table import BillingTable, ReplaceCounts
+from billweave.operators.table import BillingTable, RenamedColumn, ReplaceCounts
 from billweave.sources.csv_parts import distinct_headers, map_headers, read_headers, scan_groups, scan_parts
 from billweave.sources.manifests import manifest_files
 
@@ -120,20 +120,25 @@ def load_deliveries(
         headers = distinct_headers(read_headers(already_in(parts, keys))).persist()
         mapped = map_headers(headers, defs).persist()
         unknown = _as_definitions(mapped.where(~F.col("declared")))
-        _fail_each(pending, headers.where("header IS NULL"), "parts without a header", F.col("paths")[0])
+        headless = _problems(headers.where("header IS NULL"), "parts without a header", F.col("paths")[0])
         if on_unknown == "fail":
-            _fail_each(pending, unknown, "columns not in the manifest", F.col("original_name"))
+            found = _problems(unknown, "columns not in the manifest", F.col("original_name"))
         else:
-            _fail_each(pending, _clashes(defs, unknown), "undeclared columns of a taken name", F.col("normalized_name"))
+            taken = _clashes(defs, unknown)
+            found = _problems(taken, "undeclared columns of a taken name", F.col("normalized_name"))
             defs = defs.unionByName(unknown.drop("ordinal"))
-        pending = [d for d in pending if d.status == "pending"]
-        if on_renamed == "fail" and pending:
-            renamed = renamed_columns(already_in(defs, _as_frame(spark, pending)), table.definitions())
-            originals = F.concat_ws(" for ", "original_name", "official_name")
-            _fail_each(pending, renamed, "columns whose name changed its original", originals)
-            pending = [d for d in pending if d.status == "pending"]
+        pending = _fail_each(pending, headless.unionByName(found))
+        if pending:
+            defs = already_in(defs, _as_frame(spark, pending))
+            try:
+                report.added_columns = table.evolve(defs, on_renamed)
+            except RenamedColumn:
+                renamed = renamed_columns(defs, table.definitions())
+                originals = F.concat_ws(" for ", "original_name", "official_name")
+                pending = _fail_each(pending, _problems(renamed, "columns whose name changed its original", originals))
+                if pending:
+                    report.added_columns = table.evolve(already_in(defs, _as_frame(spark, pending)), on_renamed)
         if pending:
-            report.added_columns = table.evolve(already_in(defs, _as_frame(spark, pending)), on_renamed)
             record_loads(spark, [(*d.key, 0, "loading", None) for d in pending], table.ledger)
             _write(spark, table, headers, mapped, pending, multi_line, report)
         mapped.unpersist()
@@ -145,13 +150,19 @@ def load_deliveries(
     return report
 
 
-def _fail_each(pending: list[_Delivery], problems: DataFrame, what: str, name: Column) -> None:
-    """Fail the deliveries that ``problems`` has rows of, naming all of them in the error."""
-    rows = problems.groupBy(*DELIVERY).agg(F.array_sort(F.collect_set(name)).alias("names")).collect()
-    names = {(r.billing_period, r.execution_id): r.names for r in rows}
+def _problems(rows: DataFrame, what: str, name: Column) -> DataFrame:
+    return rows.select(*DELIVERY, F.lit(what).alias("what"), name.alias("name"))
+
+
+def _fail_each(pending: list[_Delivery], problems: DataFrame) -> list[_Delivery]:
+    """Fail the deliveries that have problems, naming them in the error; returns the others."""
+    names = F.concat_ws(", ", F.array_sort(F.collect_set("name")))
+    rows = problems.groupBy(*DELIVERY, "what").agg(names.alias("names")).collect()
+    errors = {(r.billing_period, r.execution_id): f"{r.what}: {r.names}" for r in rows}
     for delivery in pending:
-        if delivery.key in names and delivery.status == "pending":
-            delivery.fail(f"{what}: {', '.join(names[delivery.key])}")
+        if delivery.key in errors:
+            delivery.fail(errors[delivery.key])
+    return [d for d in pending if d.status == "pending"]
 
 
 def _clashes(defs: DataFrame, unknown: DataFrame) -> DataFrame:

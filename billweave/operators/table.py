@@ -45,6 +45,10 @@ class ReplaceCounts:
         return self.null_period_rows + self.other_period_rows
 
 
+class RenamedColumn(ValueError):
+    """A column name stands for different originals."""
+
+
 class BillingTable:
     """A folder with ``data`` (rows), ``columns`` (definitions), ``rejects`` and ``ledger``.
 
@@ -109,7 +113,7 @@ class BillingTable:
                 known = {recorded[d.normalized_name].original_name} if d.normalized_name in recorded else set()
                 originals = known | {d.original_name, *d.other_originals}
                 if len(originals) > 1:
-                    raise ValueError(f"column {d.normalized_name} has different originals: {sorted(originals)}")
+                    raise RenamedColumn(f"column {d.normalized_name} has different originals: {sorted(originals)}")
         version = max((d.version for d in recorded.values()), default=0) + 1
         new = [d for d in incoming if d.normalized_name not in recorded]
         new.sort(key=lambda d: (d.rank_period, -d.rank_pos), reverse=True)
