@@ -79,6 +79,7 @@ SENTENCES = [
 #: Creative Commons elements by their letters.
 CREATIVE = {"by": "attribution", "nc": "non-?commercial", "sa": "share-?\\s?alike", "nd": "no-?\\s?derivatives?"}
 CREATIVE_KINDS = ("by", "by-sa", "by-nd", "by-nc", "by-nc-sa", "by-nc-nd")
+GRANT = r"\b(?:licensed|released|distributed|available)\s+under\s+(?:the\s+)?(?:terms\s+of\s+)?(?:the\s+)?"
 TAG, SENTENCE, VERSIONED, ADDRESS, SHORT, NAMED = 100, 95, 90, 85, 70, 50
 
 
@@ -97,11 +98,11 @@ def rules() -> list[Rule]:
         made.append((label, NAMED, keyword, rf"\b{name}"))
         made.append((label, TAG, "spdx", rf"spdx-license-identifier:\s*{short}\b(?![-.]?\d)"))
         if keyword != "licen":
-            made.append((label, SENTENCE - 1, keyword, rf"\b(?:licensed|released|distributed|available)\s+under\s+(?:the\s+)?(?:terms\s+of\s+)?(?:the\s+)?{name}"))
+            made.append((label, SENTENCE - 1, keyword, rf"{GRANT}{name}"))
         for version in versions.split():
             number = rf"{re.escape(version)}" + (r"(?:\.0)?" if "." not in version else "") + r"(?![\d]|\.\d)"
             full = f"{label}-{version}"
-            made.append((full, VERSIONED + 6, keyword, rf"\b{name},?\s*(?:\(\w+\)\s*)?,?\s*(?:version|ver\.?|v\.?)?\s*{number}"))
+            made.append((full, VERSIONED + 6, keyword, rf"(?:{GRANT})?\b{name},?\s*(?:\(\w+\)\s*)?,?\s*(?:version|ver\.?|v\.?)?\s*{number}"))
             made.append((full, TAG, "spdx", rf"spdx-license-identifier:\s*{short}-{number}(?:-only|-or-later|\+)?"))
             made.append((full, SHORT + 5, short, rf"\b{short}[\s-]?v?{number}"))
             made.append((full, ADDRESS, "opensource.org", rf"opensource\.org/licenses?/{short}-{number}"))
