@@ -64,3 +64,49 @@ def ranked(rows: DataFrame, keys: list[str], order: list[str], cells: int = 1024
 
 def utf8_bytes(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
+
+
+def map_groups(frame: DataFrame, keys: list[str], step: Callable[[dict], dict | None], ddl: str) -> DataFrame:
+    """Map each group of rows with equal keys, by sorted runs inside partitions; groups must have a bounded size.
+
+    ``step`` takes a group's columns (lists) and gives columns for the output, or None. Results of a batch go out together.
+    """
+    schema, columns = schema_of(ddl), frame.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrow = to_arrow_schema(schema)
+        open_key, held = None, {c: [] for c in columns}
+        out: dict[str, list] = {f.name: [] for f in arrow}
+
+        def close() -> None:
+            if held[columns[0]] and (made := step(held)):
+                for name, values in made.items():
+                    out[name].extend(values)
+
+        def flush() -> pa.RecordBatch:
+            batch = pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)
+            for values in out.values():
+                values.clear()
+            return batch
+
+        for batch in batches:
+            data = batch.to_pydict()
+            row_keys = list(zip(*(data[k] for k in keys), strict=True))
+            at = 0
+            while at < len(row_keys):
+                end = at + 1
+                while end < len(row_keys) and row_keys[end] == row_keys[at]:
+                    end += 1
+                if row_keys[at] != open_key:
+                    close()
+                    open_key, held = row_keys[at], {c: [] for c in columns}
+                for c in columns:
+                    held[c] += data[c][at:end]
+                at = end
+            if out[arrow.names[0]]:
+                yield flush()
+        close()
+        if out[arrow.names[0]]:
+            yield flush()
+
+    return frame.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
