@@ -88,40 +88,58 @@ def signatures(docs: DataFrame) -> DataFrame:
     return map_batches(docs.select("doc_id", "text"), make, "doc_id long, n_shingles long, digest binary, tokens binary")
 
 
-def token_rows(classes: DataFrame, trees: range) -> DataFrame:
-    """A row per class and tree: its first node and the tokens that lead on, with the sketch of all tokens."""
+def first_nodes(classes: DataFrame) -> DataFrame:
+    """A row per class and tree with its node on the first level."""
 
     def make() -> Callable[[dict], Iterable[dict]]:
         def step(batch: dict) -> Iterable[dict]:
             n = len(batch["rep"])
             tokens = np.frombuffer(b"".join(batch["tokens"]), np.int64).reshape(n, TREES, LEVELS)
+            for tree in range(TREES):
+                yield {"rep": batch["rep"], "n": batch["n"], "tree": [tree] * n, "node": tokens[:, tree, 0]}
+
+        return step
+
+    return map_batches(classes.select("rep", "n", "tokens"), make, "rep long, n long, tree int, node long")
+
+
+def with_paths(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members with the tokens that lead on in their tree, and the sketch of all tokens."""
+
+    def make() -> Callable[[dict], Iterable[dict]]:
+        def step(batch: dict) -> Iterable[dict]:
+            n, trees = len(batch["rep"]), np.array(batch["tree"])
+            tokens = np.frombuffer(b"".join(batch.pop("tokens")), np.int64).reshape(n, TREES, LEVELS)
             sketch = [t.astype(np.uint8).tobytes() for t in tokens.reshape(n, -1)]
-            for tree in trees:
-                yield {
-                    "rep": batch["rep"], "n": batch["n"], "sketch": sketch, "tree": [tree] * n,
-                    "node": tokens[:, tree, 0], "path": list(tokens[:, tree, 1:]),
-                }
+            yield batch | {"path": list(tokens[np.arange(n), trees, 1:]), "sketch": sketch}
 
         return step
 
-    ddl = "rep long, n long, sketch binary, tree int, node long, path array<long>"
-    return map_batches(classes.select("rep", "n", "tokens"), make, ddl)
+    ddl = "rep long, n long, tree int, node long, path array<long>, sketch binary"
+    met = members.select("rep", "n", "tree", "node").join(classes.select("rep", "tokens"), "rep")
+    return map_batches(met, make, ddl)
+
+
+def met(rows: DataFrame) -> DataFrame:
+    """Rows of the nodes with two members or more, and whether their node is small."""
+    sizes = rows.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight")).filter("size > 1")
+    small = (F.col("size") == 2) | ((F.col("size") <= NODE_DOCS) & (F.col("weight") <= NODE_SHINGLES))
+    return rows.join(sizes.select("tree", "node", small.alias("small")), ["tree", "node"])
 
 
-def branch(classes: DataFrame, trees: range) -> tuple[DataFrame, DataFrame]:
-    """Members of small nodes, and of nodes that are large on the last level: (tree, node, rep, n, sketch), size."""
-    rows, leaves = token_rows(classes, trees), []
+def branch(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members (tree, node, rep, n, sketch) of all trees' small nodes, and of those that the last level leaves large."""
+    found = met(stored(first_nodes(classes), "nodes"))
+    rows, leaves = stored(with_paths(found, classes), "paths"), []
     for level in range(LEVELS):
-        rows = stored(rows, f"level{level}")
-        sizes = rows.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight"))
-        sizes = sizes.filter("size > 1")
-        small = (F.col("size") == 2) | ((F.col("size") <= NODE_DOCS) & (F.col("weight") <= NODE_SHINGLES))
-        met = rows.join(sizes.withColumn("small", small).drop("weight"), ["tree", "node"])
-        leaves.append(met.filter("small").select("tree", F.xxhash64("node", F.lit(level)).alias("node"), "rep", "n", "sketch"))
-        rows = met.filter("not small").drop("small")
-        if level < LEVELS - 1:
-            rows = rows.drop("size").withColumn("node", F.xxhash64("node", F.col("path")[level]))
-    return stored(reduce(DataFrame.unionByName, leaves), "leaves"), stored(rows.drop("path"), "dense")
+        level_rows = stored(met(rows), f"level{level}")
+        named = F.xxhash64("node", F.lit(level)).alias("node")
+        leaves.append(level_rows.filter("small").select("tree", named, "rep", "n", "sketch"))
+        rows = level_rows.filter("not small").drop("small")
+        if level == LEVELS - 1 or rows.isEmpty():
+            break
+        rows = rows.withColumn("node", F.xxhash64("node", F.col("path")[level]))
+    return reduce(DataFrame.unionByName, leaves), rows.select("tree", "node", "rep", "n", "sketch")
 
 
 def union_links(reps: list[int], groups: list[int], shared: np.ndarray, sizes: np.ndarray, percent: int) -> list[tuple[int, int]]:
@@ -252,15 +270,15 @@ def blocks(dense: DataFrame, crossed: bool) -> DataFrame:
 
 def class_components(classes: DataFrame, docs: DataFrame) -> DataFrame:
     """(a, b): component b of each class a that isn't the first of its component. ``classes``: rep, n, tokens."""
-    small, dense = branch(classes, range(FIRST_TREES))
-    alone = F.col("rep").alias("component")
-    members = small.select("*", alone).unionByName(blocks(dense.drop("size").select("*", alone), crossed=False))
-    links = stored(node_links(members, docs), "first_links")
+    small, dense = branch(classes)
+    early, alone = F.col("tree") < FIRST_TREES, F.col("rep").alias("component")
+    first = small.filter(early).select("*", alone)
+    first = first.unionByName(blocks(dense.filter(early).select("*", alone), crossed=False))
+    links = stored(node_links(first, docs), "first_links")
     joined = components(links)
-    later, later_dense = branch(classes, range(FIRST_TREES, TREES))
-    large = dense.drop("size").unionByName(later_dense.drop("size"))
-    met = with_components(later, joined).drop("low").unionByName(blocks(with_components(large, joined), crossed=True))
-    more = stored(node_links(met, docs), "later_links")
+    met_again = with_components(small.filter(~early), joined).drop("low")
+    met_again = met_again.unionByName(blocks(with_components(dense, joined), crossed=True))
+    more = stored(node_links(met_again, docs), "later_links")
     return components(joined.unionByName(more))
 
 
