@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billweave.llm import language, licenses, packing, pieces, secrets, sharding, token_counts
+from billweave.llm import fingerprints, language, licenses, near_dedup, packing, pieces, quality, secrets, sharding, token_counts
 from billweave.llm.common import documents
 
 
@@ -15,6 +15,14 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.section_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, sf_dir))
+
+
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(documents(spark, sf_dir))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -23,6 +31,11 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.piece_digests(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.judged(docs, quality.learn(quality.labelled_sample(docs, labels)))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(documents(spark, sf_dir))
 
@@ -44,7 +57,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_counts, op4_best_fit_packing, op5_sentencepiece, op7_secret_scan, op8_license_scan, op9_sharding,
-    op10_language_id,
+    op1_token_counts, op2_near_duplicates, op3_fingerprints, op4_best_fit_packing, op5_sentencepiece, op6_quality_rules,
+    op7_secret_scan, op8_license_scan, op9_sharding, op10_language_id,
 )}
 ORACLES: dict[str, str] = {}
