@@ -221,6 +221,22 @@ def fit_languages(docs: DataFrame, per_language: int = 500, hidden: int = 8, win
     return model.fit([passage.encode()[:window] for _, passage in sample], [lang for lang, _ in sample])
 
 
+def predictions(model: ByteTagger | None, texts: list[str | None], batch_chars: int) -> Iterable[tuple[str, float]]:
+    """Language and score of each text, labelled in runs of about ``batch_chars`` characters."""
+    at = 0
+    while at < len(texts):
+        end, chars = at, 0
+        while end < len(texts) and (end == at or chars + len(texts[end] or "") <= batch_chars):
+            chars += len(texts[end] or "")
+            end += 1
+        read = [t if model and t and any(map(str.isalpha, t)) else "" for t in texts[at:end]]
+        scores = model.score(read) if model else np.zeros((len(read), 1))
+        for text, row in zip(read, scores, strict=True):
+            best = int(row.argmax())
+            yield (model.languages[best], min(1.0, float(row[best]))) if text else (UNKNOWN, 0.0)
+        at = end
+
+
 def identify(docs: DataFrame, model: ByteTagger | None, batch_chars: int = 8_000_000) -> DataFrame:
     """Predict a language for each row of ``docs(doc_id, text)`` from its whole text.
 
@@ -229,23 +245,27 @@ def identify(docs: DataFrame, model: ByteTagger | None, batch_chars: int = 8_000
 
     def make() -> Callable[[dict], Iterable[dict]]:
         def step(batch: dict) -> Iterable[dict]:
-            texts, at = batch["text"], 0
-            while at < len(texts):
-                end, chars = at, 0
-                while end < len(texts) and (end == at or chars + len(texts[end] or "") <= batch_chars):
-                    chars += len(texts[end] or "")
-                    end += 1
-                read = [t if model and t and any(map(str.isalpha, t)) else "" for t in texts[at:end]]
-                scores = model.score(read) if model else np.zeros((len(read), 1))
-                best = scores.argmax(1)
-                yield {
-                    "doc_id": batch["doc_id"][at:end],
-                    "held_out": batch["held_out"][at:end],
-                    "lang_pred": [model.languages[k] if t else UNKNOWN for t, k in zip(read, best, strict=True)],
-                    "score": [min(1.0, float(s[k])) if t else 0.0 for t, s, k in zip(read, scores, best, strict=True)],
-                }
-                at = end
+            found = list(predictions(model, batch.pop("text"), batch_chars))
+            yield batch | {"lang_pred": [x for x, _ in found], "score": [s for _, s in found]}
 
         return step
 
     return map_batches(docs.select("doc_id", "text", held_out().alias("held_out")), make, PREDICTIONS)
+
+
+def accepted(docs: DataFrame, model: ByteTagger | None, least: float = 0.3, batch_chars: int = 8_000_000) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose language is known with a score of at least ``least``.
+
+    Texts in one language score far above it; what has no letters or fits no language goes. Without a model all stay.
+    """
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+
+    def make() -> Callable[[dict], Iterable[dict]]:
+        def step(batch: dict) -> Iterable[dict]:
+            found = predictions(model, batch["text"], batch_chars)
+            keep = [k for k, (lang, score) in enumerate(found) if lang != UNKNOWN and score >= least]
+            yield {c: [values[k] for k in keep] for c, values in batch.items()}
+
+        return step
+
+    return map_batches(docs, make, ddl) if model else docs

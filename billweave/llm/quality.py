@@ -26,13 +26,13 @@ def count_of(characters: str) -> Column:
     return F.length(F.regexp_replace("text", f"[^{characters}]+", "")).cast("long")
 
 
-def statistics(docs: DataFrame) -> DataFrame:
-    """Counts for each row of ``docs(doc_id, text)`` from its whole text; null and empty texts count nothing.
+def statistics(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``carry`` columns (in a struct ``carried``) and counts for each row of ``docs(doc_id, text)`` from its whole text; null and empty texts count nothing.
 
     Words in repeated windows: windows are compared by hash. Only texts in which two are equal sort them by hash, mark
     those with an equal neighbour and add up the words that these cover.
     """
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.select(F.struct(*carry).alias("carried"), F.coalesce("text", F.lit("")).alias("text"))
     words = F.filter(F.split("text", SPACES), lambda w: w != "")
     lines = F.filter(F.split("text", "\n"), lambda x: F.length(F.regexp_replace(x, SPACES, "")) > 0)
     rows = rows.select("*", words.alias("words"), lines.alias("lines"))
@@ -59,7 +59,7 @@ def statistics(docs: DataFrame) -> DataFrame:
         lambda s: s["n"],
     )
     return rows.select(
-        "doc_id",
+        "carried",
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         count_of(r"#*$%&|<>").alias("n_symbols"),
@@ -120,6 +120,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = 20_000) -> D
     draw = F.pmod(F.xxhash64("doc_id", F.lit(31)), F.lit(1 << 30)) < int(min(1.0, most / max(n, 1)) * (1 << 30))
     taken = known.filter(draw).dropDuplicates(["doc_id"])  # bounded, so it may be broadcast
     rows = statistics(docs.select("doc_id", "text").join(F.broadcast(taken.select("doc_id")), "doc_id", "left_semi"))
+    rows = rows.withColumn("doc_id", F.col("carried.doc_id")).drop("carried")
     # Stored before it is filtered: a filter on counts would be pushed below them, with all that they are made of.
     rows = stored(rows.join(F.broadcast(taken), "doc_id"), "labelled").filter(~base_failed())
     return rows.withColumn("prune", F.pmod(F.xxhash64("doc_id", F.lit(37)), F.lit(3)) == 0)
@@ -227,4 +228,11 @@ def verdict(rules: list[Rule]) -> Column:
 def judged(docs: DataFrame, rules: list[Rule]) -> DataFrame:
     """Base counts, ``base_failed`` and ``kept`` for each row of ``docs(doc_id, text)``."""
     rows = statistics(docs).select("*", base_failed().alias("base_failed"), verdict(rules).alias("verdict"))
-    return rows.select("doc_id", *BASE, "base_failed", (~F.col("base_failed") & F.col("verdict")).alias("kept"))
+    return rows.select("carried.doc_id", *BASE, "base_failed", (~F.col("base_failed") & F.col("verdict")).alias("kept"))
+
+
+def accepted(docs: DataFrame, rules: list[Rule]) -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns."""
+    rows = statistics(docs, tuple(docs.columns)).select("carried", (~base_failed() & verdict(rules)).alias("kept"))
+    # Stored before the filter, which would otherwise be pushed below the counts with all that they are made of.
+    return stored(rows, "judged").filter("kept").select("carried.*")
