@@ -10,19 +10,28 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from billweave.llm import language, packing, secrets
+from billweave.llm import language, near_dedup, packing, quality, secrets
 from billweave.llm.common import documents, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language go: null texts, texts without a letter."""
-    found = language.identify(docs, language.fit_languages(docs))
-    keep = found.filter(F.col("lang_pred") != language.UNKNOWN).select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi").select(*docs.columns)
+    """Documents without a known language go: null texts, texts without a letter, texts that fit no language."""
+    return language.accepted(docs, language.fit_languages(docs))
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base rule or the list learned from the labels go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.accepted(docs, quality.learn(quality.labelled_sample(docs, labels)))
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id stays, of rows with one id one row."""
+    kept = near_dedup.near_duplicates(docs).filter("kept").select("doc_id")
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,6 +45,8 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES: list[tuple[str, Stage]] = [
     ("language ID", language_stage),
+    ("quality rules", quality_stage),
+    ("near duplicates", near_duplicate_stage),
     ("secret scans", secret_stage),
     ("best-fit packing", packing_stage),
 ]
