@@ -24,10 +24,10 @@ from billweave.llm.common import map_batches, map_groups, stored
 from billweave.llm.components import components
 
 WORDS, PERCENT = 5, 85
-TREES, FIRST_TREES, LEVELS = 16, 2, 6
+TREES, FIRST_TREES, LEVELS = 16, 2, 4
 #: A node is small with so many documents and shingles at most.
 NODE_DOCS, NODE_SHINGLES = 256, 1_000_000
-#: Share of sketch positions that must agree for a comparison of full sets; 6 standard deviations below the threshold.
+#: Share of sketch positions that must agree for a comparison of full sets; 5 standard deviations below the threshold.
 SKETCH = 0.62
 
 U = np.uint64
@@ -69,7 +69,8 @@ def minwise(shingles: np.ndarray, block: int = 4096) -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, set size, digest of the set and minwise tokens of ``docs(doc_id, text)``."""
+    """For ``docs(doc_id, text)``: set size, digest of the set, minwise tokens by tree and level, and two shorter forms
+    of them that go where rows are moved: a byte of each token (sketch) and four bytes of each tree's first (firsts)."""
 
     def make() -> Callable[[dict], Iterable[dict]]:
         import xxhash
@@ -80,12 +81,20 @@ def signatures(docs: DataFrame) -> DataFrame:
                 "doc_id": batch["doc_id"],
                 "n_shingles": [len(s) for s in sets],
                 "digest": [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets],
-                "tokens": [minwise(s).view(np.int64).tobytes() if len(s) else None for s in sets],
-            }
+            } | short_forms([minwise(s).view(np.int64) if len(s) else None for s in sets])
 
         return step
 
-    return map_batches(docs.select("doc_id", "text"), make, "doc_id long, n_shingles long, digest binary, tokens binary")
+    ddl = "doc_id long, n_shingles long, digest binary, tokens binary, sketch binary, firsts binary"
+    return map_batches(docs.select("doc_id", "text"), make, ddl)
+
+
+def short_forms(tokens: list[np.ndarray | None]) -> dict:
+    return {
+        "tokens": [None if t is None else t.tobytes() for t in tokens],
+        "sketch": [None if t is None else t.astype(np.uint8).tobytes() for t in tokens],
+        "firsts": [None if t is None else t[::LEVELS].astype(np.uint32).tobytes() for t in tokens],
+    }
 
 
 def first_nodes(classes: DataFrame) -> DataFrame:
@@ -94,30 +103,28 @@ def first_nodes(classes: DataFrame) -> DataFrame:
     def make() -> Callable[[dict], Iterable[dict]]:
         def step(batch: dict) -> Iterable[dict]:
             n = len(batch["rep"])
-            tokens = np.frombuffer(b"".join(batch["tokens"]), np.int64).reshape(n, TREES, LEVELS)
+            firsts = np.frombuffer(b"".join(batch["firsts"]), np.uint32).reshape(n, TREES).astype(np.int64)
             for tree in range(TREES):
-                yield {"rep": batch["rep"], "n": batch["n"], "tree": [tree] * n, "node": tokens[:, tree, 0]}
+                yield {"rep": batch["rep"], "n": batch["n"], "tree": [tree] * n, "node": firsts[:, tree]}
 
         return step
 
-    return map_batches(classes.select("rep", "n", "tokens"), make, "rep long, n long, tree int, node long")
+    return map_batches(classes.select("rep", "n", "firsts"), make, "rep long, n long, tree int, node long")
 
 
-def with_paths(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """Members with the tokens that lead on in their tree, and the sketch of all tokens."""
+def with_paths(members: DataFrame, tokens: DataFrame) -> DataFrame:
+    """Members with the tokens that lead on in their tree."""
 
     def make() -> Callable[[dict], Iterable[dict]]:
         def step(batch: dict) -> Iterable[dict]:
             n, trees = len(batch["rep"]), np.array(batch["tree"])
-            tokens = np.frombuffer(b"".join(batch.pop("tokens")), np.int64).reshape(n, TREES, LEVELS)
-            sketch = [t.astype(np.uint8).tobytes() for t in tokens.reshape(n, -1)]
-            yield batch | {"path": list(tokens[np.arange(n), trees, 1:]), "sketch": sketch}
+            every = np.frombuffer(b"".join(batch.pop("tokens")), np.int64).reshape(n, TREES, LEVELS)
+            yield batch | {"path": list(every[np.arange(n), trees, 1:])}
 
         return step
 
-    ddl = "rep long, n long, tree int, node long, path array<long>, sketch binary"
-    met = members.select("rep", "n", "tree", "node").join(classes.select("rep", "tokens"), "rep")
-    return map_batches(met, make, ddl)
+    ddl = "rep long, n long, tree int, node long, path array<long>"
+    return map_batches(members.select("rep", "n", "tree", "node").join(tokens, "rep"), make, ddl)
 
 
 def met(rows: DataFrame) -> DataFrame:
@@ -127,19 +134,20 @@ def met(rows: DataFrame) -> DataFrame:
     return rows.join(sizes.select("tree", "node", small.alias("small")), ["tree", "node"])
 
 
-def branch(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members (tree, node, rep, n, sketch) of all trees' small nodes, and of those that the last level leaves large."""
-    found = met(stored(first_nodes(classes), "nodes"))
-    rows, leaves = stored(with_paths(found, classes), "paths"), []
-    for level in range(LEVELS):
-        level_rows = stored(met(rows), f"level{level}")
+def branch(classes: DataFrame, tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members (tree, node, rep, n, level) of all trees' small nodes, and of those that the last level leaves large."""
+    level_rows = stored(met(stored(first_nodes(classes), "nodes")), "level0")
+    leaves, level = [], 0
+    while True:
         named = F.xxhash64("node", F.lit(level)).alias("node")
-        leaves.append(level_rows.filter("small").select("tree", named, "rep", "n", "sketch"))
-        rows = level_rows.filter("not small").drop("small")
-        if level == LEVELS - 1 or rows.isEmpty():
+        leaves.append(level_rows.filter("small").select("tree", named, "rep", "n", F.lit(level).alias("level")))
+        rows, level = level_rows.filter("not small").drop("small"), level + 1
+        if level == LEVELS or rows.isEmpty():
             break
-        rows = rows.withColumn("node", F.xxhash64("node", F.col("path")[level]))
-    return reduce(DataFrame.unionByName, leaves), rows.select("tree", "node", "rep", "n", "sketch")
+        rows = with_paths(rows, tokens) if level == 1 else rows
+        rows = rows.withColumn("node", F.xxhash64("node", F.col("path")[level - 1]))
+        level_rows = stored(met(stored(rows, "branched")), f"level{level}")
+    return reduce(DataFrame.unionByName, leaves), rows.select("tree", "node", "rep", "n")
 
 
 def union_links(reps: list[int], groups: list[int], shared: np.ndarray, sizes: np.ndarray, percent: int) -> list[tuple[int, int]]:
@@ -189,16 +197,22 @@ def compare_node(rows: dict) -> dict | None:
 
 
 def near_rows(rows: dict) -> dict | None:
-    """Members of one small node that have one of another component near them by size and sketch."""
-    n, part = np.array(rows["n"]), np.array(rows["component"])
+    """Members of one small node that have one of another component near them, by size and sketch, for the first time.
+
+    Two that were together in the small first node of an earlier tree have been compared there.
+    """
+    n, part, tree = np.array(rows["n"]), np.array(rows["component"]), rows["tree"][0]
     if len(n) < 2:
         return None
     sketch = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(len(n), -1)
+    firsts = np.frombuffer(b"".join(rows["firsts"]), np.uint32).reshape(len(n), TREES)[:, :tree]
+    small = (np.array(rows["small"])[:, None] >> np.arange(tree)) & 1 > 0
     near = np.zeros(len(n), bool)
     for i in range(len(n) - 1):
         rest = slice(i + 1, None)
         fits = (part[rest] != part[i]) & (100 * np.minimum(n[rest], n[i]) >= PERCENT * np.maximum(n[rest], n[i]))
         fits &= (sketch[rest] == sketch[i]).mean(1) >= SKETCH
+        fits &= ~((firsts[rest] == firsts[i]) & small[i]).any(1)
         near[i] |= fits.any()
         near[rest] |= fits
     take = np.flatnonzero(near)
@@ -219,10 +233,11 @@ def with_sets(members: DataFrame, docs: DataFrame) -> DataFrame:
     return members.join(stored(map_batches(texts, make, "rep long, shingles binary"), "sets"), "rep")
 
 
-def node_links(members: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links of small nodes: members (tree, node, rep, n, sketch, component)."""
+def node_links(members: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links of small nodes: members (tree, node, rep, component)."""
     ddl = "tree int, node long, rep long, component long"
-    near = stored(map_groups(members.select("tree", "node", "rep", "n", "sketch", "component"), ["tree", "node"], near_rows, ddl), "near")
+    shown = members.select("tree", "node", "rep", "component").join(classes.select("rep", "n", "sketch", "firsts", "small"), "rep")
+    near = stored(map_groups(shown, ["tree", "node"], near_rows, ddl), "near")
     full = with_sets(near, docs)
     return map_groups(full.select("tree", "node", "rep", "component", "shingles"), ["tree", "node"], compare_node, "a long, b long")
 
@@ -250,7 +265,7 @@ def blocks(dense: DataFrame, crossed: bool) -> DataFrame:
     rows = rows.withColumn("width", F.ceil(F.col("count") / F.col("share"))).withColumn(
         "block", F.pmod(F.xxhash64("rep", F.lit(5)), F.col("width"))
     )
-    columns = ["tree", "node", "rep", "n", "sketch", "component"]
+    columns = ["tree", "node", "rep", "component"]
 
     def as_node(frame: DataFrame, *parts: str) -> DataFrame:
         return frame.withColumn("node", F.xxhash64("node", F.lit(-1), *parts)).select(*columns)
@@ -268,17 +283,22 @@ def blocks(dense: DataFrame, crossed: bool) -> DataFrame:
     return as_node(left.unionByName(right).dropDuplicates(["tree", "node", "rep", "block", "other"]), "block", "other")
 
 
-def class_components(classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(a, b): component b of each class a that isn't the first of its component. ``classes``: rep, n, tokens."""
-    small, dense = branch(classes)
-    early, alone = F.col("tree") < FIRST_TREES, F.col("rep").alias("component")
-    first = small.filter(early).select("*", alone)
+def class_components(classes: DataFrame, tokens: DataFrame, docs: DataFrame) -> DataFrame:
+    """(a, b): component b of each class a that isn't the first of its component.
+
+    ``classes``: rep, n, sketch, firsts; ``tokens``: rep, tokens.
+    """
+    leaves, dense = branch(classes, tokens)
+    bits = leaves.filter("level = 0").groupBy("rep").agg(F.bit_or(F.expr("shiftleft(1L, tree)")).alias("small"))
+    classes = classes.join(bits, "rep", "left").withColumn("small", F.coalesce("small", F.lit(0).cast("long")))
+    leaves, early = leaves.drop("level"), F.col("tree") < FIRST_TREES
+    classes, alone = stored(classes, "class_forms"), F.col("rep").alias("component")
+    first = leaves.filter(early).select("tree", "node", "rep", alone)
     first = first.unionByName(blocks(dense.filter(early).select("*", alone), crossed=False))
-    links = stored(node_links(first, docs), "first_links")
-    joined = components(links)
-    met_again = with_components(small.filter(~early), joined).drop("low")
+    joined = components(stored(node_links(first, classes, docs), "first_links"))
+    met_again = with_components(leaves.filter(~early), joined).select("tree", "node", "rep", "component")
     met_again = met_again.unionByName(blocks(with_components(dense, joined), crossed=True))
-    more = stored(node_links(met_again, docs), "later_links")
+    more = stored(node_links(met_again, classes, docs), "later_links")
     return components(joined.unionByName(more))
 
 
@@ -293,9 +313,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     full = rows.filter("digest is not null")
     classes = full.groupBy("digest").agg(F.min("doc_id").alias("rep"))
     reps = stored(classes, "classes")
-    tokens = full.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "digest", "tokens")
-    named = stored(tokens.join(reps, ["digest", "rep"], "left_semi").dropDuplicates(["rep"]).drop("digest"), "class_tokens")
-    joined = class_components(named, docs)
+    named = full.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "digest", "sketch", "firsts")
+    # Ids that occur more than once are taken once.
+    named = stored(named.join(reps, ["digest", "rep"], "left_semi").dropDuplicates(["digest", "rep"]).drop("digest"), "class_rows")
+    tokens = full.select(F.col("doc_id").alias("rep"), "tokens")
+    joined = class_components(named, tokens, docs)
     labels = reps.join(joined.select(F.col("a").alias("rep"), F.col("b")), "rep", "left")
     labels = stored(labels.select("digest", F.coalesce("b", "rep").alias("component_id")), "labels")
     # Both sides come from tables, so adaptive execution may split a class with many copies.
