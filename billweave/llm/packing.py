@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from billweave.llm.common import map_batches, ranked, stored
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-CACHED_WORDS = 400_000
+CACHED_WORDS = 800_000
+MARKS = ".,;:!?|"
 
 
 class WordIds:
@@ -34,14 +35,28 @@ class WordIds:
 
         self.tokenizer, self.cached, self.known = Tokenizer.from_file(path), cached, {"": b""}
 
+    def library_ids(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def word(self, word: str) -> bytes:
+        """Letters and the marks after them are apart before any merge, and A-Z are read as a-z: such parts are shared."""
+        core = word.rstrip(MARKS)
+        if not core.isalpha():
+            return self.library_ids(word)
+        ids = b""
+        for part in (core.lower() if core.isascii() else core, word[len(core) :]):
+            if part not in self.known:
+                self.known[part] = self.library_ids(part)
+            ids += self.known[part]
+        return ids
+
     def learn(self, words: set[str]) -> None:
         new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > self.cached:
+        if len(self.known) + 2 * len(new) > self.cached:
             self.known, new = {"": b""}, [w for w in words if w]
         # One after another: the library's own threads would use cores that Spark has given to other tasks.
         for word in new:
-            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-            self.known[word] = np.array(ids, dtype="<u4").tobytes()
+            self.known[word] = self.word(word)
 
     def ids(self, text: str) -> bytes:
         words = text.replace("\n", " ").split(" ")
