@@ -4,7 +4,7 @@ An agenda (a heap) holds adjacent symbol pairs whose union is a piece, best scor
 one joins its symbols and adds the two new neighbours. What is left and isn't in the vocabulary becomes byte pieces.
 Pieces hold the space mark only at their start, and characters that occur in no longer piece never join: a text is cut
 there into chunks that are encoded once and kept in a bounded cache. In each batch, all chunks that are new go to the
-sentencepiece library as well, and so do the ids for decoding; a difference raises an error.
+sentencepiece library as well, to be encoded and decoded; a difference raises an error.
 """
 
 from __future__ import annotations
@@ -93,9 +93,12 @@ class PieceCodec:
         # Line breaks never join, so between them each chunk is encoded as it is in its text.
         spaced = [c for c in fresh if c != "\n"]
         theirs = self.library.encode("\n" + "\n".join(c.replace(SPACE, " ") for c in spaced)) if spaced else []
-        ours = [self.ids[SPACE]] + [i for c in spaced for i in (*self.merge("\n"), *fresh[c])] if spaced else []
+        line = self.merge("\n")
+        ours = [self.ids[SPACE]] + [i for c in spaced for i in (*line, *fresh[c])] if spaced else []
         if theirs != ours:
             raise ValueError("ids differ from the library's")
+        if self.library.decode(ours) != self.decode(ours):
+            raise ValueError("decoded text differs from the library's")
         return fresh
 
     def decode(self, ids: Iterable[int]) -> str:
@@ -129,8 +132,6 @@ class PieceCodec:
             parts = [known[c] for c in chunks]
             listed = ",".join([p[0] for p in parts])
             decoded = "".join([p[1] for p in parts])[1:] if chunks and chunks[0][0] == SPACE else ""
-            if self.library.decode(list(map(int, listed.split(","))) if listed else []) != decoded:
-                raise ValueError("decoded text differs from the library's")
             n = listed.count(",") + 1 if listed else 0
             yield n, hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
         for chunk in [c for c in fresh if len(c) > LONG_CHUNK]:
