@@ -221,4 +221,4 @@ def _message(error: Exception) -> str:
     """The innermost cause, which names the bad value; outer ones only say that a task failed."""
     text = str(error)
     causes = [line.strip() for line in text.splitlines() if line.strip().startswith("Caused by: ")]
-    return (causes[-1].removeprefix("Caused by: ") if causes else text.strip().splitlines()[0])[:500]
+    return (causes[-1].removeprefix("Caused by: ") if causes else text.strip().splitlines()[0])

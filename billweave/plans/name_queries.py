@@ -108,13 +108,13 @@ def normalize_edge_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @checked(
     f"""SELECT {normalized_sql("word")} AS normalized_name, count(*) AS words, count(DISTINCT word) AS spellings
-    FROM (SELECT unnest(regexp_extract_all(text, '[!-~]+')) AS word FROM documents) GROUP BY 1"""
+    FROM (SELECT unnest(regexp_split_to_array(text, '[ \\t\\n\\v\\f\\r]+')) AS word FROM documents) WHERE word <> '' GROUP BY 1"""
 )
 def normalize_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names made from every printable ASCII word of every document."""
+    """Names made from every word of every document."""
     words = given(spark, sf_dir, "documents").select(
-        F.explode(F.regexp_extract_all("text", F.lit("([!-~]+)"))).alias("word")
-    )
+        F.explode(F.split("text", r"[ \t\n\x0B\f\r]+")).alias("word")
+    ).filter("word <> ''")
     spelled = words.groupBy("word").agg(F.count("*").alias("n"))
     named = spelled.withColumn("normalized_name", normalize_name(F.col("word")))
     return named.groupBy("normalized_name").agg(

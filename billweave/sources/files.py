@@ -27,14 +27,14 @@ def record_reader() -> Callable[[str], list[str] | None]:
     file_system = _file_system()
 
     def first_record(path: str) -> list[str] | None:
-        """First CSV record of one file; only the first blocks of the file are read."""
+        """First CSV record of one file, without a byte order mark; only the first blocks of the file are read."""
         import csv
         import io
 
         system, inner = file_system(path)
         codec = "gzip" if path.endswith(".gz") else None
         with system.open_input_stream(inner, compression=codec) as stream:
-            return next(csv.reader(io.TextIOWrapper(stream, encoding="utf-8", newline="")), None)
+            return next(csv.reader(io.TextIOWrapper(stream, encoding="utf-8-sig", newline="")), None)
 
     return first_record
 
