@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,7 +11,7 @@ from billweave.functions.types import table_type_name
 from billweave.operators.columns import conform
 from billweave.operators.export import export_root, gather_days, shuffle_width
 from billweave.operators.ledger import record_loads
-from billweave.operators.state import DELIVERY, loaded_map
+from billweave.operators.state import DELIVERY, choose_deliveries, loaded_map
 from billweave.operators.table import PARTITION, USAGE_START, BillingTable
 from billweave.sources.listing import exported_files, list_files
 
@@ -66,6 +66,8 @@ def _append_months(spark: SparkSession, warehouse: BillingTable, path: str, want
     ``wanted`` holds months, or months with their delivery. The ledger gets an entry before the
     write and one after it with the rows that the warehouse then holds.
     """
+    if len({key[0] for key in wanted}) < len(wanted):
+        raise ValueError("a month can be replaced by one delivery only")
     keys = DELIVERY[: len(wanted[0])]
     pairs = spark.createDataFrame(wanted, ", ".join(f"{key} string" for key in keys))
     exported = exported_files(spark, path)
@@ -91,6 +93,17 @@ def _held(warehouse: BillingTable, months: list[str], state: str) -> DataFrame:
     return loaded_map(warehouse.deliveries(state).where(F.col(PARTITION).isin(months)))
 
 
+def _current(spark: SparkSession, path: str, exported: DataFrame, months: list[str], live: DataFrame) -> DataFrame:
+    """Exported months that hold rows of the live delivery and of no other; of the rows one column is read."""
+    if exported.isEmpty():
+        return exported
+    rows = spark.read.parquet(path).where(F.col(PARTITION).cast("string").isin(months))
+    pairs = rows.select(F.col(PARTITION).cast("string").alias(PARTITION), "execution_id").distinct()
+    known = pairs.join(live.select(*DELIVERY, F.lit(True).alias("is_live")), DELIVERY, "left")
+    only = known.groupBy(PARTITION).agg(F.every(F.coalesce("is_live", F.lit(False))).alias("only"))
+    return exported.join(only.where("only"), PARTITION, "left_semi")
+
+
 def publish_periods(
     spark: SparkSession,
     periods: DataFrame,
@@ -100,15 +113,21 @@ def publish_periods(
     vendor: str = VENDOR,
     overwrite: bool = True,
     state: str = "rows",
+    live: DataFrame | None = None,
 ) -> DataFrame:
     """Load months from their exports; a status row each: loaded, skipped or failed (no export).
 
-    A month is taken from its month export, or else from the export of its greatest delivery. With
-    ``overwrite=False`` months the warehouse already holds are skipped.
+    A month is taken from its month export, or else from the export of its greatest delivery. ``live`` (month and
+    delivery) says which delivery holds each month in the billing table: then only exports of that one are taken,
+    so that superseded data never comes back. With ``overwrite=False`` months the warehouse already holds are skipped.
     """
     months = [row[0] for row in periods.select(PARTITION).distinct().collect()]
     by_period = exported_files(spark, export_root(out, "period", vendor)).select(PARTITION).distinct()
-    by_execution = loaded_map(exported_files(spark, export_root(out, "execution", vendor)))
+    by_execution = exported_files(spark, export_root(out, "execution", vendor)).select(*DELIVERY).distinct()
+    if live is not None:
+        by_period = _current(spark, export_root(out, "period", vendor), by_period, months, live)
+        by_execution = by_execution.join(live.select(*DELIVERY), DELIVERY, "left_semi")
+    by_execution = loaded_map(by_execution)
     held = _held(warehouse, months, state).select(PARTITION, F.lit(not overwrite).alias("held"))
     checked = (
         spark.createDataFrame([(m,) for m in months], "billing_period string")
@@ -144,8 +163,13 @@ def publish_deliveries(
     vendor: str = VENDOR,
     overwrite: bool = False,
     state: str = "rows",
+    order: Column | None = None,
 ) -> DataFrame:
-    """Load deliveries from their exports unless the warehouse already holds them for their month."""
+    """Load deliveries from their exports unless the warehouse already holds them for their month.
+
+    Of several deliveries of a month that could be loaded, the last in ``order`` (by default the greatest id) is; the
+    others are ``superseded``. So a month never holds two.
+    """
     path = export_root(out, "execution", vendor)
     listed = [tuple(row) for row in deliveries.select(*DELIVERY).distinct().collect()]
     exports = exported_files(spark, path).select(*DELIVERY).distinct().withColumn("present", F.lit(True))
@@ -155,7 +179,10 @@ def publish_deliveries(
     )
     wanted = spark.createDataFrame(listed, "billing_period string, execution_id string")
     checked = wanted.join(exports, DELIVERY, "left").join(held, DELIVERY, "left")
-    decided = checked.select(*DELIVERY, status.alias("status")).collect()
+    checked = checked.select(*DELIVERY, status.alias("status"))
+    able = choose_deliveries(checked.where("status = 'loaded'"), F.col("execution_id") if order is None else order)
+    checked = checked.join(able.select(*DELIVERY, "keep"), DELIVERY, "left")
+    decided = checked.withColumn("status", F.when(~F.col("keep"), "superseded").otherwise(F.col("status"))).collect()
     loaded = [(d.billing_period, d.execution_id) for d in decided if d.status == "loaded"]
     if loaded:
         _append_months(spark, warehouse, path, loaded)

@@ -134,10 +134,14 @@ def export_months(
 def publish_months(
     spark: SparkSession, places: Places, start: str | None = None, end: str | None = None, **publish_options
 ) -> DataFrame:
-    """Publish the months in a range that have an export; a status row each."""
+    """Publish the months in a range that have an export; a status row each.
+
+    Where the billing table exists, a month is taken from exports of the delivery that holds it there.
+    """
     roots = [export_root(places.exports, by, places.vendor) for by in ("period", "execution")]
     files = [exported_files(spark, root).select("billing_period") for root in roots]
     months = available_periods(files[0].unionByName(files[1]))
     chosen = months.where(in_range(F.col("billing_period"), start, end))
-    warehouse = BillingTable(spark, places.warehouse)
-    return publish_periods(spark, chosen, places.exports, warehouse, vendor=places.vendor, **publish_options)
+    warehouse, table = BillingTable(spark, places.warehouse), BillingTable(spark, places.table)
+    live = loaded_map(table.deliveries("rows")) if table.exists() else None
+    return publish_periods(spark, chosen, places.exports, warehouse, vendor=places.vendor, live=live, **publish_options)

@@ -128,6 +128,22 @@ def test_publish_deliveries_adds_columns_and_replaces_months(spark, loaded):
     ]
 
 
+def test_a_month_is_published_from_one_delivery_the_live_one(spark, loaded):
+    out, warehouse = loaded.folder("exports"), loaded.warehouse
+    export_deliveries(spark, loaded.table, frame(spark, ("2024-01", "e1")), out)
+    loaded.delivery("2024-01", "e0", ["new"])
+    load(loaded, overwrite=True)
+    live = loaded.table.deliveries("rows")
+    if ("2024-01", "e0") in rows(live, *DELIVERY):
+        stale = publish_periods(spark, frame(spark, ("2024-01",)), out, warehouse, live=live)
+        assert statuses(stale) == {"2024-01": "failed"}
+    export_deliveries(spark, loaded.table, frame(spark, ("2024-01", "e0")), out)
+    both = frame(spark, ("2024-01", "e0"), ("2024-01", "e1"))
+    done = {r.execution_id: r.status for r in publish_deliveries(spark, both, out, warehouse).collect()}
+    assert sorted(done.values()) in (["loaded", "superseded"], ["failed", "loaded"])
+    assert warehouse.rows().select("execution_id").distinct().count() == 1
+
+
 def test_first_file_schema(spark, loaded):
     out = loaded.folder("exports")
     with pytest.raises(ValueError, match="no Parquet file"):
