@@ -56,6 +56,13 @@ def live_deliveries(ledger: DataFrame) -> DataFrame:
     return loaded.select("billing_period", "execution_id")
 
 
+def interrupted_loads(ledger: DataFrame) -> DataFrame:
+    """Deliveries whose last entry says that a load of them began: it never came to an end."""
+    last = F.max_by("state", F.struct("load_timestamp", F.col("state") != "loading"))
+    entries = ledger.where("execution_id IS NOT NULL").groupBy("billing_period", "execution_id")
+    return entries.agg(last.alias("state")).where("state = 'loading'").select("billing_period", "execution_id")
+
+
 def loaded_periods(ledger: DataFrame) -> DataFrame:
     return current_loads(ledger).where("state = 'loaded'")
 

@@ -16,13 +16,26 @@ from billweave.operators.ledger import record_loads
 from billweave.operators.state import DELIVERY, already_in, choose_deliveries
 from billweave.operators.table import BillingTable, RenamedColumn, ReplaceCounts
 from billweave.sources.csv_parts import distinct_headers, map_headers, read_headers, scan_groups, scan_parts
+from billweave.sources.listing import first_files
 from billweave.sources.manifests import manifest_files
 
 # What a failed job raises, from the JVM or already converted.
 JOB_ERRORS = (PySparkException, Py4JJavaError)
 
+# What such an error says if a delivery's own values or files are at fault. Others, such as lost
+# executors or a full disk, are no delivery's fault and end the run.
+DATA_ERRORS = (
+    "MALFORMED_RECORD_IN_PARSING",
+    "CAST_INVALID_INPUT",
+    "CAST_OVERFLOW",
+    "NUMERIC_VALUE_OUT_OF_RANGE",
+    "Unexpected end of input stream",
+    "not a gzip file",
+    "java.util.zip.",
+)
+
 RESULT_SCHEMA = (
-    "execution_id string, billing_period string, files_loaded bigint, rows_loaded bigint, "
+    "execution_id string, billing_period string, files_loaded bigint, rows_loaded bigint, rows_rejected bigint, "
     "status string, error string"
 )
 
@@ -44,6 +57,7 @@ class _Delivery:
     execution_id: str
     files: int = 0
     rows: int = 0
+    rejected: int = 0
     status: str = "pending"
     error: str | None = None
 
@@ -57,7 +71,7 @@ class _Delivery:
     def result(self) -> tuple:
         ok = self.status == "success"
         files, rows = (self.files, self.rows) if ok else (0, 0)
-        return self.execution_id, self.billing_period, files, rows, self.status, self.error
+        return self.execution_id, self.billing_period, files, rows, self.rejected, self.status, self.error
 
 
 def _decide(manifests: DataFrame, parts: DataFrame, loaded: DataFrame, overwrite: bool) -> list[_Delivery]:
@@ -71,10 +85,11 @@ def _decide(manifests: DataFrame, parts: DataFrame, loaded: DataFrame, overwrite
     chosen = choose_deliveries(listed, F.struct("manifest_path", "execution_id"))
     done = loaded.withColumn("done", F.lit(not overwrite))
     counts = delivery_completeness(manifest_files(manifests), parts)
-    state = chosen.join(done, DELIVERY, "left").join(counts, DELIVERY, "left")
+    staged = parts.groupBy(*DELIVERY).agg(F.count("*").alias("staged_files"))
+    state = chosen.join(done, DELIVERY, "left").join(counts, DELIVERY, "left").join(staged, DELIVERY, "left")
     decided = []
     for row in state.orderBy(F.desc("billing_period"), "execution_id").collect():
-        delivery = _Delivery(row.billing_period, row.execution_id, row.present_files or 0)
+        delivery = _Delivery(row.billing_period, row.execution_id, row.staged_files or 0)
         if not row.keep:
             delivery.status = "superseded"
         elif row.done:
@@ -111,7 +126,8 @@ def load_deliveries(
     """
     if on_unknown not in ("fail", "add"):
         raise ValueError(f"on_unknown must be 'fail' or 'add', got {on_unknown!r}")
-    decided = _decide(manifests, parts, table.deliveries(state), overwrite)
+    months = [row[0] for row in manifests.select("billing_period").distinct().collect()]
+    decided = _decide(manifests, parts, table.deliveries(state, months), overwrite)
     report = LoadReport(results=None)
     pending = [d for d in decided if d.status == "pending"]
     if pending:
@@ -119,8 +135,9 @@ def load_deliveries(
         defs = column_defs(already_in(manifests, keys), cost_scale)
         headers = distinct_headers(read_headers(already_in(parts, keys))).persist()
         mapped = map_headers(headers, defs).persist()
-        unknown = _as_definitions(mapped.where(~F.col("declared")))
-        headless = _problems(headers.where("header IS NULL"), "parts without a header", F.col("paths")[0])
+        unknown = _as_definitions(mapped.where(~F.col("declared")), defs)
+        empty = headers.where("header IS NULL").select(*DELIVERY, F.explode("paths").alias("path"))
+        headless = _problems(empty, "parts without a header", F.col("path"))
         if on_unknown == "fail":
             found = _problems(unknown, "columns not in the manifest", F.col("original_name"))
         else:
@@ -173,12 +190,13 @@ def _clashes(defs: DataFrame, unknown: DataFrame) -> DataFrame:
     return declared.unionByName(repeated.select(*keys))
 
 
-def _as_definitions(unknown: DataFrame) -> DataFrame:
-    """Undeclared header columns as text definitions, after the declared ones."""
+def _as_definitions(unknown: DataFrame, defs: DataFrame) -> DataFrame:
+    """Undeclared header columns as text definitions, after the declared ones of their delivery."""
     category = F.substring_index("original_name", "/", 1)
-    return unknown.select(
+    declared = defs.groupBy(*DELIVERY).agg((F.max("pos") + 1).alias("declared_columns"))
+    return unknown.join(declared, DELIVERY, "left").select(
         *DELIVERY,
-        (F.col("pos") + 1_000_000).alias("pos"),
+        (F.col("pos") + F.coalesce("declared_columns", F.lit(0))).alias("pos"),
         "original_name",
         "normalized_name",
         category.alias("category"),
@@ -194,31 +212,50 @@ def _replace(spark, table, headers, mapped, deliveries, multi_line) -> ReplaceCo
     return table.replace(scan_parts(spark, groups, table.schema(), multi_line))
 
 
-def _write(spark, table, headers, mapped, pending, multi_line, report) -> None:
+def _try(spark, table, headers, mapped, deliveries, multi_line, report) -> str | None:
+    """Replace the months of some deliveries; the error's text if their data are at fault, any other error is raised."""
     try:
-        report.rejected_rows = _replace(spark, table, headers, mapped, pending, multi_line).rejected
+        counts = _replace(spark, table, headers, mapped, deliveries, multi_line)
     except JOB_ERRORS as error:
-        if len(pending) == 1:
-            pending[0].fail(_message(error))
-        else:
-            for delivery in pending:
-                try:
-                    counts = _replace(spark, table, headers, mapped, [delivery], multi_line)
-                    report.rejected_rows += counts.rejected
-                except JOB_ERRORS as single:
-                    delivery.fail(_message(single))
-    tried = [d for d in pending if d.status == "pending"]
-    counts = {(r.billing_period, r.execution_id): r.rows for r in table.row_counts([d.billing_period for d in tried]).collect()}
-    for delivery in tried:
+        text = error_text(error)
+        if not any(sign in text for sign in DATA_ERRORS):
+            raise
+        return text
+    report.rejected_rows += counts.rejected
+    for delivery in deliveries:
+        delivery.rejected = counts.by_delivery.get(delivery.key, 0)
+    return None
+
+
+def _write(spark, table, headers, mapped, pending, multi_line, report) -> None:
+    before = first_files(spark, table.data)
+    error = _try(spark, table, headers, mapped, pending, multi_line, report)
+    if error and len(pending) == 1:
+        pending[0].fail(error)
+    elif error:
+        for delivery in pending:
+            if single := _try(spark, table, headers, mapped, [delivery], multi_line, report):
+                delivery.fail(single)
+    # A month for which no row was accepted keeps its files, and their rows are not this load's.
+    replaced = [month for month, first in first_files(spark, table.data).items() if before.get(month) != first]
+    counts = {(r.billing_period, r.execution_id): r.rows for r in table.row_counts(replaced).collect()}
+    for delivery in pending:
+        if delivery.status != "pending":
+            continue
         delivery.rows = counts.get(delivery.key, 0)
+        withheld = f"{delivery.rejected} rows of no or another month withheld" if delivery.rejected else None
         if delivery.rows:
-            delivery.status = "success"
+            delivery.status, delivery.error = "success", withheld
         else:
-            delivery.fail("no rows of its month")
-
-
-def _message(error: Exception) -> str:
-    """The innermost cause, which names the bad value; outer ones only say that a task failed."""
-    text = str(error)
-    causes = [line.strip() for line in text.splitlines() if line.strip().startswith("Caused by: ")]
-    return (causes[-1].removeprefix("Caused by: ") if causes else text.strip().splitlines()[0])
+            delivery.fail("; ".join(filter(None, ["no rows of its month", withheld])))
+
+
+def error_text(error: Exception) -> str:
+    """The whole text of a failed job's error and of its causes; the inner ones name the bad value."""
+    texts = []
+    while error is not None:
+        text = str(error).strip()
+        if text and not any(text in known for known in texts):
+            texts.append(text)
+        error = getattr(error, "_cause", None) or error.__cause__
+    return "\n".join(texts)

@@ -13,7 +13,7 @@ from billweave.operators.export import export_root, gather_days, shuffle_width
 from billweave.operators.ledger import record_loads
 from billweave.operators.state import DELIVERY, choose_deliveries, loaded_map
 from billweave.operators.table import PARTITION, USAGE_START, BillingTable
-from billweave.sources.listing import exported_files, list_files
+from billweave.sources.listing import exported_files, first_files, list_files
 
 def first_file_schema(spark: SparkSession, root: str) -> T.StructType:
     """Schema of the first Parquet file by name; only its footer is read."""
@@ -60,8 +60,8 @@ def _entry(key: tuple, state: str, error: str | None = None) -> tuple:
     return period, execution, 0, state, error
 
 
-def _append_months(spark: SparkSession, warehouse: BillingTable, path: str, wanted: list[tuple]) -> None:
-    """Replace the wanted exports' months in the warehouse, adding columns it lacks.
+def _append_months(spark: SparkSession, warehouse: BillingTable, path: str, wanted: list[tuple]) -> set[str]:
+    """Replace the wanted exports' months in the warehouse, adding columns it lacks; returns months left as they were.
 
     ``wanted`` holds months, or months with their delivery. The ledger gets an entry before the
     write and one after it with the rows that the warehouse then holds.
@@ -81,16 +81,21 @@ def _append_months(spark: SparkSession, warehouse: BillingTable, path: str, want
     rows = spark.read.schema(schema).parquet(path).where(F.col(PARTITION).isin(months)).join(pairs, keys, "left_semi")
     record_loads(spark, [_entry(key, "loading") for key in wanted], warehouse.ledger)
     partitions = shuffle_width(spark, exported, months)
+    before = first_files(spark, warehouse.data)
     warehouse.replace(clustered(conform(rows, warehouse.schema(), PARTITION), partitions))
-    counts = warehouse.row_counts(months).collect()
-    record_loads(
-        spark, [(c.billing_period, c.execution_id, c.rows, "loaded", None) for c in counts], warehouse.ledger
-    )
+    after = first_files(spark, warehouse.data)
+    # A month for which no row was accepted keeps its files, and their rows are not this export's.
+    untouched = {month for month in months if after.get(month) == before.get(month)}
+    counts = warehouse.row_counts([month for month in months if month not in untouched]).collect()
+    loaded = [(c.billing_period, c.execution_id, c.rows, "loaded", None) for c in counts]
+    empty = [_entry(key, "failed", "no rows of its month in the export") for key in wanted if key[0] in untouched]
+    record_loads(spark, loaded + empty, warehouse.ledger)
+    return untouched
 
 
 def _held(warehouse: BillingTable, months: list[str], state: str) -> DataFrame:
     """The warehouse's live delivery of some months; of its rows only those months are read."""
-    return loaded_map(warehouse.deliveries(state).where(F.col(PARTITION).isin(months)))
+    return loaded_map(warehouse.deliveries(state, months))
 
 
 def _current(spark: SparkSession, path: str, exported: DataFrame, months: list[str], live: DataFrame) -> DataFrame:
@@ -143,14 +148,14 @@ def publish_periods(
     decided = checked.select(PARTITION, "execution_id", "whole", status.alias("status")).collect()
     whole = [(d.billing_period,) for d in decided if d.status == "loaded" and d.whole]
     single = [(d.billing_period, d.execution_id) for d in decided if d.status == "loaded" and not d.whole]
-    if whole:
-        _append_months(spark, warehouse, export_root(out, "period", vendor), whole)
+    untouched = _append_months(spark, warehouse, export_root(out, "period", vendor), whole) if whole else set()
     if single:
-        _append_months(spark, warehouse, export_root(out, "execution", vendor), single)
+        untouched |= _append_months(spark, warehouse, export_root(out, "execution", vendor), single)
     missing = [_entry((d.billing_period,), "failed", "no export") for d in decided if d.status == "failed"]
     record_loads(spark, missing, warehouse.ledger)
     return spark.createDataFrame(
-        [(d.billing_period, d.status) for d in decided], "billing_period string, status string"
+        [(d.billing_period, "failed" if d.billing_period in untouched else d.status) for d in decided],
+        "billing_period string, status string",
     )
 
 
@@ -184,14 +189,16 @@ def publish_deliveries(
     checked = checked.join(able.select(*DELIVERY, "keep"), DELIVERY, "left")
     decided = checked.withColumn("status", F.when(~F.col("keep"), "superseded").otherwise(F.col("status"))).collect()
     loaded = [(d.billing_period, d.execution_id) for d in decided if d.status == "loaded"]
-    if loaded:
-        _append_months(spark, warehouse, path, loaded)
+    untouched = _append_months(spark, warehouse, path, loaded) if loaded else set()
     missing = [
         _entry((d.billing_period, d.execution_id), "failed", "no export") for d in decided if d.status == "failed"
     ]
     record_loads(spark, missing, warehouse.ledger)
     frame = spark.createDataFrame(
-        [(d.billing_period, d.execution_id, d.status) for d in decided],
+        [
+            (d.billing_period, d.execution_id, "failed" if d.status == "loaded" and d.billing_period in untouched else d.status)
+            for d in decided
+        ],
         "billing_period string, execution_id string, status string",
     )
     key = delivery_key(F.col("billing_period"), F.col("execution_id"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import dataclasses
+import uuid
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +17,8 @@ from billweave.operators.columns import (
     merged_definitions,
     table_schema,
 )
-from billweave.operators.ledger import live_deliveries, read_ledger
-from billweave.operators.state import loaded_pairs
+from billweave.operators.ledger import interrupted_loads, live_deliveries, read_ledger
+from billweave.operators.state import loaded_pairs, not_in
 from billweave.session import read_if_present
 
 # The columns the table's logic depends on.
@@ -25,6 +27,7 @@ PERIOD_END = "bill_billing_period_end_date"
 USAGE_START = "line_item_usage_start_date"
 SORT_KEYS = [USAGE_START, "line_item_usage_account_id", "line_item_product_code"]
 PARTITION = "billing_period"
+LOAD_ID = "_load_id"
 
 DEFINITIONS_SCHEMA = (
     "original_name string, normalized_name string, category string, source_type string, "
@@ -39,6 +42,7 @@ class ReplaceCounts:
     rows_seen: int
     null_period_rows: int
     other_period_rows: int
+    by_delivery: dict[tuple[str, str], int] = field(default_factory=dict)
 
     @property
     def rejected(self) -> int:
@@ -128,7 +132,8 @@ class BillingTable:
         """Replace every month that ``rows`` holds by these rows, in one job.
 
         ``rows`` has ``billing_period``, the month it was delivered for. A row dated in no month or
-        in another one must not replace that month, so it goes to ``rejects``.
+        in another one must not replace that month, so it goes to ``rejects``, in place of those that
+        an earlier load of its delivery left there.
 
         Rows scanned from parts are written as they come, without a shuffle, since a part holds one
         month. With ``gather`` rows of any order are first brought together by month, or each task
@@ -155,19 +160,41 @@ class BillingTable:
             .parquet(self.data)
         )
         counts = ReplaceCounts(**seen.get)
-        if counts.rejected:
-            tagged.where(month.isNull() | other).write.mode("append").parquet(self.rejects)
-        return counts
+        if not counts.rejected:
+            return counts
+        load_id = uuid.uuid4().hex
+        (
+            tagged.where(month.isNull() | other)
+            .withColumn(LOAD_ID, F.lit(load_id))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(PARTITION, "execution_id")
+            .parquet(self.rejects)
+        )
+        kept_out = self.rejected_rows().where(F.col(LOAD_ID) == load_id).groupBy(PARTITION, "execution_id")
+        by_delivery = {(r[0], r[1]): r.rows for r in kept_out.agg(F.count("*").alias("rows")).collect()}
+        return dataclasses.replace(counts, by_delivery=by_delivery)
+
+    def rejected_rows(self) -> DataFrame:
+        """Rows kept out of the table: of each delivery those of its last load that had any."""
+        fields = [*self.schema().fields, *(T.StructField(n, T.StringType()) for n in (LOAD_ID, PARTITION))]
+        return read_if_present(self.spark, self.rejects, T.StructType(fields))
 
-    def deliveries(self, state: str = "rows") -> DataFrame:
-        """Loaded (month, delivery) pairs, from the rows or from the ledger of loads.
+    def deliveries(self, state: str = "rows", months: list[str] | None = None) -> DataFrame:
+        """Loaded (month, delivery) pairs, of all months or of some, from the rows or from the ledger of loads.
 
-        The rows are always right but the delivery column of the whole table is read; the ledger
-        grows with loads only, and is right as long as nothing else writes the table.
+        Of the rows the delivery column of these months is read; the ledger grows with loads only, and is
+        right as long as nothing else writes the table. A load that began and never came to an end does not
+        count, so it is made again.
         """
+        ledger = read_ledger(self.spark, self.ledger)
         if state == "ledger":
-            return live_deliveries(read_ledger(self.spark, self.ledger))
-        return loaded_pairs(self.rows())
+            pairs = live_deliveries(ledger)
+            pairs = pairs if months is None else pairs.where(F.col(PARTITION).isin(months))
+        else:
+            rows = self.rows()
+            pairs = loaded_pairs(rows if months is None else rows.where(F.col(PARTITION).isin(months)))
+        return not_in(pairs, interrupted_loads(ledger))
 
     def row_counts(self, periods: list[str]) -> DataFrame:
         """Rows per delivery in some months, from the table itself: only one column is read."""

@@ -60,7 +60,8 @@ def pending_manifests(
     listed = manifests.where(in_range(F.col("billing_period"), start, end))
     live = choose_deliveries(listed.select(*DELIVERY, "manifest_path"), F.struct("manifest_path", "execution_id"))
     end_table = BillingTable(spark, places.warehouse or places.table)
-    pending = not_in(live.where("keep"), loaded_map(end_table.deliveries(state)))
+    months = [row[0] for row in listed.select("billing_period").distinct().collect()]
+    pending = not_in(live.where("keep"), loaded_map(end_table.deliveries(state, months)))
     # Held as values: once the run has written, the same question has another answer.
     keys = spark.createDataFrame(
         [tuple(row) for row in pending.select(*DELIVERY).collect()], "billing_period string, execution_id string"

@@ -62,6 +62,12 @@ def exported_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def first_files(spark: SparkSession, root: str) -> dict[str, str]:
+    """First data file of each month. Each write names its files anew, so a month that was replaced has another."""
+    firsts = exported_files(spark, root).groupBy("billing_period").agg(F.min("path").alias("path"))
+    return {r.billing_period: r.path for r in firsts.collect()}
+
+
 def partition_count(files: DataFrame, periods: list[str], file_bytes: int = 128 << 20) -> int:
     """How many files of about ``file_bytes`` the listed months make."""
     size = files.where(F.col("billing_period").isin(periods)).agg(F.sum("length").alias("bytes")).first().bytes

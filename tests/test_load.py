@@ -4,10 +4,11 @@ import datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from billweave.operators.columns import column_defs
-from billweave.operators.ledger import current_loads, read_ledger
+from billweave.operators.ledger import current_loads, read_ledger, record_loads
 from billweave.operators.load import load_deliveries
 from billweave.operators.table import BillingTable
 from billweave.sources.csv_parts import distinct_headers, map_headers, read_headers, scan_groups
@@ -167,6 +168,66 @@ def test_rows_of_no_or_another_month_go_to_rejects(cloud):
     assert rows(rejects, "identity_line_item_id") == [("none",), ("stray",)]
 
 
+def test_loading_again_repeats_no_rejects(cloud):
+    text = csv_text("2024-01", ["a"]) + csv_text("2024-02", ["stray"]).split("\n", 1)[1]
+    cloud.part("2024-01", "e", "a.csv", text)
+    cloud.manifest("2024-01", "e", ["a.csv"])
+    for _ in range(2):
+        result = load(cloud, overwrite=True).results.first()
+        assert (result.status, result.rows_loaded, result.rows_rejected) == ("success", 1, 1)
+        assert result.error == "1 rows of no or another month withheld"
+    assert rows(cloud.table.rejected_rows(), "billing_period", "execution_id", "identity_line_item_id") == [("2024-01", "e", "stray")]
+
+
+def test_overwrite_without_accepted_rows_fails(cloud):
+    """The table's own rows of the delivery, from an earlier load, are not counted as loaded."""
+    cloud.delivery("2024-01", "e", ["a", "b"])
+    cloud.delivery("2024-02", "f", ["c"])
+    load(cloud)
+    cloud.part("2024-01", "e", "part-0.csv.gz", csv_text("2024-03", ["x", "y", "z"]))
+    report = load(cloud, overwrite=True)
+    assert outcome(report) == {"2024-01": ("failed", 0), "2024-02": ("success", 1)}
+    failed = report.results.where("status = 'failed'").first()
+    assert (failed.rows_rejected, failed.error) == (3, "no rows of its month; 3 rows of no or another month withheld")
+    assert ids(cloud) == [("2024-01", "e", "a"), ("2024-01", "e", "b"), ("2024-02", "f", "c")]
+
+
+def test_files_loaded_counts_parts_that_no_manifest_lists(cloud):
+    cloud.delivery("2024-01", "e", ["a"])
+    cloud.part("2024-01", "e", "more.csv", csv_text("2024-01", ["b"]))
+    result = load(cloud).results.first()
+    assert (result.files_loaded, result.rows_loaded) == (2, 2)
+
+
+def test_interrupted_load_is_made_again(cloud):
+    cloud.delivery("2024-01", "e", ["a"])
+    load(cloud)
+    record_loads(cloud.spark, [("2024-01", "e", 0, "loading", None)], cloud.table.ledger)
+    assert cloud.table.deliveries().isEmpty() and cloud.table.deliveries("ledger").isEmpty()
+    assert outcome(load(cloud)) == {"2024-01": ("success", 1)}
+    assert outcome(load(cloud)) == {"2024-01": ("skipped", 0)}
+
+
+def test_error_that_is_no_deliverys_fault_is_raised(cloud, monkeypatch):
+    def lost(*_, **__):
+        raise PySparkException("executors lost")
+
+    cloud.delivery("2024-01", "e", ["a"])
+    monkeypatch.setattr(BillingTable, "replace", lost)
+    with pytest.raises(PySparkException, match="executors lost"):
+        load(cloud)
+
+
+def test_state_reads_the_wanted_months_only(cloud):
+    cloud.delivery("2024-01", "e", ["a"])
+    cloud.delivery("2024-02", "e", ["b"])
+    load(cloud)
+    pairs = cloud.table.deliveries("rows", ["2024-02"])
+    assert rows(pairs, "billing_period") == [("2024-02",)]
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "billing_period" in plan.split("PartitionFilters: [", 1)[1].split("]")[0] and "2024-02" in plan
+
+
 def test_undeclared_column(cloud):
     extra = [*BASE, ("lineItem", "Surprise", "String")]
     cloud.part("2024-01", "e", "a.csv", csv_text("2024-01", ["a"], columns=extra, extra={"Surprise": "s"}.items()))

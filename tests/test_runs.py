@@ -93,6 +93,23 @@ def test_arrivals_load_once_complete(spark, cloud):
     assert rows(cloud.table.rows(), "identity_line_item_id") == [("a",), ("b",), ("c",)]
 
 
+def test_arrivals_whose_manifest_comes_last(spark, cloud):
+    """Three waves: parts alone, the manifest alone, then a later delivery of the month in the same order."""
+    arrive = lambda: load_arrivals(spark, cloud.places, cloud.folder("checkpoint"))
+    cloud.part("2024-01", "e1", "a.csv", csv_text("2024-01", ["a"]))
+    arrive()
+    assert not cloud.table.exists()
+    cloud.manifest("2024-01", "e1", ["a.csv"])
+    arrive()
+    assert rows(cloud.table.rows(), "execution_id", "identity_line_item_id") == [("e1", "a")]
+    cloud.part("2024-01", "e0", "a.csv", csv_text("2024-01", ["b"]))
+    arrive()
+    assert rows(cloud.table.rows(), "execution_id", "identity_line_item_id") == [("e1", "a")]
+    cloud.manifest("2024-01", "e0", ["a.csv"])
+    arrive()
+    assert rows(cloud.table.rows(), "execution_id", "identity_line_item_id") == [("e0", "b")]
+
+
 def test_state_operators(spark):
     pairs = spark.createDataFrame([("2024-01", "e1"), ("2024-01", "e2"), ("2024-02", None)], "billing_period string, execution_id string")
     assert rows(loaded_map(pairs), "billing_period", "execution_id") == [("2024-01", "e2")]
