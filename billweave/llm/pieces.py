@@ -1,7 +1,8 @@
 """SentencePiece encoding and decoding for merge-type vocabularies, in Arrow batches.
 
-An agenda (a heap) holds adjacent symbol pairs whose union is a piece, best score first and leftmost among equals; taking
-one joins its symbols and adds the two new neighbours. What is left and isn't in the vocabulary becomes byte pieces.
+An agenda holds adjacent symbol pairs whose union is a piece, best score first and leftmost among equals; taking one joins
+its symbols and adds the two new neighbours. What is left and isn't in the vocabulary becomes byte pieces. Short chunks of
+one length have their agendas in the rows of a table, from which one pair a row is taken at a time; others have a heap.
 Pieces hold the space mark only at their start, and characters that occur in no longer piece never join: a text is cut
 there into chunks that are encoded once and kept in a bounded cache. In each batch, all chunks that are new go to the
 sentencepiece library as well, to be encoded and decoded; a difference raises an error.
@@ -14,14 +15,19 @@ import heapq
 import re
 from collections.abc import Callable, Iterable
 
+import numpy as np
 from pyspark.sql import DataFrame
 
 from billweave.llm.common import map_batches
 
 SPACE = "▁"
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-CACHED_CHUNKS = 300_000
+#: Chunks that a worker remembers, in two halves: when the newer one is full, the older one goes.
+CACHED_CHUNKS = 600_000
 LONG_CHUNK = 200
+#: Chunks of up to so many symbols have their agendas in a table.
+SHORT_CHUNK = 24
+NO_PAIR = np.int32(2**31 - 1)
 
 
 class PieceCodec:
@@ -42,7 +48,74 @@ class PieceCodec:
         if any(SPACE in p.lstrip(SPACE) for p in self.ids) or any("\n" in p for p in self.ids):
             raise ValueError("pieces across spaces or with line breaks: texts can't be cut into chunks")
         self.chunks = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
-        self.known: dict[str, tuple[str, int]] = {}
+        self.known: dict[str, tuple[str, str]] = {}
+        self.older: dict[str, tuple[str, str]] = {}
+        self.numbers = [str(i) for i in every]
+        self.spaced = [p.replace(SPACE, " ") for p in self.pieces]
+        self.pair_table()
+
+    def pair_table(self) -> None:
+        """All pairs of pieces whose union is a piece: sorted keys, with the union's place by score and its id."""
+        self.single = {p: i for p, i in self.ids.items() if len(p) == 1}
+        places = {s: k for k, s in enumerate(sorted(set(self.scores.values()), reverse=True))}
+        cuts = ((p[:k], p[k:], p) for p in self.ids for k in range(1, len(p)))
+        known = [(self.ids[a], self.ids[b], places[self.scores[p]], self.ids[p]) for a, b, p in cuts if a in self.ids and b in self.ids]
+        a, b, place, union = np.array(known or [(0, 0, NO_PAIR, 0)], np.int64).T
+        key = a * len(self.pieces) + b
+        order = np.argsort(key)
+        self.pair_keys, self.pair_places, self.pair_unions = key[order], place[order].astype(np.int32), union[order].astype(np.int32)
+
+    def pairs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Row in the table of pairs of each (a, b), -1 where their union is no piece."""
+        key = a.astype(np.int64) * len(self.pieces) + b
+        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == key, at, -1)
+
+    def places(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        at = self.pairs(a, b)
+        return np.where(at >= 0, self.pair_places[at], NO_PAIR)
+
+    def merge_table(self, chunks: list[str]) -> dict[str, list[int]]:
+        """Ids of chunks of one length, all of characters that are pieces.
+
+        A row of ``agenda`` has the places of a chunk's adjacent pairs. In each round every row gives its best pair, the
+        leftmost among equals, and is one symbol shorter then; rows without a pair are done.
+        """
+        single, out, n = self.single, {}, len(chunks[0])
+        row = np.arange(len(chunks))
+        symbols = np.array([single[x] for c in chunks for x in c], np.int32).reshape(len(chunks), n)
+        agenda = self.places(symbols[:, :-1], symbols[:, 1:])
+        while len(row):
+            best = agenda.argmin(1) if n > 1 else np.zeros(len(row), int)
+            going = agenda[np.arange(len(row)), best] < NO_PAIR if n > 1 else np.zeros(len(row), bool)
+            done = ~going
+            for k, ids in zip(row[done].tolist(), symbols[done].tolist(), strict=True):
+                out[chunks[k]] = ids
+            row, symbols, agenda, best = row[going], symbols[going], agenda[going], best[going]
+            if not len(row):
+                break
+            every = np.arange(len(row))
+            symbols[every, best] = self.pair_unions[self.pairs(symbols[every, best], symbols[every, best + 1])]
+            symbols = symbols[np.arange(n) != best[:, None] + 1].reshape(len(row), n - 1)
+            agenda = agenda[np.arange(n - 1) != best[:, None]].reshape(len(row), n - 2)
+            n -= 1
+            for side in (best - 1, best):
+                inside = np.flatnonzero((side >= 0) & (side < n - 1))
+                at = side[inside]
+                agenda[inside, at] = self.places(symbols[inside, at], symbols[inside, at + 1])
+        return out
+
+    def merge_all(self, chunks: list[str]) -> dict[str, list[int]]:
+        tables: dict[int, list[str]] = {}
+        out, single = {}, self.single.keys()
+        for chunk in chunks:
+            if len(chunk) <= SHORT_CHUNK and single >= set(chunk):
+                tables.setdefault(len(chunk), []).append(chunk)
+            else:
+                out[chunk] = self.merge(chunk)
+        for same in tables.values():
+            out |= self.merge_table(same)
+        return out
 
     def merge(self, chunk: str) -> list[int]:
         symbols: list[str] = list(chunk)
@@ -83,23 +156,32 @@ class PieceCodec:
     def split(self, text: str) -> list[str]:
         return self.chunks.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
-    def learn(self, texts: list[list[str]]) -> dict[str, list[int]]:
-        """Ids of all chunks of a batch that are new, after the library has agreed."""
-        wanted = set().union(*texts) if texts else set()
-        new = [c for c in wanted if c not in self.known]
-        if len(self.known) + len(new) > self.cached:
-            self.known, new = {}, list(wanted)
-        fresh = {c: self.merge(c) for c in new}
+    def learn(self, texts: list[list[str]]) -> list[str]:
+        """Make the chunks of a batch known, those that are new after the library has agreed; these are returned."""
+        wanted = set().union(*texts)
+        if len(self.known) + len(wanted) > self.cached // 2:
+            self.known, self.older = {}, self.known
+        older, known = self.older, self.known
+        known |= {c: older[c] for c in wanted if c in older and c not in known}
+        new = [c for c in wanted if c not in known]
+        fresh = self.merge_all(new)
+        for c in new:
+            ids = fresh[c]
+            plain = self.bytes.keys().isdisjoint(ids)
+            text = "".join([self.spaced[i] for i in ids]) if plain else self.decode([self.ids[SPACE], *ids])
+            known[c] = (",".join([self.numbers[i] for i in ids]), text)
         # Line breaks never join, so between them each chunk is encoded as it is in its text.
-        spaced = [c for c in fresh if c != "\n"]
-        theirs = self.library.encode("\n" + "\n".join(c.replace(SPACE, " ") for c in spaced)) if spaced else []
-        line = self.merge("\n")
-        ours = [self.ids[SPACE]] + [i for c in spaced for i in (*line, *fresh[c])] if spaced else []
-        if theirs != ours:
-            raise ValueError("ids differ from the library's")
-        if self.library.decode(ours) != self.decode(ours):
-            raise ValueError("decoded text differs from the library's")
-        return fresh
+        spaced = [c for c in new if c != "\n"]
+        if spaced:
+            line, ours = self.merge("\n"), [self.ids[SPACE]]
+            for c in spaced:
+                ours += line
+                ours += fresh[c]
+            if self.library.encode("\n" + "\n".join(spaced).replace(SPACE, " ")) != ours:
+                raise ValueError("ids differ from the library's")
+            if self.library.decode(ours) != "\n" + "\n".join([known[c][1] for c in spaced]):
+                raise ValueError("decoded text differs from the library's")
+        return new
 
     def decode(self, ids: Iterable[int]) -> str:
         """Text of ids: marks become spaces, the first of them goes, runs of byte pieces are read as UTF-8."""
@@ -126,12 +208,10 @@ class PieceCodec:
         split = [self.split(t) for t in texts]
         fresh = self.learn(split)
         known = self.known
-        for chunk, ids in fresh.items():
-            known[chunk] = (",".join(map(str, ids)), self.decode([self.ids[SPACE], *ids]))
         for text, chunks in zip(texts, split, strict=True):
             parts = [known[c] for c in chunks]
-            listed = ",".join([p[0] for p in parts])
-            decoded = "".join([p[1] for p in parts])[1:] if chunks and chunks[0][0] == SPACE else ""
+            listed = ",".join([ids for ids, _ in parts])
+            decoded = "".join([part for _, part in parts])[1:] if chunks and chunks[0][0] == SPACE else ""
             n = listed.count(",") + 1 if listed else 0
             yield n, hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
         for chunk in [c for c in fresh if len(c) > LONG_CHUNK]:
