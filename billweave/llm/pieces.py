@@ -27,6 +27,8 @@ CACHED_CHUNKS = 600_000
 LONG_CHUNK = 200
 #: Chunks of up to so many symbols have their agendas in a table.
 SHORT_CHUNK = 24
+#: So many new chunks make one text for the library.
+CHECKED_TOGETHER = 500
 NO_PAIR = np.int32(2**31 - 1)
 
 
@@ -171,16 +173,13 @@ class PieceCodec:
             text = "".join([self.spaced[i] for i in ids]) if plain else self.decode([self.ids[SPACE], *ids])
             known[c] = (",".join([self.numbers[i] for i in ids]), text)
         # Line breaks never join, so between them each chunk is encoded as it is in its text.
-        spaced = [c for c in new if c != "\n"]
-        if spaced:
-            line, ours = self.merge("\n"), [self.ids[SPACE]]
-            for c in spaced:
-                ours += line
-                ours += fresh[c]
-            if self.library.encode("\n" + "\n".join(spaced).replace(SPACE, " ")) != ours:
-                raise ValueError("ids differ from the library's")
-            if self.library.decode(ours) != "\n" + "\n".join([known[c][1] for c in spaced]):
-                raise ValueError("decoded text differs from the library's")
+        line, spaced = self.merge("\n"), [c for c in new if c != "\n"]
+        parts = [spaced[at : at + CHECKED_TOGETHER] for at in range(0, len(spaced), CHECKED_TOGETHER)]
+        ours = [[self.ids[SPACE], *(i for c in part for i in (*line, *fresh[c]))] for part in parts]
+        if self.library.encode(["\n" + "\n".join(part).replace(SPACE, " ") for part in parts]) != ours:
+            raise ValueError("ids differ from the library's")
+        if self.library.decode(ours) != ["\n" + "\n".join([known[c][1] for c in part]) for part in parts]:
+            raise ValueError("decoded text differs from the library's")
         return new
 
     def decode(self, ids: Iterable[int]) -> str:
