@@ -23,7 +23,7 @@ from billweave.llm.common import map_batches
 SPACE = "▁"
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: Chunks that a worker remembers, in two halves: when the newer one is full, the older one goes.
-CACHED_CHUNKS = 600_000
+CACHED_CHUNKS = 1_500_000
 LONG_CHUNK = 200
 #: Chunks of up to so many symbols have their agendas in a table.
 SHORT_CHUNK = 24
