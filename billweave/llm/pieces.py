@@ -174,6 +174,8 @@ class PieceCodec:
             known[c] = (",".join([self.numbers[i] for i in ids]), text)
         # Line breaks never join, so between them each chunk is encoded as it is in its text.
         line, spaced = self.merge("\n"), [c for c in new if c != "\n"]
+        if not spaced:
+            return new
         parts = [spaced[at : at + CHECKED_TOGETHER] for at in range(0, len(spaced), CHECKED_TOGETHER)]
         ours = [[self.ids[SPACE], *(i for c in part for i in (*line, *fresh[c]))] for part in parts]
         if self.library.encode(["\n" + "\n".join(part).replace(SPACE, " ") for part in parts]) != ours:

@@ -241,6 +241,22 @@ def test_pieces_equal_library(stories, edges):
         assert got == sorted(want)
 
 
+def test_piece_tables_equal_heaps():
+    codec = pieces.PieceCodec(PIECES)
+    rng = np.random.default_rng(3)
+    letters = list("aeiouthnrs\té😀%A1")
+    chunks = sorted({"▁" + "".join(rng.choice(letters, rng.integers(0, 40))) for _ in range(400)})
+    assert codec.merge_all(chunks) == {c: codec.merge(c) for c in chunks}
+
+
+def test_piece_cache_turns_over():
+    small = pieces.PieceCodec(PIECES, cached=8)
+    for text in ("one two three four five", "one two", "six seven eight nine ten", "one two", "", "\n", "\n"):
+        ids = small.library.encode(text)
+        want = [len(ids), *(hashlib.sha256(x.encode()).hexdigest() for x in (",".join(map(str, ids)), small.library.decode(ids)))]
+        assert [list(r) for r in small.digests([text])] == [want]
+
+
 def test_pieces_empty(empty):
     assert pieces.piece_digests(empty, PIECES).count() == 0
 
