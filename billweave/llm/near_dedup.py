@@ -14,7 +14,8 @@ its first document in blocks, and, where components still meet, block by block.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from functools import reduce
+from functools import partial, reduce
+from math import comb
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -27,8 +28,8 @@ WORDS, PERCENT = 5, 85
 TREES, FIRST_TREES, LEVELS = 16, 2, 4
 #: A node is small with so many documents and shingles at most.
 NODE_DOCS, NODE_SHINGLES = 256, 1_000_000
-#: Share of sketch positions that must agree for a comparison of full sets; 5 standard deviations below the threshold.
-SKETCH = 0.62
+#: Chance that a pair at the threshold shows too few equal sketch positions for a comparison of full sets.
+SKETCH_MISS = 2.5e-6
 
 U = np.uint64
 _RANDOM = np.random.default_rng(20240229)
@@ -36,6 +37,16 @@ _MULTIPLY = _RANDOM.integers(0, 2**63, (TREES * LEVELS, 1), dtype=U) * U(2) + U(
 _FLIP = _RANDOM.integers(0, 2**63, (TREES * LEVELS, 1), dtype=U)
 
 
+def sketch_least(percent: int) -> int:
+    """Equal sketch positions that a pair at the threshold falls short of with chance ``SKETCH_MISS`` at most."""
+    n, share = TREES * LEVELS, percent / 100
+    p = share + (1 - share) / 256  # different tokens have one byte in 256 in common
+    below, k = 0.0, 0
+    while (below := below + comb(n, k) * p**k * (1 - p) ** (n - k)) <= SKETCH_MISS:
+        k += 1
+    return k
+
+
 def shingle_set(text: str, words: int = WORDS) -> np.ndarray:
     """Sorted distinct hashes of the shingles of a text; with fewer words the whole sequence is one."""
     import xxhash
@@ -187,16 +198,16 @@ def shared_counts(sets: list[np.ndarray], columns: int = 1 << 16) -> np.ndarray:
     return out
 
 
-def compare_node(rows: dict) -> dict | None:
+def compare_node(rows: dict, percent: int = PERCENT) -> dict | None:
     """Exhaustive comparison of one small node on full sets."""
     if len(rows["rep"]) < 2:
         return None
     sets = [np.frombuffer(s, U) for s in rows["shingles"]]
-    links = union_links(rows["rep"], rows["component"], shared_counts(sets), np.array([len(s) for s in sets]), PERCENT)
+    links = union_links(rows["rep"], rows["component"], shared_counts(sets), np.array([len(s) for s in sets]), percent)
     return {"a": [a for a, _ in links], "b": [b for _, b in links]} if links else None
 
 
-def near_rows(rows: dict) -> dict | None:
+def near_rows(rows: dict, percent: int = PERCENT) -> dict | None:
     """Members of one small node that have one of another component near them, by size and sketch, for the first time.
 
     Two that were together in the small first node of an earlier tree have been compared there.
@@ -207,11 +218,11 @@ def near_rows(rows: dict) -> dict | None:
     sketch = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(len(n), -1)
     firsts = np.frombuffer(b"".join(rows["firsts"]), np.uint32).reshape(len(n), TREES)[:, :tree]
     small = (np.array(rows["small"])[:, None] >> np.arange(tree)) & 1 > 0
-    near = np.zeros(len(n), bool)
+    near, least = np.zeros(len(n), bool), sketch_least(percent)
     for i in range(len(n) - 1):
         rest = slice(i + 1, None)
-        fits = (part[rest] != part[i]) & (100 * np.minimum(n[rest], n[i]) >= PERCENT * np.maximum(n[rest], n[i]))
-        fits &= (sketch[rest] == sketch[i]).mean(1) >= SKETCH
+        fits = (part[rest] != part[i]) & (100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i]))
+        fits &= (sketch[rest] == sketch[i]).sum(1) >= least
         fits &= ~((firsts[rest] == firsts[i]) & small[i]).any(1)
         near[i] |= fits.any()
         near[rest] |= fits
@@ -233,13 +244,14 @@ def with_sets(members: DataFrame, docs: DataFrame) -> DataFrame:
     return members.join(stored(map_batches(texts, make, "rep long, shingles binary"), "sets"), "rep")
 
 
-def node_links(members: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+def node_links(members: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Links of small nodes: members (tree, node, rep, component)."""
     ddl = "tree int, node long, rep long, component long"
     shown = members.select("tree", "node", "rep", "component").join(classes.select("rep", "n", "sketch", "firsts", "small"), "rep")
-    near = stored(map_groups(shown, ["tree", "node"], near_rows, ddl), "near")
+    near = stored(map_groups(shown, ["tree", "node"], partial(near_rows, percent=percent), ddl), "near")
     full = with_sets(near, docs)
-    return map_groups(full.select("tree", "node", "rep", "component", "shingles"), ["tree", "node"], compare_node, "a long, b long")
+    full = full.select("tree", "node", "rep", "component", "shingles")
+    return map_groups(full, ["tree", "node"], partial(compare_node, percent=percent), "a long, b long")
 
 
 def with_components(members: DataFrame, joined: DataFrame) -> DataFrame:
@@ -283,7 +295,7 @@ def blocks(dense: DataFrame, crossed: bool) -> DataFrame:
     return as_node(left.unionByName(right).dropDuplicates(["tree", "node", "rep", "block", "other"]), "block", "other")
 
 
-def class_components(classes: DataFrame, tokens: DataFrame, docs: DataFrame) -> DataFrame:
+def class_components(classes: DataFrame, tokens: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """(a, b): component b of each class a that isn't the first of its component.
 
     ``classes``: rep, n, sketch, firsts; ``tokens``: rep, tokens.
@@ -295,16 +307,18 @@ def class_components(classes: DataFrame, tokens: DataFrame, docs: DataFrame) ->
     classes, alone = stored(classes, "class_forms"), F.col("rep").alias("component")
     first = leaves.filter(early).select("tree", "node", "rep", alone)
     first = first.unionByName(blocks(dense.filter(early).select("*", alone), crossed=False))
-    joined = components(stored(node_links(first, classes, docs), "first_links"))
+    joined = components(stored(node_links(first, classes, docs, percent), "first_links"))
     met_again = with_components(leaves.filter(~early), joined).select("tree", "node", "rep", "component")
     met_again = met_again.unionByName(blocks(with_components(dense, joined), crossed=True))
-    more = stored(node_links(met_again, classes, docs), "later_links")
+    more = stored(node_links(met_again, classes, docs, percent), "later_links")
     return components(joined.unionByName(more))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each row of ``docs(doc_id, text)``.
 
+    Two rows are near when their shingle sets have ``percent`` of their union in common, or more.
+
     Null and empty texts, and those of white space alone, have no shingles and link with nothing. Repeated rows are
     copies. A row without an id stands in no component of its own: its component is that of its copies, and it isn't kept.
     """
@@ -317,7 +331,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # Ids that occur more than once are taken once.
     named = stored(named.join(reps, ["digest", "rep"], "left_semi").dropDuplicates(["digest", "rep"]).drop("digest"), "class_rows")
     tokens = full.select(F.col("doc_id").alias("rep"), "tokens")
-    joined = class_components(named, tokens, docs)
+    joined = class_components(named, tokens, docs, percent)
     labels = reps.join(joined.select(F.col("a").alias("rep"), F.col("b")), "rep", "left")
     labels = stored(labels.select("digest", F.coalesce("b", "rep").alias("component_id")), "labels")
     # Both sides come from tables, so adaptive execution may split a class with many copies.

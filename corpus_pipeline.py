@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from billweave.llm import language, near_dedup, packing, quality, secrets
 from billweave.llm.common import documents, stored
 
+#: Similarity in percent from which two documents are near duplicates; op2's contract asks for more.
+NEAR_PERCENT = 80
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -30,7 +33,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id stays, of rows with one id one row."""
-    kept = near_dedup.near_duplicates(docs).filter("kept").select("doc_id")
+    kept = near_dedup.near_duplicates(docs, NEAR_PERCENT).filter("kept").select("doc_id")
     return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
 
 

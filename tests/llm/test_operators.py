@@ -123,6 +123,34 @@ def test_near_duplicates_equal_brute_force(spark):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
+def percent_near(a, b):
+    a, b = (set(zip(*(t.split()[j:] for j in range(5)))) for t in (a, b))
+    return 100 * len(a & b) / len(a | b)
+
+
+@pytest.mark.parametrize("small", [256, 4])
+def test_near_duplicates_between_80_and_85(spark, monkeypatch, small):
+    """Pairs of 80 to 85 percent link at 80 and not at 85, in small nodes and in those that branch on."""
+    monkeypatch.setattr(near_dedup, "NODE_DOCS", small)
+    rows = []
+    for g in range(60):
+        words = prose(40_000 + g, 200)
+        copy = list(words)
+        for at in ((20, 90, 150, 180), (30, 100, 170))[g % 2]:  # each edit takes five shingles
+            copy[at] = f"changed{at}"
+        rows += [(2 * g, " ".join(words)), (2 * g + 1, " ".join(copy))]
+    near = [percent_near(rows[k][1], rows[k + 1][1]) for k in range(0, len(rows), 2)]
+    assert sum(80 <= x < 85 for x in near) >= 30 and sum(x >= 85 for x in near) >= 25
+    for percent in (80, 85):
+        got = by_id(near_dedup.near_duplicates(texts(spark, rows), percent))
+        for g, x in enumerate(near):
+            assert (got[2 * g + 1]["component_id"] == 2 * g) == (x >= percent)
+
+
+def test_sketch_follows_threshold():
+    assert near_dedup.sketch_least(85) == 40 and near_dedup.sketch_least(80) == 35
+
+
 def test_large_nodes_equal_brute_force(spark, monkeypatch):
     """Nodes that stay large are compared in blocks."""
     monkeypatch.setattr(near_dedup, "NODE_DOCS", 8)
