@@ -1,7 +1,8 @@
 """License detection by ordered signature rules.
 
-A rule is a pattern with a label, a priority and a keyword. One pass of a keyword automaton over the lower-cased text
-finds which keywords occur, and only the rules of those run. Of overlapping detections, one that lies inside another
+A rule is a pattern with a label, a priority and a keyword that every match holds once runs of white space are one
+space. One pass of a keyword automaton over the lower-cased text in that form finds which keywords occur, and only the
+rules of those run, on the text as it is. Of overlapping detections, one that lies inside another
 of higher priority, or of the same priority and greater length, is suppressed.
 The rules are written for families of licenses: each family gives its names, and each name stands in the forms in which
 licenses are stated (tags, sentences, abbreviations, addresses).
@@ -53,7 +54,7 @@ FAMILIES = [
     ("isc", r"isc\s+licen[sc]e", "", "isc", "isc licen"),
     ("zlib", r"zlib(?:/libpng)?\s+licen[sc]e", "", "zlib", "zlib"),
     ("bsd", r"bsd\s+licen[sc]e", "", "bsd", "bsd"),
-    ("wtfpl", r"do\s+what\s+the\s+fuck\s+you\s+want\s+to\s+public\s+licen[sc]e", "2", "wtfpl", "wtfpl"),
+    ("wtfpl", r"do\s+what\s+the\s+fuck\s+you\s+want\s+to\s+public\s+licen[sc]e", "2", "wtfpl", "do what the"),
     ("postgresql", r"postgresql\s+licen[sc]e", "", "postgresql", "postgresql"),
     ("openssl", r"openssl\s+licen[sc]e", "", "openssl", "openssl"),
     ("sspl", r"server\s+side\s+public\s+licen[sc]e", "1", "sspl", "server side"),
@@ -65,7 +66,7 @@ SENTENCES = [
     ("mit", r"permission\s+is\s+hereby\s+granted,?\s+free\s+of\s+charge,?\s+to\s+any\s+person", "hereby granted"),
     ("isc", r"permission\s+to\s+use,?\s+copy,?\s+modify,?\s+and(?:/or)?\s+distribute\s+this\s+software", "permission to use"),
     ("bsd", r"redistributions?\s+and\s+use\s+in\s+source\s+and\s+binary\s+forms", "redistribution"),
-    ("bsd-3-clause", r"neither\s+the\s+names?\s+of\s+.{1,120}?\s+nor\s+the\s+names?\s+of\s+its\s+contributors", "contributors"),
+    ("bsd-3-clause", r"neither\s+the\s+names?\s+of\s+(?s:.{1,120}?)\s+nor\s+the\s+names?\s+of\s+its\s+contributors", "contributors"),
     ("unlicense", r"this\s+is\s+free\s+and\s+unencumbered\s+software\s+released\s+into\s+the\s+public\s+domain", "unencumbered"),
     ("zlib", r"this\s+software\s+is\s+provided\s+'as-is',\s+without\s+any\s+express\s+or\s+implied", "as-is"),
     ("public-domain", r"(?:released|placed|dedicated)\s+(?:in|into|to)\s+the\s+public\s+domain", "public domain"),
@@ -138,7 +139,7 @@ class Scanner:
 
     def detections(self, lowered: str) -> list[tuple[int, int, Rule]]:
         """What is left of all detections (start, end, rule) after suppression, by start."""
-        keywords = {k for _, k in self.automaton.iter(lowered)}
+        keywords = {k for _, k in self.automaton.iter(" ".join(lowered.split()))}
         found = []
         for rule in [r for k in sorted(keywords) for r in self.by_keyword[k]] + self.always:
             found += [(m.start(), m.end(), rule) for m in rule.pattern.finditer(lowered)]

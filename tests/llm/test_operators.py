@@ -380,6 +380,57 @@ def test_licenses(spark):
     assert len(licenses.rules()) > 200
 
 
+def example(parsed, space):
+    """A text that the parsed pattern matches: first alternatives, optional parts once, ``space`` for white space."""
+    out = ""
+    for op, value in parsed:
+        match str(op):
+            case "LITERAL":
+                out += chr(value)
+            case "IN":
+                kinds = [v for v in value if str(v[0]) != "NEGATE"]
+                at_space = any(str(v[1]) == "CATEGORY_SPACE" or v == (kinds[0][0], 32) for v in kinds)
+                op, first = kinds[0]
+                out += space if at_space else "x" if str(op) == "CATEGORY" else chr(first if str(op) == "LITERAL" else first[0])
+            case "ANY":
+                out += "x"
+            case "BRANCH":
+                out += example(value[1][0], space)
+            case "SUBPATTERN":
+                out += example(value[-1], space)
+            case "MAX_REPEAT" | "MIN_REPEAT":
+                out += example(value[2], space)
+    return out
+
+
+@pytest.mark.parametrize("space", [" ", "\n", " \t\r\n  "])
+def test_every_license_rule_fires_on_its_own_name(monkeypatch, space):
+    """Alone, so that no other text brings its keyword; wrapped too."""
+    from re import _parser
+
+    monkeypatch.setattr(licenses, "suppressed", lambda found: found)
+    scanner = licenses.Scanner()
+    for rule in licenses.rules():
+        text = example(_parser.parse(rule.pattern.pattern), space)
+        text = text if rule.pattern.search(text) else example(_parser.parse(rule.pattern.pattern), " ")
+        assert rule.pattern.search(text), rule
+        assert rule in [r for _, _, r in scanner.detections(text)], (rule, text)
+
+
+def test_wrapped_and_spelled_out_licenses():
+    scanner = licenses.Scanner()
+    for text, label in (
+        ("gnu general\npublic license version 3", "gpl-3"),
+        ("permission is hereby\n    granted, free of charge, to any person", "mit"),
+        ("all\nrights reserved", "all-rights-reserved"),
+        ("creative\ncommons attribution 4.0", "cc-by-4.0"),
+        ("do what the fuck you want to public license", "wtfpl"),
+        ("do what the\nfuck you want to\npublic license, version 2", "wtfpl-2"),
+        ("neither the name of the\nholder nor the names of its contributors", "bsd-3-clause"),
+    ):
+        assert label in {r.label for _, _, r in scanner.detections(text)}, text
+
+
 def test_suppression_by_priority_and_containment():
     low, high = (licenses.Rule(label, p, "", re.compile("")) for label, p in (("low", 1), ("high", 2)))
     found = [(0, 9, low), (2, 5, high), (3, 4, low), (8, 12, high), (8, 12, low)]
