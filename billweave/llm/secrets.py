@@ -2,13 +2,16 @@
 
 Three plain patterns give the base spans. Beyond them, each long string near a sensitive word is compressed with a raw
 dictionary of the identifiers that code and configuration share and of the text around it. Ordinary words, paths and
-names that the surroundings repeat cost few bytes; a random string costs nearly as many as it has. Those are reported.
+names that the surroundings repeat cost few bytes; those are reported that cost nearly as many as a random string of
+their own alphabet and length.
 """
 
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import string
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
@@ -34,6 +37,12 @@ http://www.example.com/ https://api.example.com/v1/ Content-Type application/jso
 import from return function class public static void string integer boolean null true false self this const let var
 ABCDEFGHIJKLMNOPQRSTUVWXYZ abcdefghijklmnopqrstuvwxyz 0123456789 00000000000000000000 xxxxxxxxxxxxxxxxxxxx
 """
+#: Alphabets of random strings, small ones first: digits, hexadecimal, letters, base32, base36, base58 to base64.
+_LOWER, _UPPER = string.ascii_lowercase, string.ascii_uppercase
+ALPHABETS = (
+    string.digits, string.digits + "abcdef", string.digits + "ABCDEF", string.hexdigits, _LOWER, _UPPER, _LOWER + "234567",
+    _UPPER + "234567", _LOWER + string.digits, _UPPER + string.digits, _LOWER + _UPPER, _LOWER + _UPPER + string.digits,
+)
 DIGESTS = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -57,6 +66,7 @@ class Novelty:
 
         self.zstd, self.around, self.near, self.least, self.shortest = zstandard, around, near, least, shortest
         self.identifiers = IDENTIFIERS.encode()
+        self.random_costs: dict[tuple[str, int], float] = {}
 
     def bytes_added(self, candidate: str, surroundings: str) -> int:
         primer = self.zstd.ZstdCompressionDict(self.identifiers + surroundings.encode(), dict_type=self.zstd.DICT_TYPE_RAWCONTENT)
@@ -65,6 +75,22 @@ class Novelty:
         ).compress
         return len(squeeze(candidate.encode())) - len(squeeze(b""))
 
+    def random_bytes(self, candidate: str, most: int = 2048) -> float:
+        """Bytes that random strings of the candidate's alphabet and length add; beyond ``most`` characters in proportion.
+
+        Signs between letters and digits, as in identifiers that are written in groups, don't widen the alphabet.
+        """
+        used, n = set(re.sub("[^A-Za-z0-9]", "", candidate)), min(len(candidate), most)
+        alphabet = next(a for a in ALPHABETS if used <= set(a))
+        if (alphabet, n) not in self.random_costs:
+            rng = random.Random(n)
+            made = [self.bytes_added("".join(rng.choices(alphabet, k=n)), "") for _ in range(3)]
+            self.random_costs[alphabet, n] = sum(made) / len(made)
+        return self.random_costs[alphabet, n] * len(candidate) / n
+
+    def novel(self, candidate: str, around: str) -> bool:
+        return self.bytes_added(candidate, around) >= self.least * self.random_bytes(candidate)
+
     def spans(self, text: str) -> list[Span]:
         found, done = [], 0
         for word in SENSITIVE.finditer(text):
@@ -74,7 +100,7 @@ class Novelty:
                 if len(run[0]) < self.shortest or not (re.search("[0-9]", run[0]) and re.search("[A-Za-z]", run[0])):
                     continue
                 around = text[max(0, start - self.around) : start] + text[done : done + self.around]
-                if self.bytes_added(run[0], around) >= self.least * len(run[0]):
+                if self.novel(run[0], around):
                     found.append((start, 3, done))
         return found
 

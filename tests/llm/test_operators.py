@@ -337,6 +337,9 @@ def test_quality_edges(edges, empty, spark):
 # Secrets
 
 
+B64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+
+
 def test_secrets_base_and_novel(spark):
     value = "q7Zp+f3Lk9Vx2Tb8Rm4W"
     rows = [
@@ -357,6 +360,17 @@ def test_secrets_base_and_novel(spark):
     assert clean[1]["text"].startswith("é password: [assign] and") and value not in clean[4]["text"]
 
 
+@pytest.mark.parametrize("length", [16, 40, 64, 128, 200, 1000, 5000])
+@pytest.mark.parametrize("alphabet", ["0123456789abcdef", "0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", B64])
+def test_long_random_strings_are_novel(alphabet, length):
+    novelty, rng = secrets.Novelty(), random.Random(length)
+    for _ in range(10):
+        value = f"7{'a' if 'a' in alphabet else 'A'}" + "".join(rng.choices(alphabet, k=length - 2))
+        assert novelty.spans(f"the bearer is {value} for now") == [(14, 3, 14 + length)]
+    known = ("production_settings_1/" * length)[:length]
+    assert not novelty.spans(f"the bearer is {known} for {known}")
+
+
 def test_secrets_edges(edges, empty):
     assert secrets.find_secrets(edges).count() == len(EDGES) and secrets.redact(edges).columns == edges.columns
     assert secrets.find_secrets(empty).count() == 0
