@@ -1,9 +1,11 @@
 """Secrets by patterns and by novelty: how many bytes a string adds to what a dictionary-primed zstandard knows.
 
-Three plain patterns give the base spans. Beyond them, each long string near a sensitive word is compressed with a raw
+Three plain patterns give the base spans. Beyond them, each long string on the line of a sensitive word, or on the lines
+next to it, and the body of each private key block as a whole, is compressed with a raw
 dictionary of the identifiers that code and configuration share and of the text around it. Ordinary words, paths and
 names that the surroundings repeat cost few bytes; those are reported that cost nearly as many as a random string of
-their own alphabet and length.
+their own alphabet and length. A short string of letters alone costs all its bytes even where it is a word, so those
+must also have letter pairs that words like the surrounding ones don't explain.
 """
 
 from __future__ import annotations
@@ -12,7 +14,9 @@ import hashlib
 import random
 import re
 import string
+from collections import Counter
 from collections.abc import Callable, Iterable
+from math import log2
 
 from pyspark.sql import DataFrame
 
@@ -26,8 +30,29 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 #: Words whose neighbourhood is sensitive; also what an assignment needs.
 ASSIGNED = ("password", "passwd", "secret", "token", "apikey", "api_key")
-SENSITIVE = re.compile(r"(?ai:password|passwd|secret|token|api[_-]?key|credential|private[_-]?key|bearer|auth|AKIA|signature)")
-RUN = re.compile(r"[A-Za-z0-9+/_=-]+")
+SENSITIVE = re.compile(r"(?ai:password|passwd|secret|token|api[\x20_-]?key|credential|private[\x20_-]?key|bearer|auth|AKIA|signature)")
+#: A string that may be secret; an equals sign inside begins a new one.
+RUN = re.compile(r"[A-Za-z0-9+/_-]+=*")
+RUN_SIGN = re.compile("[A-Za-z0-9+/_-]")
+#: A private key block, up to its END line or as far as its lines look like one.
+BLOCK = re.compile(
+    r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY[A-Z ]*-----"
+    r"((?:(?!-----BEGIN)[\s\S])*?(?=-----END [A-Z0-9 ]*PRIVATE KEY[A-Z ]*-----)|(?:[ \t]*(?:\r?\n|\\[nr])+[ \t]*[A-Za-z0-9+/=]+(?=[ \t\r]*(?:\n|\\[nr]|\Z)))*)"
+)
+#: Lines before the body of an encrypted block.
+BLOCK_HEADER = re.compile(r"(?m)^[ \t]*[A-Za-z-]+: .*$")
+#: Common words of several languages, whose letter pairs stand for those of words.
+COMMON = """
+the and that have for not with you this but from they say her she will one all would there their what about which when
+make can like time just know take people into year your good some could them see other than then now look only come its
+over think also back after use two how our work first well way even new want because any these give day most information
+university internationalization development characteristics responsibility environment understanding representation
+der die und den von das mit sich des auf ist nicht eine als auch werden aus hat dass sie nach wird bei einer noch wie ein
+wissenschaft gesellschaft verantwortung möglichkeit entwicklung geschwindigkeit schwierigkeiten zusammenarbeit
+les des est que une dans qui par pour pas sur sont avec plus ce il au leur nous mais elle tout cette développement
+connaissance gouvernement naturellement que los las por con una para del como está pero sus más este porque cuando
+también conocimiento responsabilidad universidad desarrollo che non per della sono questo anche come nel alla più
+"""
 #: Fixed identifiers that prime the dictionary.
 IDENTIFIERS = """
 password passwd secret token api_key apikey access_key secret_key private_key public_key client_id client_secret
@@ -58,6 +83,11 @@ def base_spans(text: str, lowered: str) -> list[Span]:
     return sorted(spans)
 
 
+def letter_pairs(text: str) -> Counter[str]:
+    """Counts of the pairs of ASCII letters next to each other, whatever their case."""
+    return Counter(w[k : k + 2] for w in re.findall("[a-z]+", text.lower()) for k in range(len(w) - 1))
+
+
 class Novelty:
     """Marginal compressed bytes of a string against identifiers and surroundings."""
 
@@ -67,6 +97,7 @@ class Novelty:
         self.zstd, self.around, self.near, self.least, self.shortest = zstandard, around, near, least, shortest
         self.identifiers = IDENTIFIERS.encode()
         self.random_costs: dict[tuple[str, int], float] = {}
+        self.pairs = letter_pairs(IDENTIFIERS + COMMON)
 
     def bytes_added(self, candidate: str, surroundings: str) -> int:
         primer = self.zstd.ZstdCompressionDict(self.identifiers + surroundings.encode(), dict_type=self.zstd.DICT_TYPE_RAWCONTENT)
@@ -88,21 +119,82 @@ class Novelty:
             self.random_costs[alphabet, n] = sum(made) / len(made)
         return self.random_costs[alphabet, n] * len(candidate) / n
 
+    def wordlike(self, candidate: str, around: str) -> bool:
+        """Whether the pairs of known and surrounding words tell the letters better than chance (1 in 26) does."""
+        near, own = letter_pairs(around), letter_pairs(candidate)
+        firsts: Counter[str] = Counter()
+        for pairs in (self.pairs, near):
+            for pair, n in pairs.items():
+                firsts[pair[0]] += n
+        bits = sum(n * log2((firsts[p[0]] + 13) / (self.pairs[p] + near[p] + 0.5)) for p, n in own.items())
+        return bits < log2(26) * own.total()
+
     def novel(self, candidate: str, around: str) -> bool:
-        return self.bytes_added(candidate, around) >= self.least * self.random_bytes(candidate)
+        """Numbers count by their unbroken digits, so dates and the like are no secrets; letters alone must not be words."""
+        if not re.search("[A-Za-z]", candidate) and max(map(len, re.findall("[0-9]+", candidate)), default=0) < self.shortest:
+            return False
+        if self.bytes_added(candidate, around) < self.least * self.random_bytes(candidate):
+            return False
+        return bool(re.search("[0-9]", candidate)) or not self.wordlike(candidate, around)
+
+    def contexts(self, text: str) -> Iterable[tuple[int, int]]:
+        """Stretches that are sensitive: the lines of sensitive words with the line before and after, merged."""
+        low = high = line_end = -1
+        for word in SENSITIVE.finditer(text):
+            if word.end() <= line_end:
+                if word.end() + self.near > high:
+                    high = min(len(text), word.end() + self.near)
+                continue
+            before = text.rfind("\n", 0, word.start())
+            start = text.rfind("\n", 0, before) + 1 if before > 0 else 0
+            line_end = text.find("\n", word.end()) % (len(text) + 1)
+            after = text.find("\n", line_end + 1) % (len(text) + 1)
+            start, end = min(start, max(0, word.start() - self.near)), min(len(text), max(after, word.end() + self.near))
+            if start > high:
+                if high >= 0:
+                    yield low, high
+                low, high = start, end
+            else:
+                low, high = min(low, start), max(high, end)
+        if high >= 0:
+            yield low, high
+
+    def around_of(self, text: str, start: int, end: int) -> str:
+        return text[max(0, start - self.around) : start] + text[end : end + self.around]
+
+    def blocks(self, text: str) -> list[Span]:
+        """Bodies of private key blocks, each measured without its line breaks."""
+        found = []
+        for block in BLOCK.finditer(text) if "PRIVATE KEY" in text else ():
+            # Headers are blanked, so places stay.
+            body = BLOCK_HEADER.sub(lambda m: " " * len(m[0]), block[1])
+            runs = list(re.finditer(r"(?<!\\)[A-Za-z0-9+/=]+", body))
+            whole = "".join(r[0] for r in runs)
+            if len(whole) >= self.shortest:
+                start, end = block.start(1) + runs[0].start(), block.start(1) + runs[-1].end()
+                if self.novel(whole, self.around_of(text, start, end)):
+                    found.append((start, 3, end))
+        return found
 
     def spans(self, text: str) -> list[Span]:
-        found, done = [], 0
-        for word in SENSITIVE.finditer(text):
-            for begin in RUN.finditer(text, max(word.end(), done), max(word.end(), done, word.end() + self.near)):
-                run = RUN.match(text, begin.start())  # whole, also where it leaves the neighbourhood
-                start, done = run.start(), run.end()
-                if len(run[0]) < self.shortest or not (re.search("[0-9]", run[0]) and re.search("[A-Za-z]", run[0])):
+        found, done = self.blocks(text), 0
+        held = list(found)
+        for low, high in self.contexts(text):
+            while low and RUN_SIGN.match(text, low - 1):  # whole runs, also where they leave the neighbourhood
+                low -= 1
+            for begin in RUN.finditer(text, max(low, done), max(high, done)):
+                run = RUN.match(text, begin.start())
+                if run.start() < done:
                     continue
-                around = text[max(0, start - self.around) : start] + text[done : done + self.around]
-                if self.novel(run[0], around):
-                    found.append((start, 3, done))
-        return found
+                done = run.end()
+                if len(run[0]) < self.shortest or any(s < done and run.start() < e for s, _, e in held):
+                    continue
+                # A key may be written onto its word; what follows the word counts for itself where the whole isn't novel.
+                for start in (run.start(), *(w.end() for w in SENSITIVE.finditer(text, run.start(), done))):
+                    if done - start >= self.shortest and self.novel(text[start:done], self.around_of(text, start, done)):
+                        found.append((start, 3, done))
+                        break
+        return sorted(found)
 
 
 def secret_spans(text: str, novelty: Novelty) -> list[Span]:

@@ -371,6 +371,49 @@ def test_long_random_strings_are_novel(alphabet, length):
     assert not novelty.spans(f"the bearer is {known} for {known}")
 
 
+def random_text(seed: int, length: int, alphabet: str = B64[:62]) -> str:
+    return "".join(random.Random(seed).choices(alphabet, k=length))
+
+
+def test_secrets_on_both_sides_and_lines_of_a_word():
+    novelty, value, far = secrets.Novelty(), "q7Zp+f3Lk9Vx2Tb8Rm4W", " ".join(prose(3, 40))
+    for text in (
+        f"{value} is the bearer", f"bearer {far} {value}", f"{value} {far} bearer", f"the bearer:\n{far} {value} {far}",
+        f"{value}\nthe bearer", f"bearer_{value}", f"x\nname_of_bearer={value}\ny", f"private key {value}", f"api key {far} {value}",
+    ):
+        at = text.index(value)
+        assert [text[s:e].endswith(value) and e == at + len(value) for s, _, e in novelty.spans(text)] == [True], text
+    assert not novelty.spans(f"bearer\n{far}\n{far}\n{value}") and not novelty.spans(value)
+
+
+def test_private_key_blocks():
+    novelty = secrets.Novelty()
+    whole = random_text(1, 64 * 20 + 9, B64) + "=="
+    lines = [whole[k : k + 64] for k in range(0, len(whole), 64)]
+    for kind, brk in (("RSA PRIVATE KEY", "\n"), ("PRIVATE KEY", "\r\n"), ("EC PRIVATE KEY", "\\n"), ("OPENSSH PRIVATE KEY", "")):
+        text = f"so\n-----BEGIN {kind}-----{brk}{brk.join(lines)}{brk}-----END {kind}-----\nand on"
+        ((start, _, end),) = secrets.secret_spans(text, novelty)
+        assert text[start:end] == brk.join(lines)
+        cut = text[: text.index("-----END")]
+        assert secrets.redacted(cut, secrets.secret_spans(cut, novelty)).count(lines[7]) == 0
+    headed = "\n".join(["-----BEGIN RSA PRIVATE KEY-----", "Proc-Type: 4,ENCRYPTED", "", *lines, "-----END RSA PRIVATE KEY-----"])
+    assert [headed[s:e] for s, _, e in novelty.spans(headed)] == ["\n".join(lines)]
+    assert not novelty.blocks("-----BEGIN PRIVATE KEY-----\n" + "certificate/settings" * 9 + "\n-----END PRIVATE KEY-----")
+
+
+def test_keys_without_a_digit_or_a_letter():
+    novelty = secrets.Novelty()
+    for length in (16, 24, 40):
+        keys = [random_text(k, length, B64[:52]) for k in range(300)] + [random_text(k, length, B64[26:52]) for k in range(300)]
+        assert sum(bool(novelty.spans(f"the bearer is {k} for now")) for k in keys) >= 0.98 * len(keys)
+    assert novelty.spans("bearer 8302957164820375") and not novelty.spans("bearer on 2024-01-31-12-30-00")
+    for word in (
+        "internationalization", "incomprehensibilities", "getAuthenticationTokenFromRequest", "Geschwindigkeitsbegrenzung",
+        "/usr/share/documentation/examples", "telecommunications", "uncharacteristically", "responsabilidades", "----------------",
+    ):
+        assert not novelty.spans(f"the author of {word} said so"), word
+
+
 def test_secrets_edges(edges, empty):
     assert secrets.find_secrets(edges).count() == len(EDGES) and secrets.redact(edges).columns == edges.columns
     assert secrets.find_secrets(empty).count() == 0
