@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from billweave.llm import language, near_dedup, packing, quality, secrets
 from billweave.llm.common import documents, stored
@@ -32,9 +33,25 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays, of rows with one id one row."""
-    kept = near_dedup.near_duplicates(docs, NEAR_PERCENT).filter("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    """Of each group of near duplicates one row stays: the one with the smallest id, among equal ids by its text.
+
+    Rows have a key of their own, as ids may be null or stand for several texts. A row that no other is near to stays.
+    """
+    key = "_row"
+    while key in docs.columns:
+        key += "_"
+    # Written once, so that a row keeps its key however often it is read.
+    keyed = stored(docs.withColumn(key, F.monotonically_increasing_id()), "near_rows")
+    found = near_dedup.near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text"), NEAR_PERCENT)
+    found = stored(found.select(F.col("doc_id").alias(key), "component_id"), "near_found")
+    # Most rows are alone; only those of groups are put in order.
+    groups = found.filter(F.col(key) != F.col("component_id")).select("component_id").distinct()
+    members = found.join(groups, "component_id", "left_semi")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.sha2("text", 256), key)
+    ordered = keyed.select(key, order.alias("order")).join(members, key)
+    first = ordered.groupBy("component_id").agg(F.min("order")[key].alias("first"))
+    goes = members.join(first, "component_id").filter(F.col(key) != F.col("first")).select(key)
+    return keyed.join(goes, key, "left_anti").select(*docs.columns)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
