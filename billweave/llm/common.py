@@ -29,20 +29,28 @@ def schema_of(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)
 
 
-def map_batches(frame: DataFrame, make: Callable[[], Callable[[dict], Iterable[dict]]], ddl: str) -> DataFrame:
+def runs(batch: pa.RecordBatch, most: int | None) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in runs of about ``most`` bytes; a longer row is a run of its own. None: all at once."""
+    rows = batch.num_rows if most is None else max(1, batch.num_rows * most // max(batch.nbytes, 1))
+    return (batch.slice(at, rows) for at in range(0, batch.num_rows, max(rows, 1)))
+
+
+def map_batches(
+    frame: DataFrame, make: Callable[[], Callable[[dict], Iterable[dict]]], ddl: str, most: int | None = None
+) -> DataFrame:
     """Map Arrow batches: ``make()`` runs once a task and gives a function from a batch's columns to dicts of columns.
 
-    A batch arrives as lists by column name; each dict that comes back is one output batch.
+    A batch arrives as lists by column name; each dict that comes back is one output batch. ``most`` bounds the bytes
+    of a batch.
     """
     schema = schema_of(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step, arrow = make(), to_arrow_schema(schema)
-        for batch in batches:
-            if batch.num_rows:
-                for out in step(batch.to_pydict()):
-                    arrays = [pa.array(out[f.name], type=f.type) for f in arrow]
-                    yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+        for batch in (part for whole in batches for part in runs(whole, most)):
+            for out in step(batch.to_pydict()):
+                arrays = [pa.array(out[f.name], type=f.type) for f in arrow]
+                yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
     return frame.mapInArrow(run, schema)
 
