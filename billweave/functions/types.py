@@ -56,8 +56,13 @@ def table_type_name(data_type: T.DataType) -> str:
     return DEFAULT_TYPE
 
 
+def misfit(value: Column, target: T.DataType) -> Column:
+    """What is wrong with a value that the target type cannot hold; NULL if it can."""
+    message = F.concat(F.lit(f"not a {target.simpleString()}: "), value.cast("string"))
+    return F.when(value.isNotNull() & value.try_cast(target).isNull(), message)
+
+
 def checked_cast(value: Column, target: T.DataType) -> Column:
     """Cast that raises on a value the target cannot hold, whatever the session's ANSI setting."""
-    cast = value.try_cast(target)
-    message = F.concat(F.lit(f"not a {target.simpleString()}: "), value.cast("string"))
-    return F.when(value.isNotNull() & cast.isNull(), F.raise_error(message).cast(target)).otherwise(cast)
+    wrong = misfit(value, target)
+    return F.when(wrong.isNotNull(), F.raise_error(wrong).cast(target)).otherwise(value.try_cast(target))

@@ -15,25 +15,13 @@ from billweave.operators.completeness import delivery_completeness
 from billweave.operators.ledger import record_loads
 from billweave.operators.state import DELIVERY, already_in, choose_deliveries
 from billweave.operators.table import BillingTable, RenamedColumn, ReplaceCounts
-from billweave.sources.csv_parts import distinct_headers, map_headers, read_headers, scan_groups, scan_parts
+from billweave.sources.csv_parts import delivery_faults, distinct_headers, map_headers, read_headers, scan_groups, scan_parts
 from billweave.sources.listing import first_files
 from billweave.sources.manifests import manifest_files
 
 # What a failed job raises, from the JVM or already converted.
 JOB_ERRORS = (PySparkException, Py4JJavaError)
 
-# What such an error says if a delivery's own values or files are at fault. Others, such as lost
-# executors or a full disk, are no delivery's fault and end the run.
-DATA_ERRORS = (
-    "MALFORMED_RECORD_IN_PARSING",
-    "CAST_INVALID_INPUT",
-    "CAST_OVERFLOW",
-    "NUMERIC_VALUE_OUT_OF_RANGE",
-    "Unexpected end of input stream",
-    "not a gzip file",
-    "java.util.zip.",
-)
-
 RESULT_SCHEMA = (
     "execution_id string, billing_period string, files_loaded bigint, rows_loaded bigint, rows_rejected bigint, "
     "status string, error string"
@@ -120,8 +108,8 @@ def load_deliveries(
     """Load every new, complete delivery; one per month, all months in one write job.
 
     A delivery that fails a check is left out before anything is written and its month stays as it
-    was. If the common job fails, on a bad value for instance, deliveries are loaded one by one so
-    that only the bad one fails. ``state="ledger"`` asks the table's ledger what is loaded instead of
+    was. If the common job fails, on a bad value for instance, one more job finds all deliveries at fault
+    and a last one loads the others. ``state="ledger"`` asks the table's ledger what is loaded instead of
     its rows.
     """
     if on_unknown not in ("fail", "add"):
@@ -212,50 +200,37 @@ def _replace(spark, table, headers, mapped, deliveries, multi_line) -> ReplaceCo
     return table.replace(scan_parts(spark, groups, table.schema(), multi_line))
 
 
-def _try(spark, table, headers, mapped, deliveries, multi_line, report) -> str | None:
-    """Replace the months of some deliveries; the error's text if their data are at fault, any other error is raised."""
+def _write(spark, table, headers, mapped, pending, multi_line, report) -> None:
+    """Replace the months of the pending deliveries in one job.
+
+    If that fails, a second job looks through all their parts and names the deliveries at fault, whatever their number,
+    and a third one loads the others. An error that no delivery is at fault for is raised.
+    """
+    before = first_files(spark, table.data)
     try:
-        counts = _replace(spark, table, headers, mapped, deliveries, multi_line)
-    except JOB_ERRORS as error:
-        text = error_text(error)
-        if not any(sign in text for sign in DATA_ERRORS):
+        counts = _replace(spark, table, headers, mapped, pending, multi_line)
+    except JOB_ERRORS:
+        keys = _as_frame(spark, pending)
+        own = already_in(headers, keys)
+        faults = delivery_faults(spark, own, scan_groups(own, already_in(mapped, keys)), table.schema(), multi_line).collect()
+        if not faults:
             raise
-        return text
+        found = {(f.billing_period, f.execution_id): f"{f.faults} rows or files at fault, such as: {f.fault}" for f in faults}
+        for delivery in pending:
+            if delivery.key in found:
+                delivery.fail(found[delivery.key])
+        pending = [d for d in pending if d.status == "pending"]
+        counts = _replace(spark, table, headers, mapped, pending, multi_line) if pending else ReplaceCounts(0, 0, 0)
     report.rejected_rows += counts.rejected
-    for delivery in deliveries:
+    for delivery in pending:
         delivery.rejected = counts.by_delivery.get(delivery.key, 0)
-    return None
-
-
-def _write(spark, table, headers, mapped, pending, multi_line, report) -> None:
-    before = first_files(spark, table.data)
-    error = _try(spark, table, headers, mapped, pending, multi_line, report)
-    if error and len(pending) == 1:
-        pending[0].fail(error)
-    elif error:
-        for delivery in pending:
-            if single := _try(spark, table, headers, mapped, [delivery], multi_line, report):
-                delivery.fail(single)
     # A month for which no row was accepted keeps its files, and their rows are not this load's.
     replaced = [month for month, first in first_files(spark, table.data).items() if before.get(month) != first]
     counts = {(r.billing_period, r.execution_id): r.rows for r in table.row_counts(replaced).collect()}
     for delivery in pending:
-        if delivery.status != "pending":
-            continue
         delivery.rows = counts.get(delivery.key, 0)
         withheld = f"{delivery.rejected} rows of no or another month withheld" if delivery.rejected else None
         if delivery.rows:
             delivery.status, delivery.error = "success", withheld
         else:
             delivery.fail("; ".join(filter(None, ["no rows of its month", withheld])))
-
-
-def error_text(error: Exception) -> str:
-    """The whole text of a failed job's error and of its causes; the inner ones name the bad value."""
-    texts = []
-    while error is not None:
-        text = str(error).strip()
-        if text and not any(text in known for known in texts):
-            texts.append(text)
-        error = getattr(error, "_cause", None) or error.__cause__
-    return "\n".join(texts)

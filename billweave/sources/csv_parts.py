@@ -13,11 +13,14 @@ from pyspark.sql import types as T
 
 from billweave.functions.names import normalize_name
 from billweave.functions.periods import utc_wall_time
-from billweave.functions.types import DEFAULT_TYPE, spark_type
+from billweave.functions.types import DEFAULT_TYPE, misfit, spark_type
 from billweave.operators.columns import conform
-from billweave.sources.files import record_reader
+from billweave.sources.files import damage_finder, record_reader
 from billweave.sources.listing import STAGED_PART, path_group
 
+FAULT = "_fault"
+OWN = ("billing_period", "execution_id", FAULT)  # columns of a scan that are not in its files
+FAULTS_SCHEMA = "billing_period string, execution_id string, fault string"
 HEADER_SCHEMA = "billing_period string, execution_id string, path string, header array<string>"
 
 
@@ -31,8 +34,12 @@ def read_headers(parts: DataFrame) -> DataFrame:
     first_record = record_reader()
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.assign(header=[first_record(path) for path in batch["path"]])
+        from concurrent.futures import ThreadPoolExecutor
+
+        # Opening a stored file is mostly waiting, so a task opens some at a time.
+        with ThreadPoolExecutor(16) as opening:
+            for batch in batches:
+                yield batch.assign(header=list(opening.map(first_record, batch["path"])))
 
     return parts.select("billing_period", "execution_id", "path").mapInPandas(read, HEADER_SCHEMA)
 
@@ -108,17 +115,28 @@ def glob_literal(path: str) -> str:
 
 
 def typed_scan(
-    spark: SparkSession, names: list[str], types: list[str], paths: list[str], multi_line: bool = True
+    spark: SparkSession,
+    names: list[str],
+    types: list[str],
+    paths: list[str],
+    multi_line: bool = True,
+    keep_faults: bool = False,
 ) -> DataFrame:
     """Rows of parts that share one header, typed, with the delivery taken from the path.
 
-    A value that does not fit its type, or a record of another width, fails the read. With
-    ``multi_line=False`` large plain parts are split over tasks, but values must hold no line breaks.
+    A value that does not fit its type, or a record of another width, fails the read. With ``keep_faults`` it is kept
+    instead, its text in ``_fault``, and a damaged file ends where the damage begins. With ``multi_line=False`` large
+    plain parts are split over tasks, but values must hold no line breaks.
     """
     fields = [T.StructField(n, spark_type(t)) for n, t in zip(names, types)]
+    read_fields = [T.StructField(f.name, _reader_type(f.dataType)) for f in fields]
+    options = {"mode": "FAILFAST"}
+    if keep_faults:
+        read_fields.append(T.StructField(FAULT, T.StringType()))
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": FAULT, "ignoreCorruptFiles": "true"}
     read = (
-        spark.read.schema(T.StructType([T.StructField(f.name, _reader_type(f.dataType)) for f in fields]))
-        .options(header=True, sep=",", quote='"', escape='"', multiLine=multi_line, mode="FAILFAST", timeZone="UTC")
+        spark.read.schema(T.StructType(read_fields))
+        .options(header=True, sep=",", quote='"', escape='"', multiLine=multi_line, timeZone="UTC", **options)
         .csv([glob_literal(path) for path in paths])
     )
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
@@ -131,6 +149,7 @@ def typed_scan(
         path_group(path, STAGED_PART, 1).alias("billing_period"),
         path_group(path, STAGED_PART, 2).alias("execution_id"),
         *values,
+        *([FAULT] if keep_faults else []),
     )
 
 
@@ -147,3 +166,40 @@ def scan_parts(
         for g in groups.toLocalIterator()
     ]
     return reduce(DataFrame.unionByName, scans) if scans else None
+
+
+def row_faults(rows: DataFrame, schema: T.StructType) -> Column:
+    """What keeps a row scanned with its faults out of a table of that schema, or NULL; the counterpart of ``conform``."""
+    present = {f.name: f.dataType for f in rows.schema.fields}
+    unlike = [f for f in schema.fields if f.name in present and present[f.name] != f.dataType]
+    # The reader checks only columns that a query takes; a condition that always holds takes all of them.
+    reads = F.pmod(F.xxhash64(*[F.col(f"`{name}`") for name in rows.columns if name not in OWN]), F.lit(2)) < 2
+    malformed = F.when(reads, F.concat(F.lit("malformed record: "), F.left(F.col(FAULT), F.lit(200))))
+    return F.coalesce(malformed, *[misfit(F.col(f"`{f.name}`"), f.dataType) for f in unlike])
+
+
+def damaged_parts(parts: DataFrame) -> DataFrame:
+    """Parts that can't be read to their end, each with its fault; files are read where their tasks run."""
+
+    damage = damage_finder()
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [damage(path) for path in batch["path"]]
+            faults = [error and f"damaged file {path}: {error}" for path, error in zip(batch["path"], found)]
+            yield batch.assign(fault=faults).drop(columns="path").dropna(subset=["fault"])
+
+    return parts.select("billing_period", "execution_id", "path").repartition("path").mapInPandas(read, FAULTS_SCHEMA)
+
+
+def delivery_faults(
+    spark: SparkSession, headers: DataFrame, groups: DataFrame, schema: T.StructType, multi_line: bool = True
+) -> DataFrame:
+    """Deliveries with rows or files at fault: how many, and one of the faults. All parts are looked through in one job."""
+    parts = headers.select("billing_period", "execution_id", F.explode("paths").alias("path"))
+    found = damaged_parts(parts)
+    for g in groups.toLocalIterator():
+        rows = typed_scan(spark, g.names, g.types, g.paths, multi_line, keep_faults=True)
+        found = found.unionByName(rows.select("billing_period", "execution_id", row_faults(rows, schema).alias("fault")))
+    faulty = found.where("fault IS NOT NULL").groupBy("billing_period", "execution_id")
+    return faulty.agg(F.count("*").alias("faults"), F.min("fault").alias("fault"))

@@ -27,14 +27,17 @@ def record_reader() -> Callable[[str], list[str] | None]:
     file_system = _file_system()
 
     def first_record(path: str) -> list[str] | None:
-        """First CSV record of one file, without a byte order mark; only the first blocks of the file are read."""
+        """First CSV record of one file, without a byte order mark; only its first blocks are read. None if they are damaged."""
         import csv
         import io
 
         system, inner = file_system(path)
         codec = "gzip" if path.endswith(".gz") else None
         with system.open_input_stream(inner, compression=codec) as stream:
-            return next(csv.reader(io.TextIOWrapper(stream, encoding="utf-8-sig", newline="")), None)
+            try:
+                return next(csv.reader(io.TextIOWrapper(stream, encoding="utf-8-sig", newline="")), None)
+            except (OSError, UnicodeDecodeError, csv.Error):
+                return None
 
     return first_record
 
@@ -50,3 +53,21 @@ def text_writer() -> Callable[[str, str], None]:
             stream.write(text.encode("utf-8"))
 
     return write_text
+
+
+def damage_finder() -> Callable[[str], str | None]:
+    file_system = _file_system()
+
+    def damage(path: str) -> str | None:
+        """Why a file can't be read to its end, or None; blocks are read and dropped."""
+        system, inner = file_system(path)
+        codec = "gzip" if path.endswith(".gz") else None
+        try:
+            with system.open_input_stream(inner, compression=codec) as stream:
+                while stream.read(1 << 20):
+                    pass
+        except OSError as error:
+            return str(error)
+        return None
+
+    return damage

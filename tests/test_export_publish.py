@@ -9,7 +9,7 @@ from billweave.operators.export import export_deliveries, export_periods, export
 from billweave.operators.publish import first_file_schema, publish_deliveries, publish_periods
 from billweave.operators.state import DELIVERY
 from billweave.sources.listing import exported_files
-from conftest import BASE, rows
+from cloud_store import BASE, rows
 from test_load import TAG, load
 
 

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from billweave.operators.columns import column_defs
 from billweave.operators.ledger import current_loads, read_ledger, record_loads
+from billweave.operators import load as load_module
 from billweave.operators.load import load_deliveries
 from billweave.operators.table import BillingTable
 from billweave.sources.csv_parts import distinct_headers, map_headers, read_headers, scan_groups
 from billweave.sources.listing import staged_parts
 from billweave.sources.manifests import scan_manifests
-from conftest import BASE, csv_text, rows
+from cloud_store import BASE, csv_text, rows
 
 TAG = ("resourceTags", "user:Team", "String")
 
@@ -312,3 +313,29 @@ def test_ledger_holds_loads_and_failures(cloud):
 def test_table_object_of_an_absent_table(spark, tmp_path):
     table = BillingTable(spark, str(tmp_path / "none"))
     assert not table.exists() and table.rows().count() == 0
+
+
+def test_three_jobs_whatever_the_number_of_bad_deliveries(cloud, monkeypatch):
+    """A value that its existing column can't hold, a record of another width, a cut and a damaged file, and two good ones."""
+    cloud.delivery("2024-01", "e", ["a"])
+    load(cloud)
+    changed = [("lineItem", n, "String") if n == "UnblendedCost" else (c, n, t) for c, n, t in BASE]
+    cloud.delivery("2024-02", "e", ["b", "b2"], columns=changed, cost="much")
+    cloud.delivery("2024-03", "e", ["c"], cost="1,2")
+    for month in ("2024-04", "2024-05"):
+        cloud.delivery(month, "e", [str(hash(k * 7919 + 13) * 48271 % 2147483647) for k in range(40_000)])
+        path = cloud.root / "staging" / month / "e" / "part-0.csv.gz"
+        data = path.read_bytes()
+        path.write_bytes(data[:-400] if month == "2024-04" else data[:150_000] + b"\xff" * 60 + data[150_060:])
+    cloud.delivery("2024-06", "e", ["f"], columns=changed, cost="2.5")
+    calls = []
+    for name in ("_replace", "delivery_faults"):
+        monkeypatch.setattr(load_module, name, lambda *a, f=getattr(load_module, name), n=name: (calls.append(n), f(*a))[1])
+    report = load(cloud)
+    assert calls == ["_replace", "delivery_faults", "_replace"]
+    states = {m: "failed" for m in ("2024-02", "2024-03", "2024-04", "2024-05")} | {"2024-01": "skipped", "2024-06": "success"}
+    assert {m: s for m, (s, _) in outcome(report).items()} == states
+    errors = {r.billing_period: r.error for r in report.results.collect()}
+    assert errors["2024-02"] == "2 rows or files at fault, such as: not a decimal(18,2): much"
+    assert "malformed record: c," in errors["2024-03"] and "damaged file" in errors["2024-04"] and "damaged file" in errors["2024-05"]
+    assert ids(cloud) == [("2024-01", "e", "a"), ("2024-06", "e", "f")]

@@ -5,7 +5,7 @@ import pytest
 from billweave.operators.completeness import delivery_completeness, extract_stats
 from billweave.sources.listing import available_periods, flat_exports, list_files, staged_parts
 from billweave.sources.manifests import manifest_columns, manifest_files, manifest_pattern, manifest_summary, scan_manifests
-from conftest import Cloud, rows
+from cloud_store import Cloud, rows
 
 
 def scan(cloud):

@@ -9,7 +9,7 @@ from billweave.operators.state import choose_deliveries, load_stats, loaded_map,
 from billweave.plans.run import export_months, load_months, publish_months, run
 from billweave.session import work_folder
 from billweave.streaming.intake import load_arrivals
-from conftest import csv_text, rows
+from cloud_store import csv_text, rows
 from pyspark.sql import functions as F
 
 
