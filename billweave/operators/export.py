@@ -39,12 +39,6 @@ def sorted_rows(rows: DataFrame, partitions: int | None, total_order: bool = Tru
     return gathered.sortWithinPartitions(*keys).drop("_place")
 
 
-def shuffle_width(spark: SparkSession, files: DataFrame, periods: list[str]) -> int | None:
-    """Partitions for a rewrite of some months' files, or None if the session's width is enough."""
-    count = partition_count(files, periods)
-    return count if count > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
-
-
 def gather_days(rows: DataFrame, partitions: int | None) -> DataFrame:
     """Rows brought together by month and usage day for a write.
 
@@ -85,16 +79,18 @@ def write_sorted(
     )
 
 
-def _decide(spark: SparkSession, wanted: DataFrame, rows: DataFrame, path: str, keys: list[str], overwrite: bool) -> list:
-    """Wanted exports with their status before the write, held as values: months or deliveries."""
+def _decide(
+    spark: SparkSession, wanted: DataFrame, table: BillingTable, path: str, keys: list[str], overwrite: bool
+) -> list:
+    """Wanted exports with their status before the write, held as values: months or deliveries. No row is read."""
     listed = [tuple(row) for row in wanted.select(*keys).distinct().collect()]
     wanted = spark.createDataFrame(listed, ", ".join(f"{key} string" for key in keys))
-    rows = rows.where(F.col(PARTITION).isin([row[0] for row in listed]))
+    stored = table.statistics([row[0] for row in listed])
     present = exported_files(spark, path).select(*keys).distinct().withColumn("present", F.lit(not overwrite))
     status = (
         F.when(F.coalesce("present", F.lit(False)), "skipped").when(F.col("has_data"), "exported").otherwise("failed")
     )
-    checked = has_data(wanted, rows, keys).join(present, keys, "left")
+    checked = has_data(wanted, stored, keys).join(present, keys, "left")
     return checked.select(*keys, status.alias("status")).collect()
 
 
@@ -120,11 +116,11 @@ def export_periods(
     """Export months; one status row each: exported, skipped (exists) or failed (no data)."""
     path = export_root(out, "period", vendor)
     rows = table.rows()
-    decided = _decide(spark, periods, rows, path, [PARTITION], overwrite)
+    decided = _decide(spark, periods, table, path, [PARTITION], overwrite)
     wanted = [d.billing_period for d in decided if d.status == "exported"]
     if wanted:
         chosen = placed(rows.where(F.col(PARTITION).isin(wanted)))
-        partitions = partitions or shuffle_width(spark, exported_files(spark, table.data), wanted)
+        partitions = partitions or partition_count(exported_files(spark, table.data), wanted)
         write_sorted(chosen, path, [PARTITION], partitions, compression, total_order)
     return _statuses(spark, decided)
 
@@ -144,7 +140,7 @@ def export_deliveries(
     """Export deliveries; status as in :func:`export_periods`, one row per delivery."""
     path = export_root(out, "execution", vendor)
     rows = table.rows()
-    decided = _decide(spark, deliveries, rows, path, DELIVERY, overwrite)
+    decided = _decide(spark, deliveries, table, path, DELIVERY, overwrite)
     wanted = [(d.billing_period, d.execution_id) for d in decided if d.status == "exported"]
     if wanted:
         # The months prune partitions, the pairs then choose deliveries inside them.
@@ -152,7 +148,7 @@ def export_deliveries(
         pruned = placed(rows.where(F.col(PARTITION).isin(months)))
         pairs = spark.createDataFrame(wanted, "billing_period string, execution_id string")
         chosen = pruned.join(pairs, DELIVERY, "left_semi")
-        partitions = partitions or shuffle_width(spark, exported_files(spark, table.data), months)
+        partitions = partitions or partition_count(exported_files(spark, table.data), months)
         write_sorted(chosen, path, DELIVERY, partitions, compression, total_order)
     return _statuses(spark, decided)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +27,48 @@ LEGAL_STEPS = [
 ]
 
 
+EVENTS_SCHEMA = "delivery string, event_time timestamp_ntz, event_id bigint, state string"
+
+
+class IllegalStep(ValueError):
+    """A delivery can't go from its state to the one that was asked for."""
+
+
+class EventLog:
+    """Events of the deliveries of one attempt to load them, checked as they are noted and appended in batches.
+
+    Each attempt gives its deliveries a life of their own, from ``discovered`` on: a later attempt after a failure starts
+    anew. Their key is month, delivery and attempt. At most a few events of a run's deliveries are held.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path, self.attempt = spark, path, uuid.uuid4().hex[:12]
+        self._states: dict[tuple, tuple[str | None, int]] = {}
+        self._noted: list[tuple] = []
+
+    def note(self, delivery: tuple[str, str], state: str) -> None:
+        before, number = self._states.get(delivery, (None, 0))
+        if (before, state) not in LEGAL_STEPS:
+            raise IllegalStep(f"{':'.join(delivery)} can't go from {before or 'nothing'} to {state}")
+        self._states[delivery] = state, number + 1
+        self._noted.append((":".join([*delivery, self.attempt]), number + 1, state))
+
+    def state(self, delivery: tuple[str, str]) -> str | None:
+        return self._states.get(delivery, (None, 0))[0]
+
+    def write(self) -> None:
+        """Append what was noted since the last time."""
+        if self._noted:
+            events = self.spark.createDataFrame(self._noted, "delivery string, event_id bigint, state string")
+            timed = events.withColumn("event_time", utc_wall_time(F.current_timestamp()))
+            append_ledger(timed.select(*[f.split()[0] for f in EVENTS_SCHEMA.split(", ")]).coalesce(1), self.path)
+            self._noted = []
+
+
+def read_events(spark: SparkSession, path: str) -> DataFrame:
+    return read_if_present(spark, path, EVENTS_SCHEMA)
+
+
 def append_ledger(entries: DataFrame, path: str) -> None:
     """Add entries; earlier ones are never rewritten."""
     entries.write.mode("append").parquet(path)
@@ -63,6 +107,13 @@ def interrupted_loads(ledger: DataFrame) -> DataFrame:
     return entries.agg(last.alias("state")).where("state = 'loading'").select("billing_period", "execution_id")
 
 
+def interrupted_months(ledger: DataFrame) -> DataFrame:
+    """Months whose last entry says that a write of the month as a whole began: it never came to an end."""
+    last = F.max_by(F.struct("state", "execution_id"), F.struct("load_timestamp", F.col("state") != "loading"))
+    months = ledger.groupBy("billing_period").agg(last.alias("last"))
+    return months.where("last.state = 'loading' AND last.execution_id IS NULL").select("billing_period")
+
+
 def loaded_periods(ledger: DataFrame) -> DataFrame:
     return current_loads(ledger).where("state = 'loaded'")
 

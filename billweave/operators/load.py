@@ -12,11 +12,10 @@ from pyspark.sql import functions as F
 from billweave.functions.types import DEFAULT_TYPE
 from billweave.operators.columns import column_defs, renamed_columns
 from billweave.operators.completeness import delivery_completeness
-from billweave.operators.ledger import record_loads
+from billweave.operators.ledger import EventLog, record_loads
 from billweave.operators.state import DELIVERY, already_in, choose_deliveries
 from billweave.operators.table import BillingTable, RenamedColumn, ReplaceCounts
 from billweave.sources.csv_parts import delivery_faults, distinct_headers, map_headers, read_headers, scan_groups, scan_parts
-from billweave.sources.listing import first_files
 from billweave.sources.manifests import manifest_files
 
 # What a failed job raises, from the JVM or already converted.
@@ -117,7 +116,13 @@ def load_deliveries(
     months = [row[0] for row in manifests.select("billing_period").distinct().collect()]
     decided = _decide(manifests, parts, table.deliveries(state, months), overwrite)
     report = LoadReport(results=None)
+    log = EventLog(spark, table.events)
     pending = [d for d in decided if d.status == "pending"]
+    for delivery in decided:
+        if delivery.status != "skipped":
+            log.note(delivery.key, "discovered")
+    for delivery in pending:
+        log.note(delivery.key, "staging")
     if pending:
         keys = _as_frame(spark, pending)
         defs = column_defs(already_in(manifests, keys), cost_scale)
@@ -145,6 +150,9 @@ def load_deliveries(
                     report.added_columns = table.evolve(already_in(defs, _as_frame(spark, pending)), on_renamed)
         if pending:
             record_loads(spark, [(*d.key, 0, "loading", None) for d in pending], table.ledger)
+            for delivery in pending:
+                log.note(delivery.key, "loading")
+            log.write()
             _write(spark, table, headers, mapped, pending, multi_line, report)
         mapped.unpersist()
         headers.unpersist()
@@ -152,6 +160,9 @@ def load_deliveries(
     done = [d for d in decided if d.status in ("success", "failed")]
     states = {"success": "loaded", "failed": "failed"}
     record_loads(spark, [(*d.key, d.rows, states[d.status], d.error) for d in done], table.ledger)
+    for delivery in done:
+        log.note(delivery.key, states[delivery.status])
+    log.write()
     return report
 
 
@@ -206,7 +217,6 @@ def _write(spark, table, headers, mapped, pending, multi_line, report) -> None:
     If that fails, a second job looks through all their parts and names the deliveries at fault, whatever their number,
     and a third one loads the others. An error that no delivery is at fault for is raised.
     """
-    before = first_files(spark, table.data)
     try:
         counts = _replace(spark, table, headers, mapped, pending, multi_line)
     except JOB_ERRORS:
@@ -224,11 +234,9 @@ def _write(spark, table, headers, mapped, pending, multi_line, report) -> None:
     report.rejected_rows += counts.rejected
     for delivery in pending:
         delivery.rejected = counts.by_delivery.get(delivery.key, 0)
-    # A month for which no row was accepted keeps its files, and their rows are not this load's.
-    replaced = [month for month, first in first_files(spark, table.data).items() if before.get(month) != first]
-    counts = {(r.billing_period, r.execution_id): r.rows for r in table.row_counts(replaced).collect()}
+    # A month for which no row was accepted keeps its files; their rows are not this load's.
     for delivery in pending:
-        delivery.rows = counts.get(delivery.key, 0)
+        delivery.rows = counts.loaded.get(delivery.key, 0)
         withheld = f"{delivery.rejected} rows of no or another month withheld" if delivery.rejected else None
         if delivery.rows:
             delivery.status, delivery.error = "success", withheld

@@ -9,11 +9,11 @@ from pyspark.sql import types as T
 from billweave.functions.keys import VENDOR, delivery_key
 from billweave.functions.types import table_type_name
 from billweave.operators.columns import conform
-from billweave.operators.export import export_root, gather_days, shuffle_width
+from billweave.operators.export import export_root
 from billweave.operators.ledger import record_loads
 from billweave.operators.state import DELIVERY, choose_deliveries, loaded_map
 from billweave.operators.table import PARTITION, USAGE_START, BillingTable
-from billweave.sources.listing import exported_files, first_files, list_files
+from billweave.sources.listing import exported_files, list_files
 
 def first_file_schema(spark: SparkSession, root: str) -> T.StructType:
     """Schema of the first Parquet file by name; only its footer is read."""
@@ -46,14 +46,6 @@ def schema_definitions(spark: SparkSession, schema: T.StructType, period: str =
     )
 
 
-def clustered(rows: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Rows gathered by month and usage day for the write, sorted on usage start in each task.
-
-    Files and their row groups then cover few days each, so a filter on usage start skips most.
-    """
-    return gather_days(rows, partitions).sortWithinPartitions(PARTITION, USAGE_START)
-
-
 def _entry(key: tuple, state: str, error: str | None = None) -> tuple:
     """Ledger entry of a month, or of a month's delivery."""
     period, execution = key if len(key) == 2 else (*key, None)
@@ -78,16 +70,16 @@ def _append_months(spark: SparkSession, warehouse: BillingTable, path: str, want
     schema = T.StructType(fields)
     warehouse.evolve(schema_definitions(spark, schema), on_renamed="keep")
     months = [key[0] for key in wanted]
-    rows = spark.read.schema(schema).parquet(path).where(F.col(PARTITION).isin(months)).join(pairs, keys, "left_semi")
+    # A condition on folder names, so only the wanted folders are read.
+    chosen = F.concat_ws("/", *keys).isin(["/".join(key) for key in wanted])
+    rows = spark.read.schema(schema).parquet(path).where(F.col(PARTITION).isin(months) & chosen)
     record_loads(spark, [_entry(key, "loading") for key in wanted], warehouse.ledger)
-    partitions = shuffle_width(spark, exported, months)
-    before = first_files(spark, warehouse.data)
-    warehouse.replace(clustered(conform(rows, warehouse.schema(), PARTITION), partitions))
-    after = first_files(spark, warehouse.data)
-    # A month for which no row was accepted keeps its files, and their rows are not this export's.
-    untouched = {month for month in months if after.get(month) == before.get(month)}
-    counts = warehouse.row_counts([month for month in months if month not in untouched]).collect()
-    loaded = [(c.billing_period, c.execution_id, c.rows, "loaded", None) for c in counts]
+    # A task takes whole export files, whose ranges cover few days, and sorts them: nothing is shuffled, and files and row
+    # groups of the warehouse cover few days as well, so that a filter on usage start skips most.
+    counts = warehouse.replace(conform(rows, warehouse.schema(), PARTITION), order=[USAGE_START])
+    # A month for which no row was accepted keeps its files.
+    untouched = set(months) - {month for month, _ in counts.loaded}
+    loaded = [(*key, n, "loaded", None) for key, n in counts.loaded.items() if key[0] in months]
     empty = [_entry(key, "failed", "no rows of its month in the export") for key in wanted if key[0] in untouched]
     record_loads(spark, loaded + empty, warehouse.ledger)
     return untouched

@@ -209,24 +209,28 @@ def write_manifests(texts: DataFrame, store: str, version: str) -> None:
     texts.unpersist()
 
 
+def write_parts(rows: DataFrame, names: list[str], staging: str) -> None:
+    """Add billing rows to a staging folder as gzip CSV parts that have some of the columns, under original headers."""
+    original = {n: f"{c}/{name}" for n, (c, name, _) in zip(BILLING_NAMES, BILLING_COLUMNS)}
+    (
+        rows.select(*DELIVERY, *[F.col(n).alias(original[n]) for n in names])
+        .hint("rebalance", *[F.col(k) for k in DELIVERY])
+        .write.mode("append")
+        .partitionBy(*DELIVERY)
+        .options(header=True, compression="gzip", escape='"', timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss'Z'")
+        .csv(staging)
+    )
+
+
 def stage_csv(spark: SparkSession, sf_dir: str, staging: str) -> None:
     """Stage all billing rows as gzip CSV parts with original headers.
 
     The deliveries differ: ``exec-1`` has its columns in reverse order, ``exec-2`` has no tag column.
     """
     orders = {"exec-0": BILLING_NAMES, "exec-1": BILLING_NAMES[::-1], "exec-2": BILLING_NAMES[:-1]}
-    original = {n: f"{c}/{name}" for n, (c, name, _) in zip(BILLING_NAMES, BILLING_COLUMNS)}
     rows = billing_rows(spark, sf_dir)
     for execution, names in orders.items():
-        (
-            rows.where(F.col("execution_id") == execution)
-            .select(*DELIVERY, *[F.col(n).alias(original[n]) for n in names])
-            .hint("rebalance", *[F.col(k) for k in DELIVERY])
-            .write.mode("append")
-            .partitionBy(*DELIVERY)
-            .options(header=True, compression="gzip", escape='"', timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss'Z'")
-            .csv(staging)
-        )
+        write_parts(rows.where(F.col("execution_id") == execution), names, staging)
 
 
 def base_definitions(spark: SparkSession, names: list[str] | None = None) -> DataFrame:

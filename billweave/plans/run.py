@@ -126,9 +126,9 @@ def export_months(
 ) -> DataFrame:
     """Export the table's months in a range; a status row each."""
     table = BillingTable(spark, places.table)
-    if not table.exists():
+    if not table.has_rows():
         raise ValueError(f"no billing table at {places.table}: load data first")
-    months = periods(table.rows()).where(in_range(F.col("billing_period"), start, end))
+    months = periods(table.statistics()).where(in_range(F.col("billing_period"), start, end))
     return export_periods(spark, table, months, places.exports, vendor=places.vendor, **export_options)
 
 

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from billweave.operators.completeness import export_status
 from billweave.operators.export import CODECS, export_deliveries, export_periods, export_root, read_export
-from billweave.operators.ledger import append_ledger, current_loads, delivery_states, loaded_periods, read_ledger
+from billweave.operators.ledger import append_ledger, current_loads, delivery_states, loaded_periods, read_events, read_ledger
 from billweave.operators.load import load_deliveries
 from billweave.operators.publish import first_file_schema, publish_deliveries, publish_periods
 from billweave.operators.state import DELIVERY, has_data, loaded_pairs, periods
-from billweave.operators.table import BillingTable, SORT_KEYS, delete_counts, table_info
+from billweave.operators.table import BillingTable, SORT_KEYS, delete_counts
 from billweave.functions.types import table_type_name
 from billweave.plans.given import (
     BILLING_NAMES,
@@ -21,12 +21,14 @@ from billweave.plans.given import (
     TAG_NAME,
     base_definitions,
     billed_orders,
+    billing_items,
     billing_rows,
     given,
     given_table,
     manifest_json,
     part_manifests,
     stage_csv,
+    write_parts,
     write_manifests,
 )
 from billweave.plans.registry import checked
@@ -62,7 +64,8 @@ def billing_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     name="table_info",
 )
 def table_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table_info(given_table(spark, sf_dir).rows(), "aws_billing_data")
+    """Columns, rows and date range of a stored table, from the statistics of its files."""
+    return given_table(spark, sf_dir).info("aws_billing_data")
 
 
 @checked(f"WITH {BILLING_SQL} SELECT billing_period, count(*) AS deleted_rows FROM billing GROUP BY 1")
@@ -174,6 +177,52 @@ def delivery_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attempts[0].unionByName(attempts[1])
 
 
+@checked(
+    f"""WITH {_LIVE_SQL} SELECT billing_period, execution_id,
+        CASE WHEN bool_or(l_linenumber = 1 AND billing_period LIKE '%-03') THEN 'failed' ELSE 'success' END AS status,
+        CASE WHEN bool_or(l_linenumber = 1 AND billing_period LIKE '%-03') THEN 0 ELSE count(*) END AS rows_loaded,
+        CASE WHEN bool_or(l_linenumber = 1 AND billing_period LIKE '%-03')
+            THEN CAST(count(*) FILTER (l_linenumber = 1) AS VARCHAR) END AS faulty_rows
+    FROM billing JOIN live USING (billing_period, execution_id) GROUP BY ALL"""
+)
+def load_bad_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third month of a year has costs that are no numbers: only those deliveries fail, with their faulty rows."""
+    staging = work_folder(spark, "staging")
+    bad = (F.col("l_linenumber") == 1) & F.col("billing_period").endswith("-03")
+    cost = F.when(bad, "n/a").otherwise(F.col("line_item_unblended_cost").cast("string"))
+    write_parts(billing_items(spark, sf_dir).withColumn("line_item_unblended_cost", cost), BILLING_NAMES, staging)
+    parts = staged_parts(spark, staging)
+    table = BillingTable(spark, work_folder(spark, "table"))
+    results = load_deliveries(spark, part_manifests(parts), parts, table).results.where("status <> 'superseded'")
+    faulty = F.nullif(F.regexp_extract("error", r"^(\d+) rows or files at fault", 1), F.lit(""))
+    return results.select(*DELIVERY, "status", "rows_loaded", faulty.alias("faulty_rows"))
+
+
+@checked(
+    f"""WITH {_LIVE_SQL}, given AS (SELECT DISTINCT billing_period, execution_id FROM billing)
+    SELECT attempt, g.billing_period || ':' || g.execution_id AS delivery,
+        CASE WHEN g.execution_id = l.execution_id THEN 'loaded' ELSE 'discovered' END AS state,
+        CAST(CASE WHEN g.execution_id = l.execution_id THEN 4 ELSE 1 END AS BIGINT) AS events, CAST(0 AS BIGINT) AS illegal_steps
+    FROM given g JOIN live l USING (billing_period) CROSS JOIN (VALUES (1), (2)) AS attempts(attempt)"""
+)
+def ledger_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States of all deliveries from the events that two loads of them wrote, the second one with overwrite."""
+    _, parts, table = _staged_load(spark, sf_dir)
+    manifests = part_manifests(parts)
+    for overwrite in (False, True):
+        load_deliveries(spark, manifests, parts, table, overwrite=overwrite)
+    states = delivery_states(read_events(spark, table.events))
+    first = Window.partitionBy(F.substring_index("delivery", ":", 2)).orderBy("began", "delivery")
+    began = read_events(spark, table.events).groupBy("delivery").agg(F.min("event_time").alias("began"))
+    return states.join(began, "delivery").select(
+        F.row_number().over(first).alias("attempt"),
+        F.substring_index("delivery", ":", 2).alias("delivery"),
+        "state",
+        "events",
+        "illegal_steps",
+    )
+
+
 @checked(
     f"""WITH {_LIVE_SQL} SELECT {ROW_NAMES.replace(TAG_NAME, f"CASE WHEN execution_id <> 'exec-2' THEN {TAG_NAME} END AS {TAG_NAME}")}
     FROM billing JOIN live USING (billing_period, execution_id)"""

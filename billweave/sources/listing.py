@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,16 +64,12 @@ def exported_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def first_files(spark: SparkSession, root: str) -> dict[str, str]:
-    """First data file of each month. Each write names its files anew, so a month that was replaced has another."""
-    firsts = exported_files(spark, root).groupBy("billing_period").agg(F.min("path").alias("path"))
-    return {r.billing_period: r.path for r in firsts.collect()}
-
-
-def partition_count(files: DataFrame, periods: list[str], file_bytes: int = 128 << 20) -> int:
-    """How many files of about ``file_bytes`` the listed months make."""
-    size = files.where(F.col("billing_period").isin(periods)).agg(F.sum("length").alias("bytes")).first().bytes
-    return max(1, -(-(size or 0) // file_bytes))
+def partition_count(files: DataFrame, periods: list[str]) -> int:
+    """How many partitions of the session's advisory size the stored bytes of the listed months make."""
+    size = files.where(F.col("billing_period").isin(periods)).agg(F.sum("length").alias("bytes")).first().bytes or 0
+    advised = files.sparkSession.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    number, unit = re.fullmatch(r"(\d+)([kmgt]?)b?", advised.strip().lower()).groups()
+    return max(1, -(-size // (int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit])))
 
 
 def flat_exports(files: DataFrame, vendor: str = VENDOR) -> DataFrame:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from billweave.operators.export import export_deliveries, export_periods, export_root, read_export
+from billweave.operators.ledger import record_loads
 from billweave.operators.publish import first_file_schema, publish_deliveries, publish_periods
 from billweave.operators.state import DELIVERY
 from billweave.sources.listing import exported_files
@@ -102,6 +103,30 @@ def test_publish_periods(spark, loaded):
     assert loaded.warehouse.rows().count() == 3
 
 
+def test_publish_shuffles_no_rows(spark, loaded, monkeypatch):
+    """The rows go from export files to warehouse files in their tasks; months and files stay apart."""
+    out, months = loaded.folder("exports"), frame(spark, ("2024-01",), ("2024-02",))
+    export_periods(spark, loaded.table, months, out)
+    plans = []
+    replace = type(loaded.warehouse).replace
+    monkeypatch.setattr(
+        type(loaded.warehouse), "replace",
+        lambda table, rows, **how: (plans.append(rows._jdf.queryExecution().executedPlan().toString()), replace(table, rows, **how))[1],
+    )
+    publish_periods(spark, months, out, loaded.warehouse)
+    assert len(plans) == 1 and "FileScan parquet" in plans[0]
+    assert "Exchange" not in plans[0].replace("BroadcastExchange", "") and "Sort" not in plans[0]
+
+
+def test_interrupted_month_is_published_again(spark, loaded):
+    out, months = loaded.folder("exports"), frame(spark, ("2024-01",))
+    export_periods(spark, loaded.table, months, out)
+    publish_periods(spark, months, out, loaded.warehouse)
+    record_loads(spark, [("2024-01", None, 0, "loading", None)], loaded.warehouse.ledger)
+    assert statuses(publish_periods(spark, months, out, loaded.warehouse, overwrite=False)) == {"2024-01": "loaded"}
+    assert statuses(publish_periods(spark, months, out, loaded.warehouse, overwrite=False)) == {"2024-01": "skipped"}
+
+
 def test_publish_period_from_delivery_exports(spark, loaded):
     out = loaded.folder("exports")
     export_deliveries(spark, loaded.table, frame(spark, ("2024-01", "e1")), out)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime
+import shutil
 from decimal import Decimal
 
 import pytest
@@ -226,7 +227,27 @@ def test_state_reads_the_wanted_months_only(cloud):
     pairs = cloud.table.deliveries("rows", ["2024-02"])
     assert rows(pairs, "billing_period") == [("2024-02",)]
     plan = pairs._jdf.queryExecution().executedPlan().toString()
-    assert "billing_period" in plan.split("PartitionFilters: [", 1)[1].split("]")[0] and "2024-02" in plan
+    filters = [part.split("]")[0] for part in plan.split("PartitionFilters: [")[1:]]
+    assert any("billing_period" in f and "2024-02" in f for f in filters)
+
+
+def test_statistics_are_those_of_the_files_that_are_there(cloud):
+    """After a write that was lost before it recorded them, a replaced month and a removed folder of statistics."""
+    cloud.delivery("2024-01", "e1", ["a", "b"])
+    cloud.delivery("2024-02", "e1", ["c"])
+    load(cloud)
+    summary = lambda: rows(cloud.table.statistics(), "billing_period", "execution_id", "rows")
+    assert summary() == [("2024-01", "e1", 2), ("2024-02", "e1", 1)]
+    half = cloud.table.rows().withColumn("execution_id", F.lit("e2")).where("billing_period = '2024-02'")
+    half = cloud.spark.createDataFrame(half.unionByName(half).drop("billing_period").toArrow())
+    half.coalesce(1).write.mode("overwrite").parquet(f"{cloud.table.data}/billing_period=2024-02")
+    assert summary() == [("2024-01", "e1", 2), ("2024-02", "e2", 2)] == summary()
+    assert rows(cloud.table.row_counts(["2024-02"]), "execution_id", "rows") == [("e2", 2)]
+    info = cloud.table.info("t").first()
+    assert (info.row_count, info.column_count) == (4, 8) and str(info.min_date) == "2024-01-01 00:00:00"
+    shutil.rmtree(cloud.table.recorded)
+    assert summary() == [("2024-01", "e1", 2), ("2024-02", "e2", 2)]
+    assert cloud.table.has_rows()
 
 
 def test_undeclared_column(cloud):

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from billweave.operators.ledger import LEGAL_STEPS, read_ledger, state_steps
+from billweave.operators.ledger import LEGAL_STEPS, EventLog, IllegalStep, delivery_states, read_events, read_ledger, state_steps
 from billweave.operators.state import choose_deliveries, load_stats, loaded_map, not_in
 from billweave.plans.run import export_months, load_months, publish_months, run
 from billweave.session import work_folder
@@ -137,6 +137,22 @@ def test_steps_across_slices_match_brute_force(spark):
     assert found == expected
 
 
+def test_events_of_loads_are_checked_as_they_are_noted(spark, cloud):
+    cloud.delivery("2024-01", "e1", ["a"])
+    cloud.manifest("2024-02", "e1", ["absent.csv"])
+    for _ in range(2):
+        run(spark, cloud.places)
+    states = delivery_states(read_events(spark, cloud.table.events)).withColumn("delivery", F.substring_index("delivery", ":", 2))
+    assert rows(states, "delivery", "state", "events", "illegal_steps") == [
+        ("2024-01:e1", "loaded", 4, 0), ("2024-02:e1", "failed", 2, 0), ("2024-02:e1", "failed", 2, 0)
+    ]
+    log = EventLog(spark, cloud.folder("events"))
+    log.note(("2024-01", "e"), "discovered")
+    with pytest.raises(IllegalStep, match="2024-01:e can't go from discovered to loaded"):
+        log.note(("2024-01", "e"), "loaded")
+    assert log.state(("2024-01", "e")) == "discovered"
+
+
 def test_work_folder_uses_the_shared_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir", None)
     folder = work_folder(spark, "x")
