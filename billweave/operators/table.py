@@ -28,7 +28,7 @@ SORT_KEYS = [USAGE_START, "line_item_usage_account_id", "line_item_product_code"
 PARTITION = "billing_period"
 KIND = "kind"
 
-# Each file's rows of a delivery, as counted after the file was written; kept beside the data, by month.
+# Each file's rows of a delivery, as counted after the file was written; kept beside the data.
 STATISTICS_SCHEMA = (
     "kind string, file_name string, execution_id string, rows bigint, min_start timestamp_ntz, max_end timestamp_ntz, "
     "billing_period string"
@@ -225,7 +225,7 @@ class BillingTable:
             try:
                 # Asked first: the write makes Spark compute anew what it holds from that folder.
                 summed = counts.groupBy(KIND, PARTITION, "execution_id").agg(F.sum("rows").alias("rows")).collect()
-                counts.repartition(1).write.mode("append").partitionBy(PARTITION).parquet(self.recorded)
+                counts.coalesce(1).write.mode("append").parquet(self.recorded)
                 return summed
             finally:
                 counts.unpersist()
