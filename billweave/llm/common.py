@@ -14,6 +14,10 @@ from pyspark.sql.window import Window
 from billweave.session import work_folder
 
 
+#: Bytes of Arrow data that a task turns into Python objects at once, which take several times the room.
+BATCH_BYTES = 4 << 20
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -97,7 +101,7 @@ def map_groups(frame: DataFrame, keys: list[str], step: Callable[[dict], dict |
                 values.clear()
             return batch
 
-        for batch in batches:
+        for batch in (part for whole in batches for part in runs(whole, BATCH_BYTES)):
             data = batch.to_pydict()
             row_keys = list(zip(*(data[k] for k in keys), strict=True))
             at = 0

@@ -21,13 +21,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from billweave.llm.common import map_batches, schema_of, stored
+from billweave.llm.common import BATCH_BYTES, map_batches, schema_of, stored
 
 BUCKETS, DIMENSIONS, BITS = 256, 4, 12
 #: Projections of unit vectors on signs lie within +-16 and mostly within this span; what lies outside goes to the rim.
 SPAN = 8.0
-#: Texts that a task turns into Python's own at once.
-BATCH_BYTES = 4 << 20
 ENCODED = "doc_id long, n long, curve long, ids binary"
 PIECES = "doc_id long, doc_tokens long, curve long, start long, length long, sequence_id long, offset long, ids binary"
 

@@ -15,12 +15,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from billweave.llm.common import map_batches
+from billweave.llm.common import BATCH_BYTES, map_batches
 
 #: The markers before prefix, suffix and middle.
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
-#: Texts that a task turns into Python's own at once.
-BATCH_BYTES = 4 << 20
 CUTS = "doc_id long, n long, form string, prefix_chars long, middle_chars long, output string"
 
 

@@ -16,55 +16,95 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from billweave.llm.common import map_batches, ranked, stored
+from billweave.llm.common import BATCH_BYTES, map_batches, ranked, stored
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-CACHED_WORDS = 400_000
-MARKS = ".,;:!?|"
+#: How the vocabulary splits texts into words, and how it writes a word's end.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+WORD_END = "</w>"
+#: A code point that is never assigned stands for the end of a word.
+END_MARK = "\U0010ffff"
+#: Line breaks, tabs, printable ASCII, Latin letters and signs, and marks of general punctuation.
+PLAIN = r"\t\n\r\x20-\x7e\u00a1-\u024f\u2010-\u2027\u2030-\u205e"
+
+
+def category_class(kind: str) -> str:
+    """The letters (``L``) or digits (``N``) of plain texts in lower case, as ranges of a pattern's class."""
+    import re
+    import unicodedata
+
+    plain = re.compile(f"[{PLAIN}]")
+    lowered = {char for c in range(0x2100) if plain.match(chr(c)) for char in chr(c).lower()}
+    found = sorted(ord(char) for char in lowered if unicodedata.category(char)[0] == kind)
+    known = set(found)
+    starts, ends = ([c for c in found if c + step not in known] for step in (-1, 1))
+    return "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in zip(starts, ends, strict=True))
 
 
 class WordIds:
-    """Token ids of texts by the ``tokenizers`` library, as little-endian bytes; words are encoded once and kept.
+    """Token ids of texts as the ``tokenizers`` library gives them, as little-endian bytes.
+
+    The merges of the word vocabulary are handed to ``tiktoken``, which applies them several times faster. A word gets an
+    end mark, a code point that stands in no text taken here; merges of the mark with the last byte come before all
+    others, as in the vocabulary, whose last symbol of a word is another one from the start.
 
-    The vocabulary drops white space before its merges, so no token spans a space or a line break, and the ids of a
-    text are those of its words one after another. The cache is bounded: it is emptied when it is full.
+    Only texts of plain characters go this way: those that canonical composition leaves as they are, and for which lower
+    case, letters, digits and white space are beyond doubt. Others, and texts that hold an added token, are encoded by the
+    library, at any length.
     """
 
-    def __init__(self, path: str, cached: int = CACHED_WORDS):
+    def __init__(self, path: str):
+        import json
+        import re
+
+        import tiktoken
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.cached, self.known = Tokenizer.from_file(path), cached, {"": b""}
-
-    def library_ids(self, word: str) -> bytes:
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def word(self, word: str) -> bytes:
-        """Letters and the marks after them are apart before any merge, and A-Z are read as a-z: such parts are shared."""
-        core = word.rstrip(MARKS)
-        if not core.isalpha():
-            return self.library_ids(word)
-        ids = b""
-        for part in (core.lower() if core.isascii() else core, word[len(core) :]):
-            if part not in self.known:
-                self.known[part] = self.library_ids(part)
-            ids += self.known[part]
-        return ids
-
-    def learn(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + 2 * len(new) > self.cached:
-            self.known, new = {"": b""}, [w for w in words if w]
-        # One after another: the library's own threads would use cores that Spark has given to other tasks.
-        for word in new:
-            self.known[word] = self.word(word)
+        self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            made = json.load(file)
+        kinds = [part["type"] for part in made["normalizer"]["normalizers"]]
+        split, model = made["pre_tokenizer"]["pretokenizers"][0], made["model"]
+        known = split["pattern"]["Regex"] == WORD_PATTERN and split["invert"] and model["end_of_word_suffix"] == WORD_END
+        if kinds != ["NFC", "Replace", "Lowercase"] or not known:
+            raise ValueError("not a lower-case word vocabulary")
+        # Printable bytes stand for themselves, the others in order for the code points from 256 on.
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        of_char = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in plain)}
+        mark = END_MARK.encode()
+
+        def in_bytes(token: str) -> bytes:
+            body = token.removesuffix(WORD_END)
+            return bytes(of_char[c] for c in body) + (mark if body != token else b"")
+
+        vocabulary = {in_bytes(token): k for token, k in model["vocab"].items()}
+        merged = [in_bytes("".join(pair if isinstance(pair, list) else pair.split(" "))) for pair in model["merges"]]
+        first = [mark[:k] for k in range(2, len(mark) + 1)] + [bytes([b]) + mark for b in range(256)]
+        order = list(dict.fromkeys([*first, *(bytes([b]) for b in range(256)), *merged]))
+        self.fast = tiktoken.Encoding(
+            "words", pat_str=f"[^{END_MARK}]+{END_MARK}", mergeable_ranks={t: k for k, t in enumerate(order)}, special_tokens={}
+        )
+        self.ids_of = np.array([vocabulary.get(t, -1) for t in order], dtype=np.int64)
+        letters, digits = category_class("L"), category_class("N")
+        self.words = re.compile(f"[{letters}]+|'(?:s|t|re|ve|m|ll|d)|[{digits}]|[^\\s{letters}{digits}]+")
+        self.odd, self.added = re.compile(f"[^{PLAIN}]"), [token["content"] for token in made["added_tokens"]]
+
+    def library_ids(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def is_plain(self, text: str) -> bool:
+        return not self.odd.search(text) and not any(token in text for token in self.added)
 
     def ids(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        try:
-            return b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            self.learn(set(words))
-            return b"".join(map(self.known.__getitem__, words))
+        if not self.is_plain(text):
+            return self.library_ids(text)
+        words = self.words.findall(text.lower())
+        if not words:
+            return b""
+        ids = self.ids_of[self.fast.encode_ordinary(END_MARK.join(words) + END_MARK)]
+        if ids.min() < 0:
+            raise ValueError("a word's end mark was not merged")
+        return ids.astype("<u4").tobytes()
 
 
 _LOADED: dict[str, WordIds] = {}
@@ -78,15 +118,23 @@ def word_ids(path: str) -> WordIds:
 
 
 def cut_pieces(docs: DataFrame, vocabulary: str, limit: int = 2048, end_id: int = 0) -> DataFrame:
-    """Encode ``docs(doc_id, text)``, add the end id, and cut what is longer than ``limit`` into pieces."""
+    """Encode ``docs(doc_id, text)``, add the end id, and cut what is longer than ``limit`` into pieces.
+
+    One text of every batch, drawn by hash, is encoded by the library too; other ids there end the job. Texts of any
+    length are encoded whole; null ids and repeated rows are rows like any others.
+    """
 
     def make() -> Callable[[dict], Iterable[dict]]:
         encoder, end = word_ids(vocabulary), np.array([end_id], dtype="<u4").tobytes()
 
         def step(batch: dict) -> Iterable[dict]:
             out: dict[str, list] = {"doc_id": [], "piece": [], "start": [], "length": [], "ids_crc32": []}
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = encoder.ids(text or "") + end
+            texts = [text or "" for text in batch["text"]]
+            drawn = min(texts, key=lambda text: zlib.crc32(text.encode("utf-8", "surrogatepass")))
+            if encoder.ids(drawn) != encoder.library_ids(drawn):
+                raise ValueError("ids differ from the library's")
+            for doc_id, text in zip(batch["doc_id"], texts, strict=True):
+                ids = encoder.ids(text) + end
                 for piece, at in enumerate(range(0, len(ids), 4 * limit)):
                     part = ids[at : at + 4 * limit]
                     for column, value in zip(out, (doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)), strict=True):
@@ -95,7 +143,7 @@ def cut_pieces(docs: DataFrame, vocabulary: str, limit: int = 2048, end_id: int
 
         return step
 
-    return map_batches(docs.select("doc_id", "text"), make, PIECES)
+    return map_batches(docs.select("doc_id", "text"), make, PIECES, BATCH_BYTES)
 
 
 def plan_bins(counts: dict[int, int], limit: int) -> list[tuple[int, list[int]]]:
