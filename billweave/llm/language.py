@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from billweave.llm.common import map_batches
+from billweave.llm.common import BATCH_BYTES, map_batches
 
 UNKNOWN = "und"
 PREDICTIONS = "doc_id long, held_out boolean, lang_pred string, score double"
@@ -268,4 +268,4 @@ def accepted(docs: DataFrame, model: ByteTagger | None, least: float = 0.3, batc
 
         return step
 
-    return map_batches(docs, make, ddl) if model else docs
+    return map_batches(docs, make, ddl, BATCH_BYTES) if model else docs

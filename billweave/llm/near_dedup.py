@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from billweave.llm.common import map_batches, map_groups, stored
+from billweave.llm.common import BATCH_BYTES, map_batches, map_groups, stored
 from billweave.llm.components import components
 
 WORDS, PERCENT = 5, 85
@@ -97,7 +97,7 @@ def signatures(docs: DataFrame) -> DataFrame:
         return step
 
     ddl = "doc_id long, n_shingles long, digest binary, tokens binary, sketch binary, firsts binary"
-    return map_batches(docs.select("doc_id", "text"), make, ddl)
+    return map_batches(docs.select("doc_id", "text"), make, ddl, BATCH_BYTES)
 
 
 def short_forms(tokens: list[np.ndarray | None]) -> dict:
@@ -120,7 +120,7 @@ def first_nodes(classes: DataFrame) -> DataFrame:
 
         return step
 
-    return map_batches(classes.select("rep", "n", "firsts"), make, "rep long, n long, tree int, node long")
+    return map_batches(classes.select("rep", "n", "firsts"), make, "rep long, n long, tree int, node long", BATCH_BYTES)
 
 
 def with_paths(members: DataFrame, tokens: DataFrame) -> DataFrame:
@@ -135,7 +135,7 @@ def with_paths(members: DataFrame, tokens: DataFrame) -> DataFrame:
         return step
 
     ddl = "rep long, n long, tree int, node long, path array<long>"
-    return map_batches(members.select("rep", "n", "tree", "node").join(tokens, "rep"), make, ddl)
+    return map_batches(members.select("rep", "n", "tree", "node").join(tokens, "rep"), make, ddl, BATCH_BYTES)
 
 
 def met(rows: DataFrame) -> DataFrame:
@@ -241,7 +241,7 @@ def with_sets(members: DataFrame, docs: DataFrame) -> DataFrame:
         return step
 
     texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
-    return members.join(stored(map_batches(texts, make, "rep long, shingles binary"), "sets"), "rep")
+    return members.join(stored(map_batches(texts, make, "rep long, shingles binary", BATCH_BYTES), "sets"), "rep")
 
 
 def node_links(members: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:

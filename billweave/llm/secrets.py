@@ -20,7 +20,7 @@ from math import log2
 
 from pyspark.sql import DataFrame
 
-from billweave.llm.common import map_batches
+from billweave.llm.common import BATCH_BYTES, map_batches
 
 KINDS = ("assign", "access", "hex", "novel")
 ASSIGN = re.compile(
@@ -243,7 +243,7 @@ def redacted(text: str, spans: list[Span]) -> str:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """``docs`` with secrets replaced in ``text``; other columns and null texts stay."""
+    """``docs`` with secrets replaced in ``text``; other columns and null texts stay. Batches are bounded by their bytes."""
     columns = docs.columns
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
 
@@ -257,4 +257,4 @@ def redact(docs: DataFrame) -> DataFrame:
 
         return step
 
-    return map_batches(docs, make, ddl)
+    return map_batches(docs, make, ddl, BATCH_BYTES)
