@@ -55,8 +55,12 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document stays; its secrets are replaced."""
-    return secrets.redact(docs)
+    """Every document stays; its secrets are replaced, and its number of characters is that of the new text."""
+    kept = secrets.redact(docs)
+    if "n_chars" not in docs.columns:
+        return kept
+    counted = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return kept.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(counted))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
