@@ -124,18 +124,26 @@ def first_nodes(classes: DataFrame) -> DataFrame:
 
 
 def with_paths(members: DataFrame, tokens: DataFrame) -> DataFrame:
-    """Members with the tokens that lead on in their tree."""
+    """Members with the tokens that lead on in their tree.
+
+    A document's members, one a tree at most, are gathered before the join, so its tokens move once and not once a tree.
+    """
 
     def make() -> Callable[[dict], Iterable[dict]]:
         def step(batch: dict) -> Iterable[dict]:
-            n, trees = len(batch["rep"]), np.array(batch["tree"])
-            every = np.frombuffer(b"".join(batch.pop("tokens")), np.int64).reshape(n, TREES, LEVELS)
-            yield batch | {"path": list(every[np.arange(n), trees, 1:])}
+            every = np.frombuffer(b"".join(batch["tokens"]), np.int64).reshape(-1, TREES, LEVELS)
+            rows = [(k, m) for k, own in enumerate(batch["own"]) for m in own]
+            at, trees = (np.array(x) for x in zip(*((k, m["tree"]) for k, m in rows), strict=True))
+            yield {
+                "rep": [batch["rep"][k] for k in at], "n": [m["n"] for _, m in rows], "tree": trees,
+                "node": [m["node"] for _, m in rows], "path": list(every[at, trees, 1:]),
+            }
 
         return step
 
     ddl = "rep long, n long, tree int, node long, path array<long>"
-    return map_batches(members.select("rep", "n", "tree", "node").join(tokens, "rep"), make, ddl, BATCH_BYTES)
+    own = members.groupBy("rep").agg(F.collect_list(F.struct("n", "tree", "node")).alias("own"))
+    return map_batches(own.join(tokens, "rep"), make, ddl, BATCH_BYTES)
 
 
 def met(rows: DataFrame) -> DataFrame:
