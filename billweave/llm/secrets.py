@@ -30,7 +30,12 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 #: Words whose neighbourhood is sensitive; also what an assignment needs.
 ASSIGNED = ("password", "passwd", "secret", "token", "apikey", "api_key")
-SENSITIVE = re.compile(r"(?ai:password|passwd|secret|token|api[\x20_-]?key|credential|private[\x20_-]?key|bearer|auth|AKIA|signature)")
+SENSITIVE = re.compile(
+    r"(?ai:password|passwd|secret|token|api[\x20_-]?key|credential|private[\x20_-]?key|bearer|AKIA|signature"
+    r"|(?<![a-z])o?auth(?:ori[sz]ation|entication)?(?![a-z]))|[aA]uth(?=[A-Z])"
+)
+#: A sensitive word up to the value that is assigned to it; in headers ``bearer`` stands before the value itself.
+NAMES_VALUE = re.compile(rf"""(?:(?:{SENSITIVE.pattern})[A-Za-z0-9_-]{{0,32}}["']?[\x20\t]*[:=]|\b(?ai:bearer))[\x20\t]*["']?\Z""")
 #: A string that may be secret; an equals sign inside begins a new one.
 RUN = re.compile(r"[A-Za-z0-9+/_-]+=*")
 RUN_SIGN = re.compile("[A-Za-z0-9+/_-]")
@@ -83,6 +88,12 @@ def base_spans(text: str, lowered: str) -> list[Span]:
     return sorted(spans)
 
 
+def card_number(digits: str) -> bool:
+    """Whether digits have the length and the check digit (Luhn) of a payment card's number."""
+    doubled = [int(d) if k % 2 == 0 else int(d) * 2 - 9 * (d > "4") for k, d in enumerate(reversed(digits))]
+    return 13 <= len(digits) <= 19 and sum(doubled) % 10 == 0
+
+
 def letter_pairs(text: str) -> Counter[str]:
     """Counts of the pairs of ASCII letters next to each other, whatever their case."""
     return Counter(w[k : k + 2] for w in re.findall("[a-z]+", text.lower()) for k in range(len(w) - 1))
@@ -130,13 +141,19 @@ class Novelty:
         return bits < log2(26) * own.total()
 
     def novel(self, candidate: str, around: str) -> bool:
-        """Numbers count by their unbroken digits, so dates and the like are no secrets; letters alone must not be words."""
-        if not re.search("[A-Za-z]", candidate) and max(map(len, re.findall("[0-9]+", candidate)), default=0) < self.shortest:
-            return False
+        """Letters alone must not be words."""
         if self.bytes_added(candidate, around) < self.least * self.random_bytes(candidate):
             return False
         return bool(re.search("[0-9]", candidate)) or not self.wordlike(candidate, around)
 
+    def secret_number(self, text: str, start: int, end: int) -> bool:
+        """Digits alone are personal or business data, unless a sensitive word names them as its value and they have
+        ``shortest`` unbroken digits and aren't a card's."""
+        digits = re.findall("[0-9]+", text[start:end])
+        if max(map(len, digits), default=0) < self.shortest or card_number("".join(digits)):
+            return False
+        return bool(NAMES_VALUE.search(text[max(0, start - 80) : start]))
+
     def contexts(self, text: str) -> Iterable[tuple[int, int]]:
         """Stretches that are sensitive: the lines of sensitive words with the line before and after, merged."""
         low = high = line_end = -1
@@ -191,7 +208,8 @@ class Novelty:
                     continue
                 # A key may be written onto its word; what follows the word counts for itself where the whole isn't novel.
                 for start in (run.start(), *(w.end() for w in SENSITIVE.finditer(text, run.start(), done))):
-                    if done - start >= self.shortest and self.novel(text[start:done], self.around_of(text, start, done)):
+                    lettered = re.search("[A-Za-z]", text[start:done]) or self.secret_number(text, start, done)
+                    if done - start >= self.shortest and lettered and self.novel(text[start:done], self.around_of(text, start, done)):
                         found.append((start, 3, done))
                         break
         return sorted(found)

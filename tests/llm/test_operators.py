@@ -414,6 +414,91 @@ def test_keys_without_a_digit_or_a_letter():
         assert not novelty.spans(f"the author of {word} said so"), word
 
 
+def test_numbers_are_secrets_only_as_named_values():
+    novelty = secrets.Novelty()
+    for text in ("auth: 8302957164820375", "private-key-pin='83029571648203751146'", "Authorization: Bearer 8302957164820375"):
+        assert len(novelty.spans(text)) == 1, text
+    card, uuid = "4539578763621486", "3f2b8c1e-9d47-4a60-b5f1-7c2e8d90a1b6"
+    assert secrets.card_number(card) and not secrets.card_number("8302957164820375")
+    for text in (
+        f"token of card {card}", f"auth: {card}", f"bearer {card}", "the auth desk calls 8302957164820375", f"its author, {uuid}, said",
+        f"authors={uuid}",
+    ):
+        assert not novelty.spans(text), text
+    for text in (f"auth {uuid}", f"oauth={uuid}", f"authKey {uuid}", f"AUTHENTICATION {uuid}"):
+        assert len(novelty.spans(text)) == 1, text
+
+
+def test_base_spans_equal_a_search_by_hand():
+    """Each kind by trying every start in turn, without regular expressions."""
+    signs = set(B64) | set("_.=-")
+    rng = random.Random(11)
+    parts = ["PassWord", "passwd", "secret", "TOKEN", "apikey", "api_key", "api-key", '"', "'", " ", "  ", ":", "=", "AKIA", "é", "\n",
+             "abcdef", "0123456789", "deadbeef" * 3, "Q" * 20, "A1" * 9, "x", "."]
+
+    def assign_at(text: str, at: int) -> int | None:
+        for word in ("password", "passwd", "secret", "token", "apikey", "api_key"):
+            if text[at : at + len(word)].lower() == word:
+                k = at + len(word)
+                k += text[k : k + 1] in ("'", '"') and text[k : k + 1] != ""
+                while text[k : k + 1] == " ":
+                    k += 1
+                if text[k : k + 1] not in (":", "=") or not text[k : k + 1]:
+                    continue
+                k += 1
+                while text[k : k + 1] == " ":
+                    k += 1
+                k += text[k : k + 1] in ("'", '"') and text[k : k + 1] != ""
+                end = k
+                while end < len(text) and text[end] in signs:
+                    end += 1
+                if end > k:
+                    return end, end - k >= 6
+        return None
+
+    def run_at(text: str, at: int, head: str, allowed: str, least: int):
+        end = at + len(head)
+        if text[at:end] != head:
+            return None
+        while end < len(text) and text[end] in allowed:
+            end += 1
+        return (end, end - at >= least) if end - at > len(head) or head == "" and end > at else None
+
+    def by_hand(text: str) -> list[tuple[int, int, int]]:
+        found = []
+        for kind, find in enumerate((
+            assign_at, lambda t, a: run_at(t, a, "AKIA", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 20),
+            lambda t, a: run_at(t, a, "", "0123456789abcdef", 24),
+        )):
+            at = 0
+            while at < len(text):
+                hit = find(text, at)
+                if hit and hit[1]:
+                    found.append((at, kind, hit[0]))
+                at = hit[0] if hit else at + 1
+        return sorted(found)
+
+    for _ in range(4000):
+        text = "".join(rng.choices(parts, k=rng.randint(1, 14)))
+        assert secrets.base_spans(text, text.lower()) == by_hand(text), text
+
+
+def test_secrets_planted_in_prose():
+    """Recall on keys of several kinds and precision on texts without any."""
+    novelty, caught, planted = secrets.Novelty(), Counter(), Counter()
+    kinds = {
+        "bearer": lambda k: f"Authorization: Bearer {random_text(k, 40, B64[:62])}", "uuid": lambda k: f"auth key {random_text(k, 32, '0123456789abcdef')[:23]}-x",
+        "signature": lambda k: f"signature {random_text(k, 43, B64)}", "credential": lambda k: f"credential\n  {random_text(k, 24, B64[:36])}",
+    }
+    for k in range(200):
+        words = prose(k, 60)
+        assert not secrets.secret_spans(" ".join([*words[:30], "the author of the token", *words[30:]]), novelty)
+        for kind, make in kinds.items():
+            planted[kind] += 1
+            caught[kind] += bool(secrets.secret_spans(" ".join(words[:30]) + "\n" + make(k) + "\n" + " ".join(words[30:]), novelty))
+    assert all(caught[kind] >= 0.97 * planted[kind] for kind in kinds), caught
+
+
 def test_secrets_edges(edges, empty):
     assert secrets.find_secrets(edges).count() == len(EDGES) and secrets.redact(edges).columns == edges.columns
     assert secrets.find_secrets(empty).count() == 0
