@@ -10,7 +10,9 @@ each of those that gets stuck to four more. So the work grows with the number of
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -160,25 +162,57 @@ def written(cells: Column) -> Column:
     return F.array_join(F.transform(cells, lambda c: F.concat_ws(".", F.hex(c["n"]), F.hex(c["k"]), F.hex(c["c"]))), "-")
 
 
+def listed(values: list, kind: str) -> Column:
+    """A constant array; as one text it stays a single literal, however long."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
+
+
+def id_blocks(docs: DataFrame, docs_in_block: int, most_blocks: int) -> Column:
+    """The block of a row with columns ``doc_id`` and ``hash``, numbered in the order of falling ids, rows without id last.
+
+    Blocks are ranges between quantiles of the ids, so they hold about as many rows each, wherever ids cluster. An id
+    that fills several ranges, and the rows without an id, are cut by ranges of their texts' hashes instead.
+    """
+    seen = docs.agg(F.count(F.lit(1)).alias("all"), F.count("doc_id").alias("known")).first()
+    ranges = max(1, min(most_blocks, seen["known"] // docs_in_block))
+    fractions = listed([k / ranges for k in range(ranges)], "double")
+    bounds = docs.agg(F.percentile_approx("doc_id", fractions, F.lit(4 * ranges + 100)).alias("b")).first()["b"] or [0]
+    often = Counter(bounds)
+    # A hot id has a range of its own; the range after it begins with the next number.
+    edges = sorted(set(bounds) | {b + 1 for b, m in often.items() if m > 1 and b < 2**63 - 1})
+    cuts = [often[e] if often[e] > 1 else 1 for e in edges]
+    first = list(accumulate(reversed(cuts), initial=0))
+    without = max(1, min(most_blocks, (seen["all"] - seen["known"]) // docs_in_block))
+    at, starts, shares = listed(edges, "long"), listed(first[-2::-1], "long"), listed(cuts, "long")
+
+    def cut(share: Column) -> Column:
+        """Which of ``share`` equal ranges holds the hash, by its upper 31 bits."""
+        return F.shiftright((F.shiftright("hash", 33) + F.lit(1 << 30)) * share, 31)
+
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(edges).bit_length()))])
+    # Ids below the smallest bound, which quantiles may miss, belong to the first range.
+    found = F.aggregate(steps, F.lit(-1), lambda k, step: F.when(F.get(at, k + step) <= F.col("doc_id"), k + step).otherwise(k))
+    range_ = let(F.greatest(found, F.lit(0)), lambda k: F.get(starts, k) + cut(F.get(shares, k)))
+    return F.when(F.col("doc_id").isNull(), F.lit(first[-1]) + cut(F.lit(without).cast("long"))).otherwise(range_)
+
+
 def with_next(docs: DataFrame, docs_in_block: int = 4096, most_blocks: int = 1 << 16) -> DataFrame:
-    """``docs(doc_id, text)`` in blocks of ids, each block with the first row of the next lower one (``extra``).
+    """``docs(doc_id, text)`` in blocks, each with the first row of the next block that has any (``extra``).
 
-    Blocks are ranges of ids of equal width, with about ``docs_in_block`` rows if ids are dense; there are at most
-    ``most_blocks``, so the table of their heads is small enough to broadcast. The lowest block gets the very first row.
+    There are at most three times ``most_blocks`` blocks, so the table of their heads is small enough to broadcast. The
+    last block gets the very first row. Rows of one id and one text stay in one block.
     """
-    ends = docs.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n")).first()
-    low, high, n = ends["low"] or 0, ends["high"] or 0, max(ends["n"], 1)
-    width = max(1, -(-(high - low + 1) // max(1, min(most_blocks, n // docs_in_block))))
-    block = F.coalesce(F.floor((F.col("doc_id") - low) / width).cast("long"), F.lit(-1))
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", text.alias("text")).withColumn("block", block)
-    heads = rows.groupBy("block").agg(F.max("doc_id").alias("head"))
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("hash", F.xxhash64("text"))
+    rows = rows.withColumn("block", id_blocks(docs, docs_in_block, most_blocks))
+    place = F.struct(F.col("doc_id").isNull().alias("without"), F.bitwise_not("doc_id").alias("falling"), "hash", "doc_id")
+    heads = rows.groupBy("block").agg(F.min(place).alias("head"))
     order = Window.orderBy("block")
-    after = F.coalesce(F.lead("block").over(order), F.min("block").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    to = F.broadcast(heads.select("block", "head", after.alias("to")))  # at most most_blocks + 1 rows
-    extra = rows.join(to, (rows["block"] == to["block"]) & rows["doc_id"].eqNullSafe(to["head"]))
-    extra = extra.select("doc_id", "text", F.col("to").alias("block"), F.lit(True).alias("extra"))
-    return rows.select("doc_id", "text", "block", F.lit(False).alias("extra")).unionByName(extra)
+    last = F.max("block").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    to = heads.select("block", "head.doc_id", "head.hash", F.coalesce(F.lag("block").over(order), last).alias("to"))
+    to = F.broadcast(to.toDF("from", "head_id", "head_hash", "to"))  # a row a block at most
+    extra = rows.join(to, (F.col("block") == F.col("from")) & (F.col("hash") == F.col("head_hash")) & F.col("doc_id").eqNullSafe(F.col("head_id")))
+    extra = extra.dropDuplicates(["from"]).select("doc_id", "text", "hash", F.col("to").alias("block"), F.lit(True).alias("extra"))
+    return rows.select("doc_id", "text", "hash", "block", F.lit(False).alias("extra")).unionByName(extra)
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -189,7 +223,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     follow each other in the order of their texts' hashes; rows without an id come last.
     """
     rows = with_next(docs.select("doc_id", "text")).repartition("block")
-    order = Window.partitionBy("block").orderBy("extra", F.col("doc_id").desc_nulls_last(), F.xxhash64("text"))
+    order = Window.partitionBy("block").orderBy("extra", F.col("doc_id").desc_nulls_last(), "hash")
     rows = rows.select("*", digests(F.col("text")).alias("own")).select("*", table(F.col("own")).alias("own_table"))
     rows = rows.select(
         "*", *[F.lead(c).over(order).alias(f"next_{c}") for c in ("text", "own", "own_table")]

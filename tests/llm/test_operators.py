@@ -203,6 +203,34 @@ def test_peeling_recovers_differences(spark):
     assert found.first()[0] == 8
 
 
+@pytest.mark.parametrize("ids", [
+    list(range(0, 600, 3)), [*range(200), 2**62], [-(2**63), *range(150), *range(10**12, 10**12 + 150), 2**63 - 1],
+    [7] * 150 + list(range(100)), [None] * 150 + list(range(100)), [None] * 90 + [5] * 90 + [2**63 - 1] * 90, [1], [None, None],
+], ids=["dense", "outlier", "clusters", "hot", "nulls", "hot ends", "one", "two nulls"])
+def test_next_documents_in_even_blocks(spark, ids):
+    """Each document's next one is the one by falling id, then by hash; blocks hold few rows wherever ids cluster."""
+    docs = texts(spark, [(k, f"text {n}") for n, k in enumerate(ids)])
+    rows = fingerprints.with_next(docs, docs_in_block=8).collect()
+    order = lambda r: (r["doc_id"] is None, -(r["doc_id"] or 0), r["hash"])
+    blocks = {}
+    for r in rows:
+        blocks.setdefault(r["block"], []).append(r)
+    found = {}
+    for block in blocks.values():
+        own = sorted((r for r in block if not r["extra"]), key=order)
+        (extra,) = [r for r in block if r["extra"]]
+        found |= {a["text"]: b["text"] for a, b in zip(own, [*own[1:], extra])}
+    line = [r["text"] for r in sorted((r for r in rows if not r["extra"]), key=order)]
+    assert found == dict(zip(line, [*line[1:], line[0]]))
+    assert max(map(len, blocks.values())) <= 33 and len(line) == len(ids)
+
+
+def test_next_of_repeated_rows(spark):
+    docs = texts(spark, [(4, "same")] * 40 + [(4, "other"), (None, None), (None, ""), (9, "top")])
+    got = fingerprints.fingerprints(docs)
+    assert got.count() == 44 and got.filter("near_next = 1").count() >= 39
+
+
 def test_fingerprints_edges(edges, empty):
     rows = fingerprints.fingerprints(edges).collect()
     assert len(rows) == len(EDGES) and {r["n_chars"] for r in rows if r["doc_id"] in (1, 2)} == {0}
