@@ -30,7 +30,14 @@ from billweave.plans.given import (
 )
 from billweave.plans.registry import checked
 
-RESERVED_SQL = ", ".join(f"'{w}'" for w in RESERVED_WORDS)
+# Fixed values, stated once more so that the SQL does not follow a mistake in the library.
+RESERVED_SQL = ", ".join(f"'{w}'" for w in """
+group order select from where join inner outer left right on as and or not in exists between like is
+null true false case when then else end union intersect except all distinct limit offset having by
+asc desc create table insert update delete alter drop index view database schema column primary key
+foreign references constraint unique check default grant revoke user role commit rollback begin
+transaction start
+""".split())
 
 
 def normalized_sql(text: str) -> str:
@@ -130,6 +137,32 @@ def dup_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@checked(
+    f"""WITH named AS (
+        SELECT p_partkey, p_size % 2 = 0 AS literal_first, {normalized_sql("'resourceTags/user:' || lower(p_name)")} AS base FROM part),
+    placed AS (
+        SELECT p_partkey, 0 AS pos, base AS normalized_name FROM named
+        UNION ALL SELECT p_partkey, 1, base || '_1' FROM named
+        UNION ALL SELECT p_partkey, 2, CASE WHEN literal_first THEN base || '_2' ELSE base || '_1_1' END FROM named
+        UNION ALL SELECT p_partkey, 3, CASE WHEN literal_first THEN base || '_3' ELSE base || '_2' END FROM named)
+    SELECT CAST(p_partkey AS VARCHAR) AS execution_id, CAST(pos AS BIGINT) AS pos, normalized_name FROM placed"""
+)
+def dup_suffix_clash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated tags next to a tag that literally has a numbered name, before or after the first repeat.
+
+    A literal that comes first keeps its name and the repeats count on; one that comes later is numbered itself.
+    """
+    low = F.concat(F.lit("user:"), F.lower("p_name"))
+    tag = lambda name: F.struct(F.lit("resourceTags").alias("category"), name.alias("name"), F.lit("String").alias("type"))
+    plain, literal = tag(low), tag(F.concat(low, F.lit("/1")))
+    again, third = tag(F.concat(low, F.lit("?"))), tag(F.concat(low, F.lit("??")))
+    order = F.when(F.col("p_size") % 2 == 0, F.array(plain, literal, again, third)).otherwise(F.array(plain, again, literal, third))
+    manifests = given(spark, sf_dir, "part").select(
+        F.lit("2024-01").alias("billing_period"), F.col("p_partkey").cast("string").alias("execution_id"), order.alias("columns")
+    )
+    return column_defs(manifests).select("execution_id", F.col("pos").cast("bigint").alias("pos"), "normalized_name")
+
+
 _TYPED_SQL = """SELECT CASE WHEN p_type = 'PROMO' THEN 'resourceTags' ELSE 'product' END AS category,
     list_extract(['String', 'OptionalString', 'BigDecimal', 'OptionalBigDecimal', 'DateTime', 'Interval', 'Mystery'],
                  CAST(p_size % 7 + 1 AS BIGINT)) AS source_type FROM part"""
