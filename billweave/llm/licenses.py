@@ -5,7 +5,9 @@ space. One pass of a keyword automaton over the lower-cased text in that form fi
 rules of those run, on the text as it is. Of overlapping detections, one that lies inside another
 of higher priority, or of the same priority and greater length, is suppressed.
 The rules are written for families of licenses: each family gives its names, and each name stands in the forms in which
-licenses are stated (tags, sentences, abbreviations, addresses).
+licenses are stated (tags, sentences, abbreviations, addresses). Abbreviations that also name a product or anything else
+count only beside a word of licensing. License texts and notices are known by their own sentences. A clause that denies a
+license ("not licensed under ...") has the highest priority and no label, so that it suppresses what lies inside it.
 """
 
 from __future__ import annotations
@@ -61,27 +63,111 @@ FAMILIES = [
     ("busl", r"business\s+source\s+licen[sc]e", "1 1.1", "busl", "business source"),
     ("vim", r"vim\s+licen[sc]e", "", "vim", "vim licen"),
 ]
-#: Whole sentences of license texts: label, pattern, keyword.
+#: Abbreviations that stand for nothing but a license; all others need a word of licensing beside them.
+UNMISTAKABLE = ("gpl", "lgpl", "agpl", "gfdl", "cddl", "eupl", "sspl", "wtfpl", "odbl", "cecill", "lppl")
+#: Sentences of license texts and notices: label, pattern (a space stands for any white space), keyword.
 SENTENCES = [
-    ("mit", r"permission\s+is\s+hereby\s+granted,?\s+free\s+of\s+charge,?\s+to\s+any\s+person", "hereby granted"),
-    ("isc", r"permission\s+to\s+use,?\s+copy,?\s+modify,?\s+and(?:/or)?\s+distribute\s+this\s+software", "permission to use"),
-    ("bsd", r"redistributions?\s+and\s+use\s+in\s+source\s+and\s+binary\s+forms", "redistribution"),
-    ("bsd-3-clause", r"neither\s+the\s+names?\s+of\s+(?s:.{1,120}?)\s+nor\s+the\s+names?\s+of\s+its\s+contributors", "contributors"),
-    ("unlicense", r"this\s+is\s+free\s+and\s+unencumbered\s+software\s+released\s+into\s+the\s+public\s+domain", "unencumbered"),
-    ("zlib", r"this\s+software\s+is\s+provided\s+'as-is',\s+without\s+any\s+express\s+or\s+implied", "as-is"),
-    ("public-domain", r"(?:released|placed|dedicated)\s+(?:in|into|to)\s+the\s+public\s+domain", "public domain"),
-    ("all-rights-reserved", r"all\s+rights\s+reserved", "all rights"),
-    ("all-rights-reserved", r"(?:tous\s+droits\s+réservés|alle\s+rechte\s+vorbehalten|todos\s+los\s+derechos\s+reservados)", "r"),
-    ("cc0", r"(?:cc0|creative\s+commons\s+zero)(?:\s+1\.0)?(?:\s+universal)?", "c"),
-    ("bsd-2-clause", r"(?:simplified|2-clause|two-clause)\s+bsd|bsd[\s-]2[\s-]clause", "bsd"),
-    ("bsd-3-clause", r"(?:modified|new|revised|3-clause|three-clause)\s+bsd|bsd[\s-]3[\s-]clause", "bsd"),
-    ("proprietary", r"(?:proprietary\s+and\s+confidential|confidential\s+and\s+proprietary)", "proprietary"),
+    ("mit", r"permission is hereby granted,? free of charge,? to any person", "hereby granted"),
+    ("mit", r"the above copyright notice and this permission notice shall be included in all copies", "permission notice"),
+    ("isc", r"permission to use,? copy,? modify,? and(?:/or)? distribute this software", "permission to use"),
+    ("isc", r"the above copyright notice and this permission notice appear in all copies", "permission notice"),
+    ("bsd", r"redistributions? and use in source and binary forms", "redistribution"),
+    ("bsd", r"redistributions? of source code must retain the (?:above )?copyright notice", "redistribution"),
+    ("bsd", r"redistributions? in binary form must reproduce the (?:above )?copyright notice", "redistribution"),
+    ("bsd-2-clause", r"(?:simplified|2-clause|two-clause) bsd|bsd[ -]2[ -]clause", "bsd"),
+    ("bsd-3-clause", r"(?:modified|new|revised|3-clause|three-clause) bsd|bsd[ -]3[ -]clause", "bsd"),
+    ("bsd-3-clause", r"neither the names? of (?s:.{1,120}?) nor the names? of its contributors", "contributors"),
+    ("bsd-4-clause", r"(?:original|4-clause|four-clause) bsd|bsd[ -]4[ -]clause", "bsd"),
+    ("bsd-4-clause", r"all advertising materials mentioning features or use of this software must display", "advertising materials"),
+    ("apache-2", r"you may not use this (?:file|software|work) except in compliance with the licen[sc]e", "except in compliance"),
+    ("apache-2", r"software distributed under the licen[sc]e is distributed on an .?as is.? basis", "distributed under the licen"),
+    ("apache-2", r"grants? to you a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright", "royalty-free"),
+    ("apache", r"this product includes software developed by the apache (?:software foundation|group)", "apache"),
+    ("gpl", r"you can redistribute it and/or modify it under the terms of the gnu general public", "redistribute it"),
+    ("lgpl", r"you can redistribute it and/or modify it under the terms of the gnu (?:lesser|library) general public", "redistribute it"),
+    ("agpl", r"you can redistribute it and/or modify it under the terms of the gnu affero general public", "redistribute it"),
+    ("gpl", r"the gnu general public licen[sc]e is a free, copyleft licen[sc]e", "copyleft"),
+    ("agpl", r"your modified version must prominently offer all users interacting with it remotely", "prominently offer"),
+    ("or-later", r"(?:either )?version [0-9](?:\.[0-9])? of the licen[sc]e,? or,? \(?at your option\)?,? any later version", "any later version"),
+    ("gpl-linking-exception", r"as a special exception,? (?s:.{1,200}?) permission to link", "special exception"),
+    ("classpath-exception", r"classpath[ -]exception", "classpath"),
+    ("llvm-exception", r"with llvm[ -]exceptions?|llvm exceptions to the apache", "llvm"),
+    ("gcc-exception", r"gcc runtime library exception", "runtime library"),
+    ("gfdl", r"copy, distribute and/or modify this document under the terms of the gnu free documentation", "free documentation"),
+    ("mpl-2", r"this source code form is subject to the terms of the mozilla public", "source code form"),
+    ("mpl-1.1", r"the contents of this file are subject to the mozilla public licen[sc]e version 1\.1", "mozilla"),
+    ("epl", r"the accompanying materials are made available under the terms of the eclipse public", "accompanying materials"),
+    ("cddl", r"subject to the terms of the common development and distribution", "common development"),
+    ("ofl", r"this font software is licensed under the sil open font", "font software"),
+    ("ofl", r"may not be sold by itself.{0,40}font software|font software.{0,60}may be sold by itself", "sold by itself"),
+    ("bsl", r"to use, reproduce, display, distribute, execute, and transmit the software", "and transmit"),
+    ("zlib", r"this software is provided .as-is.,? without any express or implied", "as-is"),
+    ("zlib", r"altered source versions must be plainly marked as such", "plainly marked"),
+    ("unlicense", r"this is free and unencumbered software released into the public domain", "unencumbered"),
+    ("wtfpl", r"you just do what the fuck you want to", "do what the"),
+    ("beerware", r"the beer-?ware licen[sc]e|you can buy me a beer in return", "beer"),
+    ("json", r"the software shall be used for good, not evil", "not evil"),
+    ("openssl", r"this product includes software developed by the openssl project", "openssl"),
+    ("php", r"this product includes php software", "php"),
+    ("psf", r"psf hereby grants licensee a nonexclusive, royalty-free", "psf"),
+    ("artistic", r"the intent of this document is to state the conditions under which a package may be copied", "the intent of this"),
+    ("cc", r"creative commons corporation is not a law firm", "creative commons"),
+    ("cc0", r"(?:cc0|creative commons zero)(?: 1\.0)?(?: universal)?", "c"),
+    ("cc0", r"waives? all (?:of )?(?:his or her|its|their|my) copyright and related", "related"),
+    ("busl-1.1", r"the licensor hereby grants you the right to copy, modify, create derivative works, redistribute", "the licensor"),
+    ("commons-clause", r"commons clause licen[sc]e condition", "commons clause"),
+    ("public-domain", r"(?:released|placed|dedicated) (?:in|into|to) the public domain", "public domain"),
+    ("all-rights-reserved", r"all rights reserved", "all rights"),
+    ("all-rights-reserved", r"(?:tous droits réservés|alle rechte vorbehalten|todos los derechos reservados)", "r"),
+    ("proprietary", r"(?:proprietary and confidential|confidential and proprietary)", "proprietary"),
+    ("proprietary", r"no part of this (?:work|publication|document|software) may be reproduced", "may be reproduced"),
 ]
+#: Addresses of licenses: label, pattern, keyword.
+ADDRESSES = [
+    ("apache-2", r"apache\.org/licenses/license-2\.0", "apache.org"),
+    ("apache-1.1", r"apache\.org/licenses/license-1\.1", "apache.org"),
+    ("gpl-2", r"gnu\.org/licenses/(?:old-licenses/)?gpl-2\.0", "gnu.org"),
+    ("gpl-3", r"gnu\.org/licenses/gpl-3\.0", "gnu.org"),
+    ("gpl", r"gnu\.org/(?:licenses|copyleft)/gpl\.\w+", "gnu.org"),
+    ("lgpl-2.1", r"gnu\.org/licenses/(?:old-licenses/)?lgpl-2\.1", "gnu.org"),
+    ("lgpl-3", r"gnu\.org/licenses/lgpl-3\.0", "gnu.org"),
+    ("lgpl", r"gnu\.org/(?:licenses|copyleft)/(?:lgpl|lesser)\.\w+", "gnu.org"),
+    ("agpl-3", r"gnu\.org/licenses/agpl(?:-3\.0)?", "gnu.org"),
+    ("gfdl", r"gnu\.org/(?:licenses|copyleft)/fdl", "gnu.org"),
+    ("mpl-2", r"mozilla\.org/(?:en-us/)?mpl/2\.0", "mozilla.org"),
+    ("mpl-1.1", r"mozilla\.org/mpl/(?:mpl-)?1\.1", "mozilla.org"),
+    ("mpl", r"mozilla\.org/mpl/?(?![\w/])", "mozilla.org"),
+    ("epl-2", r"eclipse\.org/legal/epl-2\.0|eclipse\.org/legal/epl-v20", "eclipse.org"),
+    ("epl-1", r"eclipse\.org/legal/epl-v10", "eclipse.org"),
+    ("mit", r"opensource\.org/licenses?/mit\b", "opensource.org"),
+    ("isc", r"opensource\.org/licenses?/isc\b", "opensource.org"),
+    ("zlib", r"opensource\.org/licenses?/zlib\b", "opensource.org"),
+    ("bsd-2-clause", r"opensource\.org/licenses?/bsd-2-clause", "opensource.org"),
+    ("bsd-3-clause", r"opensource\.org/licenses?/bsd-3-clause", "opensource.org"),
+    ("bsl-1", r"boost\.org/license_1_0", "boost.org"),
+    ("ofl", r"scripts\.sil\.org/ofl", "sil.org"),
+    ("unlicense", r"unlicense\.org", "unlicense.org"),
+    ("wtfpl", r"wtfpl\.net", "wtfpl.net"),
+    ("cc0", r"creativecommons\.org/(?:publicdomain/zero/1\.0|licenses/cc0)", "creativecommons"),
+    ("public-domain", r"creativecommons\.org/(?:publicdomain/mark|licenses/publicdomain)", "creativecommons"),
+    ("odbl", r"opendatacommons\.org/licenses/odbl", "opendatacommons"),
+    ("json", r"json\.org/license", "json.org"),
+    ("php", r"php\.net/license", "php.net"),
+    ("artistic", r"perlfoundation\.org/artistic[_-]license|dev\.perl\.org/licenses/artistic", "artistic"),
+]
+#: Verbs of a grant or a denial.
+GRANTED = ("licensed", "released", "distributed", "available", "covered")
 #: Creative Commons elements by their letters.
 CREATIVE = {"by": "attribution", "nc": "non-?commercial", "sa": "share-?\\s?alike", "nd": "no-?\\s?derivatives?"}
 CREATIVE_KINDS = ("by", "by-sa", "by-nd", "by-nc", "by-nc-sa", "by-nc-nd")
-GRANT = r"\b(?:licensed|released|distributed|available)\s+under\s+(?:the\s+)?(?:terms\s+of\s+)?(?:the\s+)?"
-TAG, SENTENCE, VERSIONED, ADDRESS, SHORT, NAMED = 100, 95, 90, 85, 70, 50
+TERMS = r"(?:the\s+)?(?:terms\s+(?:and\s+conditions\s+)?of\s+)?(?:the\s+)?"
+GRANT = rf"\b(?:licensed|released|distributed|available)\s+under\s+{TERMS}"
+#: What stands before an abbreviation that is meant as a license, and what may follow its name.
+BEFORE = rf"(?:\b(?:licen[sc]ed?|terms|distributed|released|available)\s*(?:[:=]\s*|\(\s*|(?:is|under|of)\s+)?{TERMS})"
+AFTER = r"(?=\s*(?:[.,;:)\"'\n]|licen[sc]e|terms|or\b|and\b|$))"
+#: To the end of the sentence, or to a "but".
+REST = r"(?s:(?:(?!\bbut\b|[.;](?:\s|$)).){1,120})"
+DENIAL, TAG, SENTENCE, VERSIONED, ADDRESS, SHORT, NAMED = 110, 100, 95, 90, 85, 70, 50
 
 
 @dataclass(frozen=True)
@@ -92,6 +178,11 @@ class Rule:
     pattern: re.Pattern
 
 
+def spaced(pattern: str) -> str:
+    """White space of any kind for the spaces of a sentence, also in a class."""
+    return pattern.replace("[ -]", r"[\s-]").replace(" ", r"\s+")
+
+
 def rules() -> list[Rule]:
     """All rules, in order; some hundreds, from the families and the forms."""
     made: list[tuple[str, int, str, str]] = []
@@ -100,12 +191,18 @@ def rules() -> list[Rule]:
         made.append((label, TAG, "spdx", rf"spdx-license-identifier:\s*{short}\b(?![-.]?\d)"))
         if keyword != "licen":
             made.append((label, SENTENCE - 1, keyword, rf"{GRANT}{name}"))
+        made.append((label, SHORT + 4, short, rf"{GRANT}{short}{AFTER}"))
+        made.append((label, SHORT + 4, short, rf"\blicen[sc]e\s*[:=]\s*[\"']?{short}{AFTER}"))
         for version in versions.split():
             number = rf"{re.escape(version)}" + (r"(?:\.0)?" if "." not in version else "") + r"(?![\d]|\.\d)"
             full = f"{label}-{version}"
             made.append((full, VERSIONED + 6, keyword, rf"(?:{GRANT})?\b{name},?\s*(?:\(\w+\)\s*)?,?\s*(?:version|ver\.?|v\.?)?\s*{number}"))
             made.append((full, TAG, "spdx", rf"spdx-license-identifier:\s*{short}-{number}(?:-only|-or-later|\+)?"))
-            made.append((full, SHORT + 5, short, rf"\b{short}[\s-]?v?{number}"))
+            if short in UNMISTAKABLE:
+                made.append((full, SHORT + 5, short, rf"\b{short}[\s-]?v?{number}"))
+            else:
+                made.append((full, SHORT + 5, short, rf"{BEFORE}{short}[\s-]?v?{number}"))
+                made.append((full, SHORT + 5, short, rf"\b{short}[\s-]?v?{number}\s+licen[sc]ed?\b"))
             made.append((full, ADDRESS, "opensource.org", rf"opensource\.org/licenses?/{short}-{number}"))
     for kind in CREATIVE_KINDS:
         letters = kind.split("-")
@@ -118,7 +215,10 @@ def rules() -> list[Rule]:
             made.append((f"cc-{kind}-{version}", VERSIONED, "cc", rf"\bcc[\s-]{joined}[\s-]v?{number}"))
             made.append((f"cc-{kind}-{version}", VERSIONED, "creative commons", rf"\bcreative\s+commons\s+{words}\s+{number}"))
             made.append((f"cc-{kind}-{version}", ADDRESS, "creativecommons", rf"creativecommons\.org/licenses/{kind}/{number}"))
-    made += [(label, SENTENCE, keyword, pattern) for label, pattern, keyword in SENTENCES]
+    made += [(label, SENTENCE, keyword, spaced(pattern)) for label, pattern, keyword in SENTENCES]
+    made += [(label, ADDRESS + 1, keyword, pattern) for label, pattern, keyword in ADDRESSES]
+    for verb in GRANTED:
+        made.append(("", DENIAL, f"{verb} under", rf"\b(?:not|never|no\s+longer|isn't|aren't)\s+(?:\w+\s+)?{verb}\s+under\s+{REST}"))
     ordered = sorted(made, key=lambda r: (-r[1], r[0], r[3]))
     return [Rule(label, priority, keyword, re.compile(pattern)) for label, priority, keyword, pattern in ordered]
 
@@ -164,7 +264,7 @@ class Scanner:
 
 
 def suppressed(found: list[tuple[int, int, Rule]]) -> list[tuple[int, int, Rule]]:
-    """Drop detections that lie inside one of higher priority, or of the same priority that is longer or comes first.
+    """Drop detections that lie inside one of higher priority, or of the same priority that is longer or comes first, and denials.
 
     Taken by priority, then length; those kept stay sorted by start with the furthest end so far, so one look tells.
     """
@@ -180,7 +280,7 @@ def suppressed(found: list[tuple[int, int, Rule]]) -> list[tuple[int, int, Rule]
         while k < len(furthest) and furthest[k][1] <= end:
             furthest.pop(k)
         furthest.insert(k, (start, end))
-    return sorted(kept, key=lambda d: (d[0], -d[1], d[2].label))
+    return sorted((d for d in kept if d[2].label), key=lambda d: (d[0], -d[1], d[2].label))
 
 
 def scan_licenses(docs: DataFrame) -> DataFrame:

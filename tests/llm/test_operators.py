@@ -601,6 +601,56 @@ def test_wrapped_and_spelled_out_licenses():
         assert label in {r.label for _, _, r in scanner.detections(text)}, text
 
 
+def labels_of(text):
+    return {r.label for _, _, r in licenses.Scanner().detections(text.lower())}
+
+
+@pytest.mark.parametrize("text", [
+    "the php 3 release", "we run apache 2 on port 80", "artistic 2 sketches", "mpl 2 points", "the epl 1 title", "the bsl 1 stop",
+    "released under the apache helicopter", "this code is not licensed under the gnu general public license, version 3.",
+    "never released\nunder the mozilla public license 2.0", "permission to use the garden", "an eclipse of the moon",
+])
+def test_what_is_no_license(text):
+    assert labels_of(text) == set()
+
+
+@pytest.mark.parametrize("text, label", [
+    ("See http://www.apache.org/licenses/LICENSE-2.0", "apache-2"), ("https://www.gnu.org/licenses/gpl-3.0.html", "gpl-3"),
+    ("http://mozilla.org/MPL/2.0/.", "mpl-2"), ("https://opensource.org/licenses/MIT", "mit"),
+    ("https://creativecommons.org/publicdomain/zero/1.0/", "cc0"), ("released under the MPL.", "mpl"),
+    ("distributed under the terms of the GPL", "gpl"), ("License: MIT", "mit"), ('license = "ISC"', "isc"),
+    ("licensed under Apache 2.0", "apache-2"), ("Apache-2.0 license", "apache-2"), ("GPLv3", "gpl-3"),
+    ("All advertising materials mentioning features or use of this software\nmust display the following", "bsd-4-clause"),
+    ("you may not use this file except in compliance with the License.", "apache-2"),
+    ("either version 2 of the License, or (at your option)\n any later version.", "or-later"),
+    ("Altered source versions must be plainly marked as such", "zlib"),
+    ("not licensed under the GPL but licensed under the MIT license", "mit"),
+])
+def test_license_notices_and_addresses(text, label):
+    assert labels_of(text) == {label}
+
+
+def test_base_places_equal_a_walk_over_all_words(spark):
+    rng, rows = random.Random(8), []
+    parts = ["under", "the", "mit", "license", "apache", "version", "2", "cc", "by", "nc", "is"]
+    for k in range(300):
+        words = [rng.choice(parts) for _ in range(rng.randint(0, 40))]
+        for phrase in rng.sample(sorted(licenses.BASE), rng.randint(0, 3)):
+            words[(at := rng.randint(0, len(words))) : at] = phrase.upper().split()
+        rows.append((k, "".join(w + rng.choice([" ", "\n", "-", ". ", "/"]) for w in words)))
+    got = by_id(licenses.scan_licenses(texts(spark, rows)))
+    for k, text in rows:
+        words = re.findall("[a-z0-9]+", text.lower())
+        found = [
+            (at, label) for at in range(len(words)) for phrase, label in licenses.BASE.items()
+            if words[at : at + len(phrase.split())] == phrase.split()
+        ]
+        starts = [at for at, _ in found]
+        want = (len(words), len(found), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in found})))
+        assert tuple(got[k][c] for c in ("n_words", "n_base", "first_word", "last_word", "base_labels")) == want
+        assert {x for _, x in found} <= set(got[k]["labels"].split(","))
+
+
 def test_suppression_by_priority_and_containment():
     low, high = (licenses.Rule(label, p, "", re.compile("")) for label, p in (("low", 1), ("high", 2)))
     found = [(0, 9, low), (2, 5, high), (3, 4, low), (8, 12, high), (8, 12, low)]
