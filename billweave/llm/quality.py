@@ -3,7 +3,9 @@
 Sequential covering: a rule is a conjunction of thresholds on a document's statistics, grown condition by condition to
 cover bad documents and no good ones, then pruned on rows that growing hasn't seen; the rows that it covers go, and the
 next rule is grown on the rest. The list becomes one ordered conditional expression. Every step is a count by statistic
-and interval over the labelled sample, so what reaches the driver has a fixed size.
+and interval over the labelled sample, so what reaches the driver has a fixed size. Cuts lie midway between neighbouring
+quantiles. Bad are documents labelled as of low quality and those labelled as toxic; one statistic counts the words that
+toxic documents of the sample have and others, nearly always, don't.
 """
 
 from __future__ import annotations
@@ -26,11 +28,16 @@ def count_of(characters: str) -> Column:
     return F.length(F.regexp_replace("text", f"[^{characters}]+", "")).cast("long")
 
 
-def statistics(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def bare_words(text: Column) -> Column:
+    """The different words of a text in lower case, letters alone."""
+    return F.array_distinct(F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: w != ""))
+
+
+def statistics(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",), marked: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """``carry`` columns (in a struct ``carried``) and counts for each row of ``docs(doc_id, text)`` from its whole text; null and empty texts count nothing.
 
     Words in repeated windows: windows are compared by hash. Only texts in which two are equal sort them by hash, mark
-    those with an equal neighbour and add up the words that these cover.
+    those with an equal neighbour and add up the words that these cover. Of ``marked`` words each counts once.
     """
     rows = docs.select(F.struct(*carry).alias("carried"), F.coalesce("text", F.lit("")).alias("text"))
     words = F.filter(F.split("text", SPACES), lambda w: w != "")
@@ -72,6 +79,7 @@ def statistics(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",)) -> DataFra
         count_of("0-9").alias("n_digits"),
         count_of("!?").alias("n_marks"),
         count_of(".").alias("n_stops"),
+        (F.size(F.array_intersect(bare_words(F.col("text")), F.array(*map(F.lit, marked)))) if marked else F.lit(0)).alias("n_marked"),
     )
 
 
@@ -92,6 +100,7 @@ def features() -> dict[str, Column]:
         "dup_line_share": share("n_dup_lines", "n_lines"),
         "word_length": share("word_chars", "n_words"),
         "words": F.col("n_words").cast("double"),
+        "marked_words": F.col("n_marked").cast("double"),
     }
 
 
@@ -113,26 +122,52 @@ def base_failed() -> Column:
     return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = 20_000) -> DataFrame:
+def draw_labels(labels: DataFrame, most: int) -> DataFrame:
+    """(doc_id, bad, toxic, prune) of about ``most`` documents whose quality is labelled, drawn by hash; one row an id."""
+    toxic = F.coalesce(F.col("toxic") == 1, F.lit(False)) if "toxic" in labels.columns else F.lit(False)
+    known = labels.filter("doc_id is not null and quality is not null")
+    known = known.select("doc_id", ((F.col("quality") == 0) | toxic).alias("bad"), toxic.alias("toxic"))
+    draw = F.pmod(F.xxhash64("doc_id", F.lit(31)), F.lit(1 << 30)) < int(min(1.0, most / max(known.count(), 1)) * (1 << 30))
+    # An id with unlike labels counts as bad.
+    taken = known.filter(draw).groupBy("doc_id").agg(F.max("bad").alias("bad"), F.max("toxic").alias("toxic"))
+    return taken.withColumn("prune", F.pmod(F.xxhash64("doc_id", F.lit(37)), F.lit(3)) == 0)
+
+
+def marked_words(
+    docs: DataFrame, labels: DataFrame, most: int = 20_000, words: int = 200, least: int = 8, precise: float = 0.97
+) -> list[str]:
+    """At most ``words`` words that at least ``least`` toxic documents hold, and of all that hold them ``precise`` are toxic.
+
+    Counted on the part of the labelled sample that rules are grown on; rules with them still have to hold on the other.
+    """
+    taken = draw_labels(labels, most).filter("not prune")  # bounded, so it may be broadcast
+    found = docs.select("doc_id", "text").join(F.broadcast(taken.select("doc_id", "toxic")), "doc_id")
+    counts = found.select("toxic", F.explode(bare_words(F.col("text"))).alias("word")).groupBy("word").agg(
+        F.count_if("toxic").alias("toxic"), F.count(F.lit(1)).alias("n")
+    )
+    good = counts.filter((F.col("toxic") >= least) & (F.col("toxic") >= precise * F.col("n")))
+    return [r["word"] for r in good.orderBy(F.desc("toxic"), "word").limit(words).collect()]
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = 20_000, marked: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """Statistics of a bounded sample of about ``most`` labelled documents, drawn by hash, with ``bad`` and ``prune``."""
-    known = labels.filter("doc_id is not null and quality is not null").select("doc_id", (F.col("quality") == 0).alias("bad"))
-    n = known.count()
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(31)), F.lit(1 << 30)) < int(min(1.0, most / max(n, 1)) * (1 << 30))
-    taken = known.filter(draw).dropDuplicates(["doc_id"])  # bounded, so it may be broadcast
-    rows = statistics(docs.select("doc_id", "text").join(F.broadcast(taken.select("doc_id")), "doc_id", "left_semi"))
+    taken = draw_labels(labels, most).select("doc_id", "bad", "prune")  # bounded, so it may be broadcast
+    found = docs.select("doc_id", "text").join(F.broadcast(taken.select("doc_id")), "doc_id", "left_semi")
+    rows = statistics(found, marked=marked)
     rows = rows.withColumn("doc_id", F.col("carried.doc_id")).drop("carried")
     # Stored before it is filtered: a filter on counts would be pushed below them, with all that they are made of.
-    rows = stored(rows.join(F.broadcast(taken), "doc_id"), "labelled").filter(~base_failed())
-    return rows.withColumn("prune", F.pmod(F.xxhash64("doc_id", F.lit(37)), F.lit(3)) == 0)
+    return stored(rows.join(F.broadcast(taken), "doc_id"), "labelled").filter(~base_failed())
 
 
 def learn(
-    sample: DataFrame, intervals: int = 24, rules: int = 8, conditions: int = 4, precise: float = 0.97, least: int = 8, slack: float = 0.1
+    sample: DataFrame, intervals: int = 24, rules: int = 8, conditions: int = 4, precise: float = 0.97, least: int = 8,
+    slack: float = 0.1, failures: int = 8,
 ) -> list[Rule]:
     """Rules that cover bad rows of ``sample``, in order; none if it has no bad rows.
 
     A rule must be right for ``precise`` of the rows that it covers, on the part for pruning and on that for growing, and
-    cover at least ``least`` bad ones.
+    cover at least ``least`` bad ones. One that isn't is given up, and another is grown without its first condition; after
+    ``failures`` of them the list ends. Of rules with equal gain the first by feature, side and cut is taken.
     """
     names = list(features())
     rows = sample.select("bad", "prune", *[c.alias(n) for n, c in features().items()])
@@ -142,11 +177,12 @@ def learn(
     found = [quantiles.first(), more.first()]
     if found[0][names[0]] is None:
         return []
-    cuts = {n: sorted({x for row in found for x in row[n] or []}) for n in names}
+    values = {n: sorted({x for row in found for x in row[n] or []}) for n in names}
+    cuts = {n: [(a + b) / 2 for a, b in zip(v, v[1:])] for n, v in values.items()}
 
     def interval(name: str) -> Column:
         """The number of cuts below the value: above cut k is an interval greater than k."""
-        return F.size(F.filter(F.array(*[F.lit(float(x)) for x in cuts[name]]), lambda c: c < F.col(name)))
+        return F.size(F.filter(F.array(*[F.lit(float(x)) for x in cuts[name]]).cast("array<double>"), lambda c: c < F.col(name)))
 
     binned = stored(rows.select("bad", "prune", F.array(*[interval(n) for n in names]).alias("at")), "binned")
 
@@ -169,7 +205,8 @@ def learn(
         return [x + y for x, y in zip(a, b, strict=True)]
 
     done, out = F.lit(True), []
-    while len(out) < rules:
+    barred: set[tuple[int, bool, int]] = set()
+    while len(out) < rules and len(barred) < failures:
         parts: list[tuple[int, bool, int]] = []
         totals: list[list[int]] = []
         while len(parts) < conditions:
@@ -187,7 +224,7 @@ def learn(
                     below = add(below, table.get((feature, cut), [0] * 4))
                     above = [x - y for x, y in zip(total, below, strict=True)]
                     for is_above, side in ((False, below), (True, above)):
-                        if side[0] >= least:
+                        if side[0] >= least and (parts or (feature, is_above, cut) not in barred):
                             gain = side[0] * (log2(side[0] / (side[0] + side[1])) - log2(p / (p + n)))
                             choices.append((gain, (feature, is_above, cut), side))
             top = max(choices, key=lambda c: c[0], default=None)
@@ -208,12 +245,19 @@ def learn(
         bad, good = totals[keep - 1][0] + totals[keep - 1][2], totals[keep - 1][1] + totals[keep - 1][3]
         seen = totals[keep - 1]
         if bad < precise * (bad + good) or seen[2] < precise * (seen[2] + seen[3]):
-            break
+            barred.add(parts[0])
+            continue
         out.append(tuple(Condition(names[f], above, cuts[names[f]][cut]) for f, above, cut in parts[:keep]))
         done = done & ~holds(parts[:keep])
     return out
 
 
+def fit(docs: DataFrame, labels: DataFrame, most: int = 20_000) -> tuple[list[Rule], list[str]]:
+    """Rules, and the marked words that they may count, from at most about ``most`` labelled documents."""
+    marked = marked_words(docs, labels, most)
+    return learn(labelled_sample(docs, labels, most, marked)), marked
+
+
 def verdict(rules: list[Rule]) -> Column:
     """The list as an ordered conditional expression: the first rule that holds rejects; true where none does."""
     out = None
@@ -225,14 +269,14 @@ def verdict(rules: list[Rule]) -> Column:
     return F.lit(True) if out is None else out.otherwise(F.lit(True))
 
 
-def judged(docs: DataFrame, rules: list[Rule]) -> DataFrame:
+def judged(docs: DataFrame, rules: list[Rule], marked: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """Base counts, ``base_failed`` and ``kept`` for each row of ``docs(doc_id, text)``."""
-    rows = statistics(docs).select("*", base_failed().alias("base_failed"), verdict(rules).alias("verdict"))
+    rows = statistics(docs, marked=marked).select("*", base_failed().alias("base_failed"), verdict(rules).alias("verdict"))
     return rows.select("carried.doc_id", *BASE, "base_failed", (~F.col("base_failed") & F.col("verdict")).alias("kept"))
 
 
-def accepted(docs: DataFrame, rules: list[Rule]) -> DataFrame:
+def accepted(docs: DataFrame, rules: list[Rule], marked: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns."""
-    rows = statistics(docs, tuple(docs.columns)).select("carried", (~base_failed() & verdict(rules)).alias("kept"))
+    rows = statistics(docs, tuple(docs.columns), marked).select("carried", (~base_failed() & verdict(rules)).alias("kept"))
     # Stored before the filter, which would otherwise be pushed below the counts with all that they are made of.
     return stored(rows, "judged").filter("kept").select("carried.*")

@@ -36,7 +36,7 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return quality.judged(docs, quality.learn(quality.labelled_sample(docs, labels)))
+    return quality.judged(docs, *quality.fit(docs, labels))
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from billweave.llm import (
     components, fingerprints, language, licenses, near_dedup, packing, pieces, quality, secrets, sharding, token_counts,
 )
-from billweave.llm.common import ranked
+from billweave.llm.common import documents, ranked
 from conftest_llm import EDGES, SCHEMA, by_id
 
 SPACES = re.compile(r"[^\x20\x09-\x0D]+")
@@ -355,11 +355,36 @@ def test_rules_are_learned_and_pruned(spark):
     assert quality.accepted(docs, rules).count() == sum(r["kept"] for r in got.values())
 
 
+def test_rules_hold_on_labels_that_they_were_not_learned_from(spark):
+    """Learned from half of the given labels: of the other half nearly all good documents stay, and most bad ones go."""
+    sf_dir = "/root/testdata/sf0.1"
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    rules, marked = quality.fit(docs, labels.filter("doc_id % 2 = 0"))
+    assert {"symbols_per_word", "marked_words"} <= {c.feature for rule in rules for c in rule}
+    got, count = by_id(quality.judged(docs, rules, marked)), Counter()
+    for r in labels.filter("doc_id % 2 = 1").collect():
+        if not got[r["doc_id"]]["base_failed"]:
+            count[r["quality"] == 0 or r["toxic"] == 1, got[r["doc_id"]]["kept"]] += 1
+    assert count[False, True] >= 0.995 * (count[False, True] + count[False, False])
+    assert count[True, False] >= 0.75 * (count[True, False] + count[True, True])
+
+
+def test_unlike_labels_of_one_id_and_ties(spark):
+    """An id with unlike labels is bad; repeated labels count once; equal rules are taken in order."""
+    rows = [(k, f"word {'% ' * (k % 2)}" * 12) for k in range(200)]
+    labels = [(k, 1 - k % 2, 0) for k in range(200)] + [(k, 1, None) for k in range(1, 200, 2)] + [(None, 0, 1)]
+    docs, known = texts(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    drawn = quality.draw_labels(known, 1000).collect()
+    assert len(drawn) == 200 and all(r["bad"] == r["doc_id"] % 2 and not r["toxic"] for r in drawn)
+    lists = {str(quality.learn(quality.labelled_sample(docs, known))) for _ in range(2)}
+    assert len(lists) == 1
+
+
 def test_quality_edges(edges, empty, spark):
     assert quality.judged(edges, []).count() == len(EDGES)
     assert quality.accepted(edges, []).columns == edges.columns
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
-    assert quality.learn(quality.labelled_sample(empty, none)) == []
+    assert quality.learn(quality.labelled_sample(empty, none)) == [] and quality.fit(edges, none) == ([], [])
 
 
 # Secrets
