@@ -29,7 +29,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rule or the list learned from the labels go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return quality.accepted(docs, quality.learn(quality.labelled_sample(docs, labels)))
+    return quality.accepted(docs, *quality.fit(docs, labels))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
