@@ -209,7 +209,9 @@ def training_windows(docs: DataFrame, per_language: int = 500, windows: int = 6,
         "lang", F.explode(F.array(*[F.substr("text", s.cast("int"), F.lit(chars)) for s in starts])).alias("passage")
     )
     most = 2 * windows * per_language * len(counts)
-    return sorted((r["lang"], r["passage"]) for r in taken.limit(most).collect())
+    # An id that many rows share may bring more than that; which passages are taken is still decided by hashes.
+    first = taken.orderBy(F.xxhash64("lang", "passage"), "lang", "passage").limit(most)
+    return sorted((r["lang"], r["passage"]) for r in first.collect())
 
 
 def fit_languages(docs: DataFrame, per_language: int = 500, hidden: int = 8, window: int = 64) -> ByteTagger | None:

@@ -769,6 +769,13 @@ def test_languages_held_out(spark):
     assert language.accepted(docs, model).count() == 241
 
 
+def test_windows_of_one_repeated_id_do_not_depend_on_the_order_of_rows(spark):
+    rows = [(6, " ".join(prose(k, 30)), "xx" if k % 2 else "yy") for k in range(60)]  # an id that the draw takes
+    schema = f"{SCHEMA}, lang string"
+    few = [language.training_windows(spark.createDataFrame(r, schema).repartition(3), 10, 2, 40) for r in (rows, rows[::-1])]
+    assert few[0] == few[1] and len(few[0]) == 2 * 2 * 10 * 2
+
+
 def test_language_edges(edges, empty):
     docs = edges.withColumn("lang", F.lit("en"))
     assert language.identify(docs, language.fit_languages(docs)).count() == len(EDGES)
