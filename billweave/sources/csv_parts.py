@@ -16,7 +16,7 @@ from billweave.functions.periods import utc_wall_time
 from billweave.functions.types import DEFAULT_TYPE, misfit, spark_type
 from billweave.operators.columns import conform
 from billweave.sources.files import damage_finder, record_reader
-from billweave.sources.listing import STAGED_PART, path_group
+from billweave.sources.listing import STAGED_PART, path_group, unescaped
 
 FAULT = "_fault"
 OWN = ("billing_period", "execution_id", FAULT)  # columns of a scan that are not in its files
@@ -139,7 +139,8 @@ def typed_scan(
         .options(header=True, sep=",", quote='"', escape='"', multiLine=multi_line, timeZone="UTC", **options)
         .csv([glob_literal(path) for path in paths])
     )
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    # Every row has its file's path: only the last three names, which the pattern asks for, are decoded and matched.
+    path = unescaped(F.concat(F.lit("/"), F.substring_index(F.col("_metadata.file_path"), "/", -3)))
     values = [
         (utc_wall_time(F.col(f"`{f.name}`")) if isinstance(f.dataType, T.TimestampNTZType) else F.col(f"`{f.name}`"))
         .alias(f.name)

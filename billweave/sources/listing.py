@@ -25,10 +25,16 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
     return read_if_present(spark, root, FILE_COLUMNS, "binaryFile", **options).select("path", "length")
 
 
+def unescaped(path: Column) -> Column:
+    """A path without percent escapes. Most have none and stay as they are, since each row of a scan asks for its own."""
+    # A plus sign is itself in a path, but a space to url_decode.
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.when(F.contains(path, F.lit("%")), decoded).otherwise(path)
+
+
 def path_group(path: Column, pattern: str, group: int) -> Column:
     """A part of a path; a partitioned Spark write escapes characters such as a colon in it."""
-    # A plus sign is itself in a path, but a space to url_decode.
-    return F.url_decode(F.replace(F.regexp_extract(path, pattern, group), F.lit("+"), F.lit("%2B")))
+    return unescaped(F.regexp_extract(path, pattern, group))
 
 
 def delivery_columns(files: DataFrame) -> DataFrame:
