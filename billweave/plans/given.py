@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billweave.functions.periods import month_floor, period_end, period_of
+from billweave.functions.periods import month_floor, period_of
 from billweave.operators.columns import column_defs
 from billweave.operators.state import DELIVERY
 from billweave.operators.table import BillingTable
@@ -68,19 +68,26 @@ def order_delivery() -> tuple[Column, Column]:
 def billing_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Billing rows with the item columns that deliveries are derived from."""
     items, orders, parts = (given(spark, sf_dir, t) for t in ("lineitem", "orders", "part"))
-    period, execution = order_delivery()
     start = month_floor(F.col("o_orderdate"))
-    joined = items.join(orders, items.l_orderkey == orders.o_orderkey).join(parts, items.l_partkey == parts.p_partkey)
-    return joined.select(
-        execution,
+    # Dates become text once an order, before the join, not once an item.
+    billed = orders.select(
+        "o_orderkey",
+        *order_delivery(),
         start.alias("bill_billing_period_start_date"),
-        period_end(period_of(F.col("o_orderdate"))).alias("bill_billing_period_end_date"),
-        F.col("l_shipdate").alias("line_item_usage_start_date"),
+        F.add_months(start.cast("date"), 1).cast("timestamp_ntz").alias("bill_billing_period_end_date"),
         F.col("o_custkey").cast("string").alias("line_item_usage_account_id"),
+    )
+    joined = items.join(billed, items.l_orderkey == billed.o_orderkey).join(parts, items.l_partkey == parts.p_partkey)
+    return joined.select(
+        "execution_id",
+        "bill_billing_period_start_date",
+        "bill_billing_period_end_date",
+        F.col("l_shipdate").alias("line_item_usage_start_date"),
+        "line_item_usage_account_id",
         F.col("p_brand").alias("line_item_product_code"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("line_item_unblended_cost"),
         F.col("p_type").alias("resource_tags_user_part_type"),
-        period,
+        "billing_period",
         "l_linenumber",
         "p_name",
         "p_size",
