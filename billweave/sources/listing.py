@@ -70,12 +70,17 @@ def exported_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def partition_count(files: DataFrame, periods: list[str]) -> int:
-    """How many partitions of the session's advisory size the stored bytes of the listed months make."""
+def partition_count(files: DataFrame, periods: list[str]) -> int | None:
+    """How many partitions of the session's advisory size the stored bytes of the listed months make.
+
+    None if they make no more than the session's shuffle partitions: adaptive execution, which then joins small ones,
+    keeps all cores at work, where data of one advisory size would go to a single task.
+    """
     size = files.where(F.col("billing_period").isin(periods)).agg(F.sum("length").alias("bytes")).first().bytes or 0
     advised = files.sparkSession.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
     number, unit = re.fullmatch(r"(\d+)([kmgt]?)b?", advised.strip().lower()).groups()
-    return max(1, -(-size // (int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit])))
+    count = -(-size // (int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]))
+    return count if count > int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
 
 
 def flat_exports(files: DataFrame, vendor: str = VENDOR) -> DataFrame:
