@@ -16,6 +16,8 @@ from billweave.session import work_folder
 
 #: Bytes of Arrow data that a task turns into Python objects at once, which take several times the room.
 BATCH_BYTES = 4 << 20
+#: The session's bound on the bytes of an Arrow batch; without one a batch has 10,000 rows of any size.
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +41,15 @@ def runs(batch: pa.RecordBatch, most: int | None) -> Iterator[pa.RecordBatch]:
     return (batch.slice(at, rows) for at in range(0, batch.num_rows, max(rows, 1)))
 
 
+def bound_batches(spark: SparkSession, most: int | None) -> None:
+    """From here on the session's Arrow batches have about ``most`` bytes, unless it has a bound of its own.
+
+    A batch is held by the executor and by the Python worker, on the way in and out, for each task at work.
+    """
+    if most is not None and spark.conf.get(ARROW_BYTES, None) is None:
+        spark.conf.set(ARROW_BYTES, str(most))
+
+
 def map_batches(
     frame: DataFrame, make: Callable[[], Callable[[dict], Iterable[dict]]], ddl: str, most: int | None = None
 ) -> DataFrame:
@@ -48,6 +59,7 @@ def map_batches(
     of a batch.
     """
     schema = schema_of(ddl)
+    bound_batches(frame.sparkSession, most)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step, arrow = make(), to_arrow_schema(schema)
@@ -55,6 +67,8 @@ def map_batches(
             for out in step(batch.to_pydict()):
                 arrays = [pa.array(out[f.name], type=f.type) for f in arrow]
                 yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+        # The worker waits for its next task without the room of this one.
+        pa.default_memory_pool().release_unused()
 
     return frame.mapInArrow(run, schema)
 
@@ -84,6 +98,7 @@ def map_groups(frame: DataFrame, keys: list[str], step: Callable[[dict], dict |
     ``step`` takes a group's columns (lists) and gives columns for the output, or None. Results of a batch go out together.
     """
     schema, columns = schema_of(ddl), frame.columns
+    bound_batches(frame.sparkSession, BATCH_BYTES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow = to_arrow_schema(schema)
@@ -120,5 +135,6 @@ def map_groups(frame: DataFrame, keys: list[str], step: Callable[[dict], dict |
         close()
         if out[arrow.names[0]]:
             yield flush()
+        pa.default_memory_pool().release_unused()
 
     return frame.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
