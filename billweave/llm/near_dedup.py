@@ -238,6 +238,29 @@ def near_rows(rows: dict, percent: int = PERCENT) -> dict | None:
     return {c: [rows[c][k] for k in take] for c in ("tree", "node", "rep", "component")} if take.size else None
 
 
+def with_forms(members: DataFrame, forms: DataFrame, ddl: str) -> DataFrame:
+    """Members (tree, node, rep, component) joined to ``forms`` (rep and the columns of ``ddl``).
+
+    As in ``with_paths``, a document's members are gathered first: the join has a row for each document, not for each tree.
+    """
+    names = [part.split()[0] for part in ddl.split(", ")]
+
+    def make() -> Callable[[dict], Iterable[dict]]:
+        def step(batch: dict) -> Iterable[dict]:
+            # One member of each document at a time, so that what comes out is no larger than what went in.
+            for j in range(max(map(len, batch["own"]), default=0)):
+                at = [k for k, own in enumerate(batch["own"]) if len(own) > j]
+                yield {c: [batch[c][k] for k in at] for c in ("rep", *names)} | {
+                    c: [batch["own"][k][j][c] for k in at] for c in ("tree", "node", "component")
+                }
+
+        return step
+
+    own = members.groupBy("rep").agg(F.collect_list(F.struct("tree", "node", "component")).alias("own"))
+    given = own.join(forms.select("rep", *names), "rep")
+    return map_batches(given, make, f"tree int, node long, rep long, component long, {ddl}", BATCH_BYTES)
+
+
 def with_sets(members: DataFrame, docs: DataFrame) -> DataFrame:
     """``members`` with their full shingle sets, made anew from the texts of the wanted documents alone."""
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
@@ -249,16 +272,16 @@ def with_sets(members: DataFrame, docs: DataFrame) -> DataFrame:
         return step
 
     texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
-    return members.join(stored(map_batches(texts, make, "rep long, shingles binary", BATCH_BYTES), "sets"), "rep")
+    sets = stored(map_batches(texts, make, "rep long, shingles binary", BATCH_BYTES), "sets")
+    return with_forms(members, sets, "shingles binary")
 
 
 def node_links(members: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Links of small nodes: members (tree, node, rep, component)."""
     ddl = "tree int, node long, rep long, component long"
-    shown = members.select("tree", "node", "rep", "component").join(classes.select("rep", "n", "sketch", "firsts", "small"), "rep")
+    shown = with_forms(members, classes, "n long, sketch binary, firsts binary, small long")
     near = stored(map_groups(shown, ["tree", "node"], partial(near_rows, percent=percent), ddl), "near")
     full = with_sets(near, docs)
-    full = full.select("tree", "node", "rep", "component", "shingles")
     return map_groups(full, ["tree", "node"], partial(compare_node, percent=percent), "a long, b long")
 
 
